@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import language_id, packing, quality_rules_model, simhash, substring_dedup, suffix_dedup
+from pairforge.llm import chat_formatting, decontamination, language_id, mcd_quality, packing, quality_rules_model, simhash, substring_dedup, suffix_dedup
 from pairforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.match(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~language_id.held_out(F.col("doc_id")))
@@ -40,6 +46,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mcd_quality.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *mcd_quality.STATISTICS, "base_failed", "kept")
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_formatting.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -72,15 +87,60 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, array_to_string(ws[p:p + 9], ' ') AS key
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM b WHERE len(ws) > 0)
+), places AS (
+  SELECT doc_id, m, p, array_to_string(ws[p:p + m - 1], ' ') AS key
+  FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)
+), hits AS (
+  SELECT doc_id, item_id, m, p FROM places JOIN win USING (m, key)
+), per AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id
+), cov AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS q FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cov USING (doc_id)
+"""
+
+OP8_SQL = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id
+), once AS (
+  SELECT min(conv_id) AS conv_id, turns, len(turns) AS n FROM c GROUP BY turns
+), kept AS (
+  SELECT a.* FROM once a WHERE NOT EXISTS (SELECT 1 FROM once b WHERE b.n > a.n AND b.turns[1] = a.turns[1] AND b.turns[1:a.n] = a.turns)
+)
+SELECT conv_id, n::BIGINT AS n_turns,
+  array_to_string([('<|im_start|>' || replace(x.role, '<|', '<' || chr(8203) || '|') || chr(10) || replace(x.text, '<|', '<' || chr(8203) || '|') || '<|im_end|>' || chr(10)) for x in turns], '') AS rendered
+FROM kept
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op3_decontamination": OP3_SQL,
+    "op8_chat_formatting": OP8_SQL,
 }
