@@ -33,7 +33,7 @@ SUBSET = 0.75
 STEPS = 4
 LEAST_GROUP = 50
 #: Least standard deviation of each transformed statistic.
-FLOOR = (0.05, 0.45, 0.45, 0.45)
+FLOOR = (0.05, 0.45, 0.6, 0.7)
 DIMENSIONS = len(FLOOR)
 #: Median of chi-square with four degrees of freedom, and its 1 - 1e-9 quantile.
 CHI2_MEDIAN, CUTOFF = 3.3567, 47.5
