@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import chat_formatting, decontamination, language_id, mcd_quality, packing, quality_rules_model, simhash, substring_dedup, suffix_dedup
+from pairforge.llm import chat_formatting, decontamination, language_id, mcd_quality, packing, quality_rules_model, simhash, site_style_tree, substring_dedup, suffix_dedup
 from pairforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style_tree.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -132,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_extraction": op5_html_extraction,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_chat_formatting": op8_chat_formatting,
