@@ -33,7 +33,8 @@ from pairforge.llm.spans import RepeatedSpans, attach_spans, byte_units, keyed,
 LEAST = 400
 GRAM = 32
 COLLECTION_BYTES = 1 << 19
-MOST_RUNS = 256
+#: A run has at most 2 * LEAST - GRAM bytes, so the largest collection has about 1.6 MB more than that.
+MOST_RUNS = 2048
 
 
 def _gather(docs: DataFrame, least: int):
