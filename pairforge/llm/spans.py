@@ -13,8 +13,8 @@ what is shuffled is a few hundredths of the units:
                     windows are compared, on the first occurrence of each path.
 
 Hashes are 64 bits each and always used in pairs.  Keys that very many rows share are reduced by
-partial aggregation before they are shuffled; joins on them have one row for each key on one side,
-so that adaptive execution can split the other.
+partial aggregation before they are shuffled; joins on them have one row for each key on one side, a
+stage table, so that adaptive execution can split the other.
 """
 
 from __future__ import annotations
@@ -144,7 +144,7 @@ class RepeatedSpans:
         every = stage(runs(docs, self.units, self.window, self.gram), "runs")
         if self.earlier_only:
             every = every.filter(F.col("doc_id").isNotNull())
-        twice = every.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a")
+        twice = stage(every.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a"), "twice")
         shared = stage(every.join(twice, "a"), "shared")
         paths = stage(
             shared.groupBy("a", "u").agg(F.count("*").alias("c"), F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min(F.struct("doc_id", "rk", "s")).alias("at"), F.max("n").alias("n")),
@@ -155,7 +155,7 @@ class RepeatedSpans:
     def branching(self, paths: DataFrame) -> DataFrame:
         """For each minimiser through which several paths pass: a, and their number."""
         found = paths.groupBy("a").agg(F.count("*").alias("n_paths"), F.min("d0").alias("lo"), F.max("d1").alias("hi")).filter("n_paths > 1")
-        return (found.filter("lo < hi") if self.earlier_only else found).select("a", "n_paths")
+        return stage((found.filter("lo < hi") if self.earlier_only else found).select("a", "n_paths"), "branching")
 
     def with_sources(self, docs: DataFrame, need: DataFrame) -> DataFrame:
         """The documents in which the first occurrences of ``need`` lie, with those as a list."""
@@ -170,17 +170,17 @@ class RepeatedSpans:
         """(a, u, offs) of the windows in ``rows`` (a stage table) that occur elsewhere."""
         if self.earlier_only:
             least = rows.groupBy("a", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-            hits = rows.join(least, ["a", "w"]).filter(F.col("doc_id") > F.col("lo"))
+            hits = rows.join(stage(least, "least"), ["a", "w"]).filter(F.col("doc_id") > F.col("lo"))
         else:
             twice = rows.groupBy("a", "w").agg(F.count("*").alias("c")).filter("c > 1")
-            hits = rows.join(twice, ["a", "w"])
+            hits = rows.join(stage(twice, "twice"), ["a", "w"])
         return hits.groupBy("a", "u").agg(F.collect_set("o").alias("offs"))
 
     def document_spans(self, shared: DataFrame, paths: DataFrame, flags: DataFrame) -> DataFrame:
         """(doc_id, rk, spans): the covered spans [b, e) of each document, in units."""
         whole: Column = (F.col("d0") < F.col("d1")) if self.earlier_only else (F.col("c") > 1)
         marks = paths.join(flags, ["a", "u"], "left").withColumn("whole", F.coalesce(whole, F.lit(False))).filter(F.col("whole") | F.col("offs").isNotNull()).select("a", "u", "d0", "whole", "offs")
-        hit = shared.join(marks, ["a", "u"])
+        hit = shared.join(stage(marks, "marks"), ["a", "u"])
         full = F.col("whole") & (F.col("doc_id") > F.col("d0")) if self.earlier_only else F.col("whole")
         pieces = F.when(full, F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + self.window - 1).alias("e")))).otherwise(
             F.transform("offs", lambda o: F.struct((F.col("s") + o).alias("b"), (F.col("s") + o + self.window).alias("e")))
