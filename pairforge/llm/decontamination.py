@@ -11,7 +11,8 @@ distance in the window is a proximity match.
 
 Words are runs of a-z, 0-9 and non-ASCII characters, A-Z lower-cased.  Null texts have none.
 Defined cases: items with a null id or without words never occur; rows that share a doc_id, or whose
-doc_id is null, are judged each by its own text; items that repeat one text all count.
+doc_id is null, are judged each by its own text; items that repeat one text all count.  Columns of
+the documents pass through, except for those named like a result or working column of :func:`match`.
 
 The index is a stage table.  Test terms and windows are broadcast only below a counted number of
 rows; beyond it both sides are shuffled.
@@ -93,7 +94,7 @@ def _covered(spans: Column) -> Column:
 def match(documents: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every document (all its columns) with ``n_words``, ``phrases`` (exact matches: start, length,
     item_ids), ``near`` (proximity matches: start, gap, item_ids), ``n_hit`` and ``items``."""
-    results = ("ws", "found", "n_words", "phrases", "near", "n_hit", "items")
+    results = ("ws", "found", "found_doc", "exact", "n_words", "phrases", "near", "n_hit", "items")
     docs = documents.drop(*results)
     tokens = _tokens(docs.select("doc_id", words(F.col("text")).alias("ws")))
     phrases = stage(windows(items, size).withColumn("phrase_id", F.xxhash64("phrase")), "phrases")
