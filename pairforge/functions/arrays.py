@@ -21,7 +21,7 @@ def parse_json_list(c: Column) -> Column:
 
 def strip_fence(c: Column) -> Column:
     """JSON text without the code fence around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r"^```[a-zA-Z]*", ""), r"```$", ""))
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s*(```[a-zA-Z]*)?\s*|\s*(```)?\s*$", "")
 
 
 def jaccard(a: Column, b: Column) -> Column:

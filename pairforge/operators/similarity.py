@@ -19,11 +19,14 @@ def word_grams(df: DataFrame, key: str, text: str, least_length: int = 2) -> Dat
 
 
 def char_grams(df: DataFrame, key: str, text: str, sizes: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
-    """(key, gram, tf): character n-grams inside words padded by one space on each side; a padded
-    word shorter than n gives itself once, and no longer n."""
+    """(key, gram, tf): character n-grams inside words padded by one space on each side."""
     w = df.select(key, F.explode(F.split(preprocess(F.col(text)), " ")).alias("w")).filter("w <> ''").withColumn("p", F.concat(F.lit(" "), "w", F.lit(" ")))
     n = F.length("p")
-    grams = F.concat(*[F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i, k=k: F.substring(F.col("p"), i, F.lit(k)))).otherwise(F.array(F.col("p")) if k == sizes[0] else F.array().cast("array<string>")) for k in sizes])
+
+    def of_size(k: int):
+        return F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col("p"), i, F.lit(k)))
+
+    grams = F.concat(*[F.when(n >= k, of_size(k)).otherwise(F.array().cast("array<string>")) for k in sizes])
     return w.select(key, F.explode(grams).alias("gram")).groupBy(key, "gram").agg(F.count("*").alias("tf"))
 
 

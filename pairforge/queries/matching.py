@@ -248,7 +248,25 @@ FROM v a JOIN v b USING (gram) WHERE a.key[1] = 'c' AND b.key[1] = 'o' GROUP BY
 """
 
 
-_e = "embedding::DOUBLE[64]"
+HYBRID_SQL = f"""
+WITH d AS (SELECT 'c' || doc_id AS key, text FROM documents UNION ALL SELECT 'o' || item_id, text FROM benchmark),
+n AS (SELECT count(*) AS n FROM d),
+w AS (SELECT key, list_filter(string_split({pp('text')}, ' '), lambda x: x <> '') AS w FROM d),
+l AS (SELECT key, list_filter(w, lambda x: length(x) >= 2) AS w FROM w),
+g AS (
+  SELECT key, 'w' AS kind, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))])) AS gram FROM l
+  UNION ALL
+  SELECT key, 'c', p[i:i + k - 1] FROM (SELECT key, p, k, unnest(range(1, length(p) - k + 2)) AS i FROM (SELECT key, ' ' || unnest(w) || ' ' AS p FROM w) CROSS JOIN (SELECT unnest([3, 4, 5]) AS k) WHERE length(p) >= k)
+),
+c AS (SELECT key, kind, gram, count(*) AS tf FROM g GROUP BY ALL),
+df AS (SELECT kind, gram, count(*) AS df FROM c GROUP BY ALL),
+raw AS (SELECT key, kind, gram, (1 + ln(tf)) * (ln((1 + n) / (1 + df)) + 1) AS w FROM c JOIN df USING (kind, gram), n WHERE df >= CASE kind WHEN 'c' THEN 2 ELSE 1 END),
+z AS (SELECT key, kind, sqrt(sum(w * w)) / (CASE WHEN kind = 'c' THEN 0.5 ELSE 1.0 END) AS z FROM raw GROUP BY key, kind),
+v AS (SELECT key, kind, gram, w / z AS w FROM raw JOIN z USING (key, kind))
+SELECT a.key[2:]::BIGINT AS cid, b.key[2:]::BIGINT AS oid, round(sum(a.w * b.w), 6) AS cosine
+FROM v a JOIN v b USING (kind, gram) WHERE a.key[1] = 'c' AND b.key[1] = 'o' GROUP BY a.key, b.key
+"""
+
 COSINE = """
 e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS z FROM embeddings),
 cs AS (SELECT a.vec_id AS cid, b.vec_id AS oid, a.label AS label, round(list_dot_product(a.v, b.v) / (greatest(a.z, 1e-12) * greatest(b.z, 1e-12)), 9) AS cosine
@@ -284,7 +302,7 @@ SQL = {
     "evidence_terms": f"WITH {VOCAB_CTE} SELECT cid, oid, token, strict FROM ev",
     "evidence_score": f"WITH {VOCAB_CTE} SELECT cid, oid, n_terms, round(evidence_score, 6) AS evidence_score, array_to_string(terms, ' ') AS terms FROM evidence",
     "g1_terms": f"WITH {VOCAB_CTE} SELECT cid, oid, array_to_string((list(token ORDER BY -idf, -length(token), token))[1:5], ' ') AS terms FROM ev WHERE length(token) >= 4 AND NOT list_contains({sql_list(dims.EXPLANATION_BLACKLIST_G1)}, token) GROUP BY cid, oid",
-    "tfidf_word": _grams_sql(False, 1.0), "sparse_score": _grams_sql(True, 0.95),
+    "tfidf_word": _grams_sql(False, 1.0), "sparse_score": _grams_sql(True, 0.95), "tfidf_hybrid": HYBRID_SQL,
     "cosine_dense": f"WITH {COSINE} SELECT cid, oid, cosine FROM cs",
     "focus_blend": f"WITH {COSINE}, {BLEND} SELECT cid, oid, cosine FROM bs",
     "percentile_rank": f"WITH {COSINE} SELECT cid, oid, round((row_number() OVER (ORDER BY cosine, cid, oid) - 1) / greatest(1, count(*) OVER () - 1), 9) AS pct FROM cs",
