@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge import dims
+from pairforge.functions.arrays import half_up
 from pairforge.operators.ranking import ranked
 from pairforge.operators.similarity import percentile_rank
 from pairforge.operators.vocabulary import evidence, evidence_terms, protected_terms, token_rows, vocabulary
@@ -22,9 +23,9 @@ def ranked_matches(companies: DataFrame, opportunities: DataFrame, top: int = 3)
     vocab = vocabulary(corpus, protected_terms(opportunities), o.select("token"))
     found = evidence(evidence_terms(c, o, vocab)).filter(F.col("n_terms") >= dims.MIN_EVIDENCE_TERMS)
     pairs = found.join(companies.select("cid", F.col("sector").alias("cs")), "cid").join(opportunities.select("oid", F.col("sector").alias("os")), "oid")
-    scored = pairs.select("cid", "oid", "n_terms", F.round("evidence_score", 6).alias("evidence"), F.when(F.col("cs") == F.col("os"), 1.0).otherwise(0.0).alias("sector"))
+    scored = pairs.select("cid", "oid", "n_terms", half_up(F.col("evidence_score"), 6).alias("evidence"), F.when(F.col("cs") == F.col("os"), 1.0).otherwise(0.0).alias("sector"))
     w = dims.WEIGHTS_G3
     final = (w["profile"] + w["product"]) * F.col("pct") + w["sector"] * F.col("sector") + w["evidence"] * F.col("evidence")
-    fused = percentile_rank(scored, "evidence", ["cid", "oid"], "pct").withColumn("final", F.round(final, 6))
+    fused = percentile_rank(scored, "evidence", ["cid", "oid"], "pct").withColumn("final", half_up(final, 6))
     best = ranked(fused, "oid", [F.col("final").desc(), "cid"], "rank").filter(F.col("rank") <= top)
-    return best.select("oid", "cid", "rank", "n_terms", F.round("evidence", 4).alias("evidence"), "sector", F.round("final", 4).alias("final"))
+    return best.select("oid", "cid", "rank", "n_terms", half_up(F.col("evidence"), 4).alias("evidence"), "sector", half_up(F.col("final"), 4).alias("final"))

@@ -221,13 +221,13 @@ _w = dims.WEIGHTS_G3
 RANKED_SQL = f"""
 WITH {VOCAB_CTE},
 sc AS (
-  SELECT e.cid, e.oid, e.n_terms, round(e.evidence_score, 6) AS evidence, CASE WHEN c.sector = o.sector THEN 1.0 ELSE 0.0 END AS sector
+  SELECT e.cid, e.oid, e.n_terms, round(e.evidence_score + 1e-9, 6) AS evidence, CASE WHEN c.sector = o.sector THEN 1.0 ELSE 0.0 END AS sector
   FROM evidence e JOIN co c USING (cid) JOIN op o USING (oid) WHERE e.n_terms >= {dims.MIN_EVIDENCE_TERMS}
 ),
 p AS (SELECT *, (row_number() OVER (ORDER BY evidence, cid, oid) - 1) / greatest(1, count(*) OVER () - 1) AS pct FROM sc),
-f AS (SELECT *, round({_w['profile'] + _w['product']} * pct + {_w['sector']} * sector + {_w['evidence']} * evidence, 6) AS final FROM p),
+f AS (SELECT *, round({_w['profile'] + _w['product']} * pct + {_w['sector']} * sector + {_w['evidence']} * evidence + 1e-9, 6) AS final FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY oid ORDER BY final DESC, cid) AS rank FROM f)
-SELECT oid, cid, rank::INT AS rank, n_terms, round(evidence, 4) AS evidence, sector, round(final, 4) AS final FROM r WHERE rank <= 3
+SELECT oid, cid, rank::INT AS rank, n_terms, round(evidence + 1e-9, 4) AS evidence, sector, round(final + 1e-9, 4) AS final FROM r WHERE rank <= 3
 """
 
 
