@@ -32,13 +32,17 @@ def is_common(cnt: Column, ratio: Column) -> Column:
 
 
 def vocabulary(corpus: DataFrame, protected: DataFrame, domain_tokens: DataFrame) -> DataFrame:
-    """(token, cnt, n, idf, doc_ratio, is_common, is_protected, is_domain).
+    """The vocabulary of ``corpus``: (key, text), one row for each text."""
+    n = corpus.agg(F.greatest(F.count("*"), F.lit(1)).alias("n"))
+    return vocabulary_of_tokens(token_rows(corpus, "key", "text"), n, protected, domain_tokens)
+
 
-    ``corpus``: (key, text), one row for each text; ``domain_tokens``: (token) from sector and
-    requirement texts.
+def vocabulary_of_tokens(tokens: DataFrame, n_docs: DataFrame, protected: DataFrame, domain_tokens: DataFrame) -> DataFrame:
+    """(token, cnt, n, idf, doc_ratio, is_common, is_protected, is_domain) from token rows made before.
+
+    ``domain_tokens``: (token) from sector and requirement texts; ``n_docs``: one row with ``n``.
     """
-    n = corpus.agg(F.greatest(F.count("*"), F.lit(1)).alias("n"))
-    df = document_frequency(token_rows(corpus, "key", "text"), n)
+    df = document_frequency(tokens, n_docs)
     p = protected.select("token", F.lit(True).alias("is_protected"))
     d = domain_tokens.select("token").union(protected.select("token")).distinct().filter(F.length("token") >= 4).select("token", F.lit(True).alias("is_domain"))
     out = df.join(p, "token", "left").join(d, "token", "left").na.fill(False, ["is_protected", "is_domain"])

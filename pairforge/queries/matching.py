@@ -11,16 +11,12 @@ from pairforge.functions.text import preprocess, static_tokens
 from pairforge.operators import matching_text as M
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
-from pairforge.plans.ranked_matches import ranked_matches
+from pairforge.plans.ranked_matches import ranked_matches, shared_terms
 from pairforge.queries.base import COMPANIES_SQL, LANGS, OPPORTUNITIES_SQL, VOCAB_CTE, companies, opportunities, pick, pp, sql_list, sql_map, sql_pick, sql_text, t
 
 S = SparkSession
 
 
-def _tokens(s: S, d: str) -> tuple[DataFrame, DataFrame]:
-    return V.token_rows(companies(s, d), "cid", "text"), V.token_rows(opportunities(s, d), "oid", "text")
-
-
 def _vocab(s: S, d: str) -> DataFrame:
     c, o = companies(s, d), opportunities(s, d)
     corpus = c.select(F.concat(F.lit("c"), F.col("cid").cast("string")).alias("key"), "text").union(o.select(F.concat(F.lit("o"), F.col("oid").cast("string")), "text"))
@@ -40,8 +36,7 @@ def common_tokens(s: S, d: str) -> DataFrame:
 
 
 def _terms(s: S, d: str) -> DataFrame:
-    c, o = _tokens(s, d)
-    return V.evidence_terms(c, o, _vocab(s, d))
+    return shared_terms(companies(s, d), opportunities(s, d))
 
 
 def evidence_terms(s: S, d: str) -> DataFrame:
