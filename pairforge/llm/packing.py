@@ -7,8 +7,8 @@ one length form a bucket: the length's exponent leads ``sequence_id``, so orderi
 equal lengths, and :func:`write_buckets` stores one folder for each length.
 
 White space never enters a token of the tokenizers meant here (it is dropped before the text is
-split), so texts are cut at white space and the ids of each different piece are kept: a word is
-tokenized once in a while, not each time.  Texts with separators that Python and the tokenizer
+split, case is folded, and letters never join other characters), so texts are cut at white space and the
+ids of each different word are kept: a word is tokenized once in a while, not each time.  Texts with separators that Python and the tokenizer
 see differently are tokenized whole.
 
 Defined cases: null text is empty and gives the end id alone; repeated rows and rows that share a
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,8 +28,10 @@ from pyspark.sql import types as T
 
 SEQUENCE = 4096
 END_ID = 2
-#: Words whose ids a worker keeps; it starts anew beyond.
-KEPT_WORDS = 1 << 18
+#: Words and letter runs whose ids a task keeps (about 120 MB); it starts anew beyond.
+KEPT_WORDS = 600_000
+#: Characters of the texts whose words are looked up together.
+GROUP_CHARS = 1 << 20
 #: Bytes of ids in one batch of results.
 BATCH_BYTES = 8 << 20
 
@@ -42,35 +43,70 @@ def lengths(n: int, most: int = SEQUENCE) -> list[int]:
 
 
 def _ids_of(source: str):
-    """text -> its ids as little-endian 32-bit integers, for the tokenizer defined by ``source``."""
+    """A function from a list of texts to their ids as little-endian 32-bit integers, for the tokenizer
+    defined by ``source``.  What it keeps goes with it at the end of a task."""
     import numpy as np
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    held = sys.__dict__.setdefault("_worker_tokenizers", {})  # outlives a task in a reused worker
-    key = hash(source)
-    if key not in held:
-        held.clear()
-        held[key] = (Tokenizer.from_str(source), {})
-    tokenizer, known = held[key]
+    tokenizer = Tokenizer.from_str(source)
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    del vocabulary
+    cores: dict[str, bytes] = {}
+    known: dict[str, bytes] = {}
     odd = re.compile("[\x1c-\x1f]").search
 
     def encode(texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(text: str) -> bytes:
-        if odd(text):
-            return encode([text])[0]
-        words = text.split()
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            missing = list({w for w in words if w not in known})
-            known.update(zip(missing, encode(missing), strict=True))
-            return b"".join(map(known.__getitem__, words))
+    def learn_cores(words: list[str]) -> None:
+        """Words of letters only are one token group each: they are encoded together, and the group ends
+        tell them apart."""
+        if not words:
+            return
+        ids = np.asarray(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        cut = np.flatnonzero(ends[ids]) + 1
+        if len(cut) != len(words) or cut[-1] != len(ids):
+            cores.update(zip(words, encode(words), strict=True))
+            return
+        data, at = ids.tobytes(), 0
+        for word, to in zip(words, (4 * cut).tolist(), strict=True):
+            cores[word] = data[at:to]
+            at = to
+
+    def learn(words: set[str]) -> None:
+        """The ids of words: letters, in any case, and full stops and commas after them are looked up apart."""
+        plain: dict[str, tuple[str, str]] = {}
+        rest: list[str] = []
+        for w in words:
+            core = w.rstrip(".,")
+            if core.isascii() or not ("\u03a3" in core or "\u0130" in core):  # lower-cased by context in Python
+                key = core.lower()
+            else:
+                key = core
+            if key.isalpha():
+                plain[w] = (key, w[len(core) :])
+            else:
+                rest.append(w)
+        learn_cores(list({k for k, _ in plain.values()} - cores.keys()))
+        tails = list({t for _, t in plain.values() if t})
+        after = {"": b"", **dict(zip(tails, encode(tails), strict=True))}
+        for w, (key, tail) in plain.items():
+            known[w] = cores[key] + after[tail]
+        known.update(zip(rest, encode(rest), strict=True))
+
+    def ids(texts: list[str]) -> list[bytes]:
+        split = [None if odd(t) else t.split() for t in texts]
+        if len(known) + len(cores) > KEPT_WORDS:
+            known.clear()
+            cores.clear()
+        missing = {w for words in split if words for w in words} - known.keys()
+        if missing:
+            learn(missing)
+        return [encode([t])[0] if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
 
     return ids
 
@@ -89,6 +125,17 @@ def pack(documents: DataFrame, tokenizer_path: str, most: int = SEQUENCE, end_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _ids_of(source.value)
+
+        def in_groups(column: pa.Array) -> Iterator[bytes]:
+            group, size = [], 0
+            for text in column:
+                group.append(text.as_py() or "")
+                size += len(group[-1])
+                if size >= GROUP_CHARS:
+                    yield from ids_of(group)
+                    group, size = [], 0
+            yield from ids_of(group)
+
         for batch in batches:
             doc_ids = batch.column(0)
             rows, starts, sizes, ids, totals, held = [], [], [], [], [], 0
@@ -98,8 +145,8 @@ def pack(documents: DataFrame, tokenizer_path: str, most: int = SEQUENCE, end_id
                     [doc_ids.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(totals, pa.int64())], names=names
                 )
 
-            for i, text in enumerate(batch.column(1)):
-                all_ids = ids_of(text.as_py() or "") + end
+            for i, one in enumerate(in_groups(batch.column(1))):
+                all_ids = one + end
                 n, at = len(all_ids) // 4, 0
                 for size in lengths(n, most):
                     rows.append(i)
