@@ -33,15 +33,46 @@ _U = np.uint64
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
+#: A document of more bytes is worked on in parts, so that memory stays bounded.
+LONG_BYTES = 4 << 20
+#: Bytes of shorter documents that are taken together.
+CHUNK = 1 << 19
+
+
 def word_units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    start, end, rows = word_spans(data, off)
-    return word_hashes(data, start, end), rows
+    if len(data) <= LONG_BYTES:
+        start, end, rows = word_spans(data, off)
+        return word_hashes(data, start, end), rows
+    parts, at = [], 0  # one long document: parts end after a separator
+    while at < len(data):
+        to = min(at + LONG_BYTES, len(data))
+        while to < len(data) and data[to - 1] > 0x20:
+            to += 1
+        start, end, _ = word_spans(data[at:to], np.array([0, to - at]))
+        parts.append(word_hashes(data[at:to], start, end))
+        at = to
+    values = np.concatenate(parts)
+    return values, np.array([0, len(values)])
 
 
 def byte_units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return BYTE_VALUE[data], off
 
 
+def parts_of(units: Units, data: np.ndarray, off: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first unit, units, row offsets): a chunk as it is, or one long document in parts that overlap by a
+    window less one.  Where a part ends, a run ends; runs that are cut differently in two documents
+    meet as different paths of one minimiser, so their windows are still compared."""
+    if len(data) <= LONG_BYTES:
+        yield 0, *units(data, off)
+        return
+    by_byte = units.__name__ == "byte_units"
+    values = data if by_byte else units(data, off)[0]
+    for lo in range(0, len(values), LONG_BYTES):
+        part = values[lo : lo + LONG_BYTES + window - 1]
+        yield lo, BYTE_VALUE[part] if by_byte else part, np.array([0, len(part)])
+
+
 def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int):
     """(row, minimiser hash, content hash, first window, number of windows) of each run."""
     n = len(values)
@@ -82,15 +113,15 @@ def runs(docs: DataFrame, units: Units, window: int, gram: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, data, off in chunks(batch, "text", 1 << 19):
-                values, rows = units(data, off)
-                row, a, u, s, n = window_runs(values, rows, window, gram)
-                if len(row):
-                    pick = pa.array(row + lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(a), pa.array(u), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32))],
-                        names=["doc_id", "rk", "a", "u", "s", "n"],
-                    )
+            for lo, data, off in chunks(batch, "text", CHUNK):
+                for first, values, rows in parts_of(units, data, off, window):
+                    row, a, u, s, n = window_runs(values, rows, window, gram)
+                    if len(row):
+                        pick = pa.array(row + lo)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(a), pa.array(u), pa.array((s + first).astype(np.int32)), pa.array(n.astype(np.int32))],
+                            names=["doc_id", "rk", "a", "u", "s", "n"],
+                        )
 
     return docs.select("doc_id", "rk", "text").mapInArrow(scan, schema)
 
@@ -105,13 +136,30 @@ def lists(batch: pa.RecordBatch, column: str):
     return off, {flat.type.field(i).name: flat.field(i) for i in range(flat.type.num_fields)}
 
 
+def _long_window_rows(batch: pa.RecordBatch, at: int, data: np.ndarray, units: Units, window: int, items: np.ndarray, a, u, s, n) -> Iterator[pa.RecordBatch]:
+    """The rows of one long document: each run is hashed by itself."""
+    by_byte = units.__name__ == "byte_units"
+    values = data if by_byte else units(data, np.array([0, len(data)]))[0]
+    for k in items:
+        size = int(n[k])
+        part = values[s[k] : s[k] + size + window - 1]
+        prefix = prefix_hash(BYTE_VALUE[part] if by_byte else part)
+        o = np.arange(size)
+        w = span_hash(prefix, o, o + window)
+        doc = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(np.repeat(at, size)))
+        yield pa.RecordBatch.from_arrays([doc, pa.array(np.repeat(a[k], size)), pa.array(np.repeat(u[k], size)), pa.array(o.astype(np.int32)), pa.array(w.view(np.int64))], names=["doc_id", "a", "u", "o", "w"])
+
+
 def window_rows(batch: pa.RecordBatch, units: Units, window: int, keep: str | None = None) -> Iterator[pa.RecordBatch]:
     """(a, u, o, w): the hash of each window of the runs listed in ``need``."""
-    data_off = chunks(batch, "text", 1 << 19)
+    data_off = chunks(batch, "text", CHUNK)
     off, need = lists(batch, "need")
     pick = np.asarray(need[keep]) if keep else np.ones(off[-1], dtype=bool)
     a, u, s, n = (np.asarray(need[k]) for k in "ausn")
     for lo, data, rows_off in data_off:
+        if len(data) > LONG_BYTES:
+            yield from _long_window_rows(batch, lo, data, units, window, np.arange(off[lo], off[lo + 1])[pick[off[lo] : off[lo + 1]]], a, u, s, n)
+            continue
         values, rows = units(data, rows_off)
         prefix = prefix_hash(values)
         hi = lo + len(rows_off) - 1

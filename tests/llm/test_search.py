@@ -52,7 +52,7 @@ def test_decontamination_equals_brute_force(spark, broadcast_rows):
 
 def test_decontamination_proximity(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha x beta gamma"), (3, "alpha"), (4, "x x x x")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "beta x gamma"), (3, "alpha alpha"), (4, "x x x x")], "doc_id long, text string")
     got = {r.doc_id: r for r in decontamination.match(docs, items).collect()}
     assert got[1].n_hit == 3 and got[2].n_hit == 0 and any(abs(n.gap) == 1 for n in got[2].near)
     assert not got[3].near and not got[4].near

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from pairforge.llm import substring_dedup, suffix_dedup
+from pairforge.llm import spans, substring_dedup, suffix_dedup
 from pairforge.llm.bwt import repeated_starts
 from pairforge.llm.spans import window_runs
 
@@ -50,6 +50,18 @@ def test_substring_dedup_equals_brute_force(spark, k):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == brute_words(docs, k)
 
 
+def test_long_documents_are_worked_on_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(spans, "LONG_BYTES", 100)
+    monkeypatch.setattr(spans, "CHUNK", 100)
+    docs = corpus(1, 30)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(df, window=6).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == brute_words(docs, 6)
+    for most in (256, 1):
+        got = suffix_dedup.remove_repeats(df, least=25, most_runs=most).collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == brute_bytes(docs, 25)
+
+
 def test_substring_dedup_odd_rows(spark, odd, none):
     got = substring_dedup.remove_repeats(odd, window=50).collect()
     assert len(got) == odd.count()
