@@ -63,7 +63,7 @@ def test_decontamination_empty_sides(spark, odd, none):
     assert decontamination.match(none, items).count() == 0
     assert {r.n_hit for r in decontamination.match(odd, items.limit(0)).collect()} == {0}
     got = decontamination.match(odd, items).collect()
-    assert len(got) == odd.count() and {r.n_hit for r in got if r.doc_id in (1, 2)} == {120}
+    assert len(got) == odd.count() and {r.n_hit for r in got if r.doc_id in (1, 2)} == {119}
 
 
 def _brute_statistics(t):
