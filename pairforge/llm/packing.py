@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,10 +53,10 @@ def _ids_of(source: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(source)
-    vocabulary = tokenizer.get_vocab()
-    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-    ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    del vocabulary
+    tokenize = tokenizer.model.tokenize
+    # how the tokenizer writes bytes as characters: printable ones as they are, others from 256 on
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
     cores: dict[str, bytes] = {}
     known: dict[str, bytes] = {}
     odd = re.compile("[\x1c-\x1f]").search
@@ -62,40 +64,29 @@ def _ids_of(source: str):
     def encode(texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_cores(words: list[str]) -> None:
-        """Words of letters only are one token group each: they are encoded together, and the group ends
-        tell them apart."""
-        if not words:
-            return
-        ids = np.asarray(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
-        cut = np.flatnonzero(ends[ids]) + 1
-        if len(cut) != len(words) or cut[-1] != len(ids):
-            cores.update(zip(words, encode(words), strict=True))
-            return
-        data, at = ids.tobytes(), 0
-        for word, to in zip(words, (4 * cut).tolist(), strict=True):
-            cores[word] = data[at:to]
-            at = to
+    after: dict[str, bytes] = {}
 
     def learn(words: set[str]) -> None:
-        """The ids of words: letters, in any case, and full stops and commas after them are looked up apart."""
-        plain: dict[str, tuple[str, str]] = {}
+        """The ids of words: letters, in any case, and full stops and commas after them are looked up apart.
+        Lower-case letters only are one token group, which the model takes without the search for groups."""
         rest: list[str] = []
         for w in words:
             core = w.rstrip(".,")
-            if core.isascii() or not ("\u03a3" in core or "\u0130" in core):  # lower-cased by context in Python
-                key = core.lower()
-            else:
-                key = core
-            if key.isalpha():
-                plain[w] = (key, w[len(core) :])
-            else:
-                rest.append(w)
-        learn_cores(list({k for k, _ in plain.values()} - cores.keys()))
-        tails = list({t for _, t in plain.values() if t})
-        after = {"": b"", **dict(zip(tails, encode(tails), strict=True))}
-        for w, (key, tail) in plain.items():
-            known[w] = cores[key] + after[tail]
+            key = core.lower()
+            plain = core.isascii() or not ("\u03a3" in core or "\u0130" in core)  # these are lower-cased by context in Python
+            got = cores.get(key) if plain else None
+            if got is None:
+                if not (plain and key.isalpha() and (key.isascii() or unicodedata.is_normalized("NFC", key))):
+                    rest.append(w)
+                    continue
+                data = key if key.isascii() else key.encode().decode("latin-1").translate(others)
+                got = cores[key] = array("I", [t.id for t in tokenize(data)]).tobytes()
+            if len(core) < len(w):
+                tail = w[len(core) :]
+                if tail not in after:
+                    after[tail] = encode([tail])[0]
+                got += after[tail]
+            known[w] = got
         known.update(zip(rest, encode(rest), strict=True))
 
     def ids(texts: list[str]) -> list[bytes]:
@@ -103,7 +94,7 @@ def _ids_of(source: str):
         if len(known) + len(cores) > KEPT_WORDS:
             known.clear()
             cores.clear()
-        missing = {w for words in split if words for w in words} - known.keys()
+        missing = set().union(*filter(None, split)).difference(known)
         if missing:
             learn(missing)
         return [encode([t])[0] if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
