@@ -6,21 +6,30 @@ Statistics of each whole text (words are runs of non-white-space):
 in 8-word windows that the text holds twice or more, the first included).
 
 Base rules fail a text of fewer than 20 words or with over 30 % repeated words.  For the others,
-rates are transformed by logarithms and a minimum-covariance-determinant estimate is made for each
-language and source: from medians and quartiles, concentration steps keep the three quarters of
+smoothed rates are transformed by logarithms and a minimum-covariance-determinant estimate is made for
+each language and source: from medians and quartiles, concentration steps keep the three quarters of
 the rows with the least Mahalanobis distance and estimate mean and covariance anew; the covariance
-is then scaled so that the median distance is the one of a normal sample.  A text is rejected
-if its squared distance exceeds ``CUTOFF``.  Every step is a group-by with partial aggregation (means,
-covariances, percentile sketches) and a join with one row for each group.
+is then scaled so that the median distance is the one of a normal sample with as many dimensions as
+vary in the group.  A text is rejected if its squared distance exceeds ``CUTOFF``.  Every step is a
+group-by with partial aggregation (means, covariances, percentile sketches) and a join with one row
+for each group.
+
+Rates are smoothed so that a short text's noise is not taken for an outlier: its word length counts with
+``PRIOR`` words of the group's median length, its symbols, repeated lines and repeated passages (of
+``2 * WINDOW`` words, both places counted) with ``PRIOR`` words that have none.
 
 Defined cases: null texts have no words and fail; null languages and sources are groups of their
 own; sources with fewer than ``LEAST_GROUP`` usable texts in a language are estimated together, and
-where even that is too few, nothing is rejected.  A covariance never falls below ``FLOOR`` in any
-direction of an axis, so constant statistics don't make every deviation infinite.
+where even that is too few, nothing is rejected.  In most groups three quarters of the texts have no
+symbol, repeated line or passage at all, and the covariance is singular; ``FLOOR`` is added to each
+axis.  For counts it is such that one symbol or repeated line alone never rejects a text of usual word
+length, while two can if the text is short; a repeated passage longer than ``WINDOW`` words can.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +41,15 @@ WINDOW = 8
 SUBSET = 0.75
 STEPS = 4
 LEAST_GROUP = 50
-#: Least standard deviation of each transformed statistic.
-FLOOR = (0.05, 0.45, 0.6, 0.7)
+#: Medians of chi-square with 1 to 4 degrees of freedom, and the 0.999 quantile with 4.
+CHI2_MEDIANS, CUTOFF = (0.4549, 1.3863, 2.3660, 3.3567), 18.467
+#: Words by which each rate is smoothed.
+PRIOR = (50, 200, 200, 200)
+#: Share of CUTOFF that one symbol, one repeated line and one passage of the least length reach at most.
+ONE = (2 / 3, 2 / 3, 1)
+#: Standard deviations added against singular covariances; those of the counts follow from ONE.
+FLOOR = (0.01, *(math.log1p(100.0 / p) / math.sqrt(share * CUTOFF) for p, share in zip(PRIOR[1:], ONE, strict=True)))
 DIMENSIONS = len(FLOOR)
-#: Median of chi-square with four degrees of freedom, and its 1 - 1e-9 quantile.
-CHI2_MEDIAN, CUTOFF = 3.3567, 47.5
 _Z = [f"z{k}" for k in range(DIMENSIONS)]
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -68,10 +81,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def transformed() -> list[Column]:
-    """The statistic vector: word length and the rates of symbols, repeated lines and words."""
-    n = F.greatest(F.col("n_words"), F.lit(1))
-    return [F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n), *(F.log1p(100.0 * F.col(c) / n) for c in ("n_symbols", "n_dup_lines", "n_repeat_words"))]
+def transformed(usual: Column) -> list[Column]:
+    """The statistic vector: word length and the rates of symbols, repeated lines and passages, smoothed.
+    ``usual`` is the group's usual word length."""
+    n = F.col("n_words")
+    length = F.log(F.greatest(F.col("word_chars") + PRIOR[0] * usual, F.lit(1)) / (n + PRIOR[0]))
+    events = ("n_symbols", 1), ("n_dup_lines", 1), ("n_repeat_words", 2 * WINDOW)
+    return [length, *(F.log1p(100.0 / size * F.col(c) / (n + p)) for (c, size), p in zip(events, PRIOR[1:], strict=True))]
 
 
 def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -91,16 +107,22 @@ def _start(rows: DataFrame) -> DataFrame:
     return out.withColumns({f"l{i}{j}": F.lit(0.0) for i in range(DIMENSIONS) for j in range(i)})
 
 
+_PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
+
+
 def _estimate(rows: DataFrame) -> DataFrame:
-    """Mean and the Cholesky factor of the floored covariance of each group."""
-    pairs = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
-    e = rows.groupBy(*_GROUP).agg(*[F.avg(z).alias(f"m{k}") for k, z in enumerate(_Z)], *[F.covar_pop(f"z{i}", f"z{j}").alias(f"c{i}{j}") for i, j in pairs])
-    for i, j in pairs:
+    """Mean and covariance of each group, and the covariance's factor."""
+    return _factored(rows.groupBy(*_GROUP).agg(*[F.avg(z).alias(f"m{k}") for k, z in enumerate(_Z)], *[F.covar_pop(f"z{i}", f"z{j}").alias(f"c{i}{j}") for i, j in _PAIRS]))
+
+
+def _factored(e: DataFrame) -> DataFrame:
+    """``e`` with the Cholesky factor of the floored covariance of each group."""
+    for i, j in _PAIRS:
         s = F.col(f"c{i}{j}") + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))
         for k in range(j):
             s = s - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         e = e.withColumn(f"l{i}{j}", F.sqrt(F.greatest(s, F.lit(FLOOR[i] ** 2 / 4))) if i == j else s / F.col(f"l{j}{j}"))
-    return e.select(*_GROUP, *[f"m{k}" for k in range(DIMENSIONS)], *[f"l{i}{j}" for i, j in pairs])
+    return e.select(*_GROUP, *[f"m{k}" for k in range(DIMENSIONS)], *[f"c{i}{j}" for i, j in _PAIRS], *[f"l{i}{j}" for i, j in _PAIRS])
 
 
 def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -115,17 +137,20 @@ def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
 
 
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """The MCD estimate of each group of ``rows`` (group keys and z0...), with ``scale``, by which
-    squared distances are divided.  A stage table with one row for each group."""
+    """The MCD estimate of each group of ``rows`` (group keys and z0...).  A stage table with one row
+    for each group."""
     now = stage(_start(rows), "mcd")
     for _ in range(steps):
         d = _distances(rows, now)
         most = stage(d.groupBy(*_GROUP).agg(F.percentile_approx("d2", SUBSET, 2000).alias("most")), "mcd")
         now = stage(_estimate(_with_group(d, most).filter("d2 <= most")), "mcd")
+    # axes that don't vary add nothing to the median distance
+    vary = sum((F.col(f"c{k}{k}") > FLOOR[k] ** 2).cast("int") for k in range(DIMENSIONS))
     middle = _distances(rows, now).groupBy(*_GROUP).agg(F.percentile_approx("d2", 0.5, 2000).alias("mid"))
-    m = middle.select(*[F.col(c).alias(f"k_{c}") for c in _GROUP], F.greatest(F.col("mid") / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
-    on = now["g_lang"].eqNullSafe(m["k_g_lang"]) & now["g_source"].eqNullSafe(m["k_g_source"]) & (now["g_rest"] == m["k_g_rest"])
-    return stage(now.join(m, on).drop(*[f"k_{c}" for c in _GROUP]), "mcd")
+    usual = F.element_at(F.array(*[F.lit(x) for x in CHI2_MEDIANS]), F.greatest(vary, F.lit(1)))
+    scaled = _with_group(now, middle).withColumn("scale", F.greatest(F.col("mid") / usual, F.lit(1.0)))
+    scaled = scaled.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") * F.col("scale") for i, j in _PAIRS})
+    return stage(_factored(scaled), "mcd")
 
 
 def judge(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
@@ -135,13 +160,13 @@ def judge(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     sizes = stage(usable.groupBy(F.col("lang").alias("n_lang"), F.col("source").alias("n_source")).agg(F.count("*").alias("n")), "sizes")
     on = s["lang"].eqNullSafe(sizes["n_lang"]) & s["source"].eqNullSafe(sizes["n_source"])
     rest = F.coalesce(F.col("n"), F.lit(0)) < LEAST_GROUP
-    z = dict(zip(_Z, transformed(), strict=True))
-    rows = s.join(sizes, on, "left").withColumns({"g_rest": rest}).withColumns({"g_lang": F.col("lang"), "g_source": F.when(~F.col("g_rest"), F.col("source")), **z}).drop("n", "n_lang", "n_source")
-    rows = stage(rows, "vectors")
-    fit = rows.filter(~F.col("base_failed"))
-    enough = fit.groupBy(*_GROUP).agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP).drop("n")
-    e = estimates(_with_group(fit, enough.withColumn("ok", F.lit(True))).filter("ok").select(*_GROUP, *_Z))
-    d = _distances(rows, e.drop("scale"))
-    d = _with_group(d, e.select(*_GROUP, "scale")).withColumn("d2", F.col("d2") / F.col("scale"))
+    rows = s.join(sizes, on, "left").withColumns({"g_rest": rest}).withColumns({"g_lang": F.col("lang"), "g_source": F.when(~F.col("g_rest"), F.col("source"))}).drop("n", "n_lang", "n_source")
+    length = F.percentile_approx(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)), 0.5, 2000)
+    groups = rows.filter(~F.col("base_failed")).groupBy(*_GROUP).agg(F.count("*").alias("n"), length.alias("usual"))
+    groups = stage(groups.select(*_GROUP, (F.col("n") >= LEAST_GROUP).alias("enough"), "usual"), "groups")
+    z = dict(zip(_Z, transformed(F.coalesce("usual", F.lit(5.0))), strict=True))
+    rows = stage(_with_group(rows, groups).withColumns(z).drop("usual"), "vectors")
+    e = estimates(rows.filter("NOT base_failed AND enough").select(*_GROUP, *_Z))
+    d = _distances(rows, e)
     kept = ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)
     return d.select("doc_id", "lang", "source", *STATISTICS, "base_failed", "d2", kept.alias("kept"))

@@ -97,6 +97,25 @@ def test_mcd_rejects_outliers_and_keeps_the_rest(spark):
     assert sum(got[i].kept for i in range(500)) >= 498
 
 
+def test_mcd_rejects_outliers_of_each_dimension(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 8)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    text = lambda n, again=(): "\n".join(rng.sample([line(5) for _ in range(n)] + list(again), n + len(again)))
+    rows = [(i, text(rng.randint(5, 60))) for i in range(300)]
+    long_words = [(1000 + i, " ".join(word() + word() for _ in range(150))) for i in range(5)]
+    symbols = [(2000 + i, text(28) + "\n" + "# " * 10) for i in range(5)]
+    lines = [(3000 + i, text(28, [f"a{i} b", f"a{i} b"] * 6)) for i in range(5)]
+    passages = [(4000 + i, f"{line(60)} {x} {line(60)} {x} {line(60)}") for i in range(5) for x in [line(20)]]
+    once = [(5000 + i, f"{line(10)}\nsee also\n{line(10)}\nsee also\n") for i in range(5)]
+    df = spark.createDataFrame(rows + long_words + symbols + lines + passages + once, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    got = {r.doc_id: r for r in mcd_quality.judge(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {r.n_dup_lines for i, r in got.items() if 4000 <= i < 5000} == {r.n_repeat_words for i, r in got.items() if 3000 <= i < 4000} == {0}
+    assert [i for i, r in got.items() if 1000 <= i < 5000 and r.kept] == []
+    assert sum(got[i].kept for i in range(300)) >= 298 and all(got[i].kept for i, _ in once)
+
+
 def test_mcd_odd_rows(odd, none):
     got = mcd_quality.judge(odd).collect()
     assert len(got) == odd.count() and not any(r.kept for r in got if r.base_failed)
