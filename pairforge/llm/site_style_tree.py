@@ -7,20 +7,23 @@ zero: it belongs to the template.  Importance is
 
     GAMMA * (content entropy) + (1 - GAMMA) * (presentation entropy of the branch above)
 
-with entropies normalised to [0, 1] by the number of pages that have the node.  Blocks on paths of
-importance below ``LEAST`` are removed from each page.
+with entropies normalised to [0, 1] by the number of pages that have the node.  Pages of a host with
+the same text apart from declared noise count once, so that copies of a page are not mistaken for
+the template.
 
-What the markup declares counts as a prior on the importance: -1 for elements whose tag, role, class
-or id says that they are navigation, adverts, forms, comments and the like, +1 for the blocks of an
-``article`` or ``main`` element, so that copies of a page on one host are not mistaken for its
-template.  The tree alone decides about everything else.
+What the markup declares is a weight added to a block's importance: ``DECLARED`` for elements whose
+tag, role or whole class or id name says that they are navigation, adverts, forms, comments and the
+like, or whose name has such a word outside ``article`` and ``main``; ``WORD`` where a longer name
+only has the word within them (``related-work``); ``CONTENT`` for the blocks of ``article`` and
+``main``.  Blocks with a sum below ``LEAST`` are removed from each page: in an article a template box
+goes and distinctive text with a listed word stays.
 
 The tree is made by a group-by over (host, path, hash) with partial aggregation; only the few paths
 with low importance are gathered for each host, and every one of them was seen on ``LEAST_PAGES``
 pages, which bounds the list by the host's size.
 
 Defined cases: null html is empty, and so is its text; a null or odd url is a host of its own
-(the empty one); repeated pages count as pages.  Columns other than ``page_id``, ``url`` and
+(the empty one).  Columns other than ``page_id``, ``url`` and
 ``html`` are not carried.
 """
 
@@ -39,6 +42,7 @@ from pairforge.llm.common import stage
 
 GAMMA = 0.9
 LEAST = 0.3
+DECLARED, WORD, CONTENT = -1.0, -0.4, 0.2
 LEAST_PAGES = 5
 
 # Element names and words that declare what an element is.
@@ -75,12 +79,12 @@ class _Parser:
         self.attr = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
         self.words = re.compile(r"[a-z]+")
 
-    def parse(self, text: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, list[str]]]:
-        """((path, text, declared noise, declared content) of each block in page order; the tags of
+    def parse(self, text: str) -> tuple[list[tuple[str, str, float, bool]], dict[str, list[str]]]:
+        """((path, text, weight of declared noise, declared content) of each block in page order; the tags of
         the children of each path)."""
-        out: list[tuple[str, str, bool, bool]] = []
+        out: list[tuple[str, str, float, bool]] = []
         children: dict[str, list[str]] = {}
-        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, noise, content
+        stack: list[tuple[str, str, float, bool]] = [("", "", 0.0, False)]  # tag, path, noise, content
         held: list[str] = []
         at = 0
 
@@ -132,12 +136,15 @@ class _Parser:
                         parts = value.split()
                         if name == "class" and parts:
                             first = "." + parts[0]
-                        noise = noise or (tag not in ("html", "body", "article", "main") and any(w in self.named for p in parts for w in self.words.findall(p)))
-                    elif name == "role":
-                        noise = noise or value in self.roles
-                    elif name == "hidden" or value == "true":
-                        noise = True
-            noise = noise or tag in self.chrome or tag in self.silent or (tag == "header" and not content)
+                        if tag not in ("html", "body", "article", "main"):
+                            if any(p in self.named for p in parts):
+                                noise = DECLARED
+                            elif any(w in self.named for p in parts for w in self.words.findall(p)):
+                                noise = min(noise, WORD if content else DECLARED)
+                    elif (value in self.roles) if name == "role" else (name == "hidden" or value == "true"):
+                        noise = DECLARED
+            if tag in self.chrome or tag in self.silent or (tag == "header" and not content):
+                noise = DECLARED
             content = content or tag in ("article", "main")
             path = f"{path}/{tag}{first}"
             children.setdefault(path.rpartition("/")[0], []).append(tag)
@@ -165,35 +172,36 @@ def tree(pages: DataFrame) -> DataFrame:
 
         parser = _Parser()
         for batch in batches:
-            seen: dict[tuple[str, str, str, int], int] = {}
+            seen: set[tuple[str, str, str, int, int]] = set()
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks, children = parser.parse(page)
+                copy = xxh("\n".join(text for _, text, noise, _ in blocks if noise > DECLARED)) >> 1
                 by_path: dict[str, list[str]] = {}
                 for path, text, _, _ in blocks:
                     by_path.setdefault(path, []).append(text)
                 for path, texts in by_path.items():
-                    key = (host, path, "c", xxh("\n".join(texts)) >> 1)
-                    seen[key] = seen.get(key, 0) + 1
                     above = path.rpartition("/")[0]
-                    key = (host, path, "p", xxh(" ".join(children.get(above, []))) >> 1)
-                    seen[key] = seen.get(key, 0) + 1
+                    seen.add((host, path, "c", xxh("\n".join(texts)) >> 1, copy))
+                    seen.add((host, path, "p", xxh(" ".join(children.get(above, []))) >> 1, copy))
             if seen:
-                host, path, kind, h = zip(*seen, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(path), pa.array(kind), pa.array(h, pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["host", "path", "kind", "h", "n"])
+                host, path, kind, h, copy = zip(*seen, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(path), pa.array(kind), pa.array(h, pa.int64()), pa.array(copy, pa.int64())], names=["host", "path", "kind", "h", "copy"])
 
-    rows = _host(pages).select("host", "html").mapInArrow(scan, "host string, path string, kind string, h long, n long")
-    same = rows.groupBy("host", "path", "kind", "h").agg(F.sum("n").alias("n"))
+    rows = _host(pages).select("host", "html").mapInArrow(scan, "host string, path string, kind string, h long, copy long")
+    # copies differ in declared noise only: of such a path one text and one layout count
+    once = rows.groupBy("host", "path", "kind", "copy").agg(F.min("h").alias("h"))
+    same = once.groupBy("host", "path", "kind", "h").agg(F.count("*").alias("n"))
     total = same.groupBy("host", "path", "kind").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
     entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")).otherwise(1.0)
     return total.select("host", "path", "kind", "pages", entropy.alias("entropy"))
 
 
 def low_paths(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(host, low): the paths whose importance lies below ``least``."""
+    """(host, low): the paths whose blocks may go though not ``DECLARED``, and their importance."""
     node = tree(pages).groupBy("host", "path").agg(
         F.max("pages").alias("pages"), F.sum(F.when(F.col("kind") == "c", GAMMA * F.col("entropy")).otherwise((1 - GAMMA) * F.col("entropy"))).alias("importance")
     )
-    return node.filter((F.col("importance") < least) & (F.col("pages") >= least_pages)).groupBy("host").agg(F.collect_list("path").alias("low"))
+    return node.filter((F.col("importance") < least - WORD) & (F.col("pages") >= least_pages)).groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
 
 
 def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -208,9 +216,9 @@ def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAG
         for batch in batches:
             texts = []
             for page, paths in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
-                gone = set(paths or ())
+                low = {x["path"]: x["importance"] for x in paths or ()}
                 blocks, _ = parser.parse(page.as_py())
-                texts.append("\n\n".join(text for path, text, noise, content in blocks if not noise and (content or path not in gone)))
+                texts.append("\n\n".join(text for path, text, noise, content in blocks if low.get(path, 1.0) + noise + CONTENT * (content and noise > DECLARED) >= least))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return joined.mapInArrow(scan, schema)

@@ -131,6 +131,21 @@ def test_html_articles_of_the_fixture(spark):
         assert text == "\n\n".join(b for b in blocks if b) and n == len(text)
 
 
+def test_html_markup_is_weighed_against_the_tree(spark):
+    article = (
+        "<div class=ad-x>Buy {i}</div><article><h1>Head {i}</h1><p>Body {i}</p><section id='related-work'><p>Others {i}</p></section><p class='notice-period'>Until {i}</p>"
+        "<div class=author><p>We write</p></div><section class='share-box'>Tell all</section><aside>Side {i}</aside></article><main><div class=licence>Free</div><p>More {i}</p></main>"
+    )
+    rows = [(i, "https://a.example/x", article.format(i=i)) for i in range(20)]
+    rows += [(100 + i, "https://a.example/copy", article.format(i=7).replace("Buy 7", f"Buy {i}")) for i in range(200)]
+    rows += [(500 + i, "https://b.example/copy", article.format(i=7).replace("Side 7", f"Side {i}")) for i in range(20)]
+    got = {r.page_id: r.text for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in [*range(20), *range(100, 300)]:
+        k = i if i < 20 else 7
+        assert got[i] == f"Head {k}\n\nBody {k}\n\nOthers {k}\n\nUntil {k}\n\nMore {k}"
+    assert all("Head 7\n\nBody 7\n\nOthers 7\n\nUntil 7" in got[500 + i] for i in range(20))
+
+
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (4, 0, "user", "hi"), (4, 1, "assistant", "no <|im_end|>")]
     rows += [(5, 0, "user", "hi"), (5, 1, "assistant", "yo"), (5, 2, "user", "more"), (6, None, None, None), (6, None, None, None), (None, 0, "user", "lost"), (7, 1, "user", "b"), (7, 0, "user", "a")]
