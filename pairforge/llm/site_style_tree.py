@@ -76,7 +76,8 @@ class _Parser:
             r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
             re.S | re.I,
         )
-        self.attr = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+        self.attr = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+        self.telling = frozenset("class id role hidden aria-hidden".split())
         self.words = re.compile(r"[a-z]+")
 
     def parse(self, text: str) -> tuple[list[tuple[str, str, float, bool]], dict[str, list[str]]]:
@@ -131,7 +132,10 @@ class _Parser:
             first = ""
             if m["attrs"]:
                 for a in self.attr.finditer(m["attrs"]):
-                    name, value = a[1].lower(), (a[2] or a[3] or a[4] or "").lower()
+                    name = a[1].lower()
+                    if name not in self.telling:
+                        continue
+                    value = (a[2] or a[3] or a[4] or "").lower()
                     if name in ("class", "id"):
                         parts = value.split()
                         if name == "class" and parts:

@@ -146,6 +146,12 @@ def test_html_markup_is_weighed_against_the_tree(spark):
     assert all("Head 7\n\nBody 7\n\nOthers 7\n\nUntil 7" in got[500 + i] for i in range(20))
 
 
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'title="hidden gems"', 'data-hidden="false"', "data-id='share-1'", 'data-x="a" data-class=ad', "x=class=ad", 'aria-hidden="false"'])
+def test_html_attributes_are_compared_whole(attrs):
+    blocks, _ = site_style_tree._Parser().parse(f"<div {attrs}><article><p>Text</p></article></div><div title='a' hidden>Not</div><div CLASS = 'x ad'>Nor</div>")
+    assert [(text, bool(noise)) for _, text, noise, _ in blocks] == [("Text", False), ("Not", True), ("Nor", True)]
+
+
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (4, 0, "user", "hi"), (4, 1, "assistant", "no <|im_end|>")]
     rows += [(5, 0, "user", "hi"), (5, 1, "assistant", "yo"), (5, 2, "user", "more"), (6, None, None, None), (6, None, None, None), (None, 0, "user", "lost"), (7, 1, "user", "b"), (7, 0, "user", "a")]
