@@ -7,7 +7,9 @@ zero: it belongs to the template.  Importance is
 
     GAMMA * (content entropy) + (1 - GAMMA) * (presentation entropy of the branch above)
 
-with entropies normalised to [0, 1] by the number of pages that have the node.  Pages of a host with
+with entropies normalised to [0, 1] by the number of pages that have the node, and drawn towards 1
+where these are few (``SMALL``): a block that two pages share can go, one in an article only if six do.
+Pages of a host with
 the same text apart from declared noise count once, so that copies of a page are not mistaken for
 the template.
 
@@ -19,8 +21,8 @@ only has the word within them (``related-work``); ``CONTENT`` for the blocks of
 goes and distinctive text with a listed word stays.
 
 The tree is made by a group-by over (host, path, hash) with partial aggregation; only the few paths
-with low importance are gathered for each host, and every one of them was seen on ``LEAST_PAGES``
-pages, which bounds the list by the host's size.
+with low importance are gathered for each host, and every one of them was seen on two pages, which
+bounds the list by the host's size.  Elements deeper than ``MOST_DEPTH`` are part of the one above.
 
 Defined cases: null html is empty, and so is its text; a null or odd url is a host of its own
 (the empty one).  Columns other than ``page_id``, ``url`` and
@@ -43,7 +45,9 @@ from pairforge.llm.common import stage
 GAMMA = 0.9
 LEAST = 0.3
 DECLARED, WORD, CONTENT = -1.0, -0.4, 0.2
-LEAST_PAGES = 5
+#: Pages of full entropy that every node is taken to have besides its own.
+SMALL = 0.6
+MOST_DEPTH = 400
 
 # Element names and words that declare what an element is.
 _SILENT = "title script style noscript template svg math iframe object canvas head textarea select"
@@ -86,6 +90,7 @@ class _Parser:
         out: list[tuple[str, str, float, bool]] = []
         children: dict[str, list[str]] = {}
         stack: list[tuple[str, str, float, bool]] = [("", "", 0.0, False)]  # tag, path, noise, content
+        deeper: dict[str, int] = {}  # open elements that are not on the stack
         held: list[str] = []
         at = 0
 
@@ -111,14 +116,18 @@ class _Parser:
             if tag in self.blocks:
                 close_block()
             if m["close"]:
+                if deeper.get(tag):
+                    deeper[tag] -= 1
+                    continue
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         if any(s[0] in self.blocks for s in stack[k:]):
                             close_block()
                         del stack[k:]
+                        deeper.clear()
                         break
                 continue
-            if tag == "p" or tag == "li":  # these end an open one of their kind
+            if (tag == "p" or tag == "li") and not any(deeper.values()):  # these end an open one of their kind
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
                         del stack[k:]
@@ -154,8 +163,9 @@ class _Parser:
             children.setdefault(path.rpartition("/")[0], []).append(tag)
             if tag not in self.void and not m["attrs"].endswith("/"):
                 stack.append((tag, path, noise, content))
-                if len(stack) > 400:  # deeper than any real page: the tree is cut here
+                if len(stack) > MOST_DEPTH:  # deeper than any real page: the tree is cut here
                     del stack[-1]
+                    deeper[tag] = deeper.get(tag, 0) + 1
         if at < len(text):
             held.append(text[at:])
         close_block()
@@ -200,17 +210,16 @@ def tree(pages: DataFrame) -> DataFrame:
     return total.select("host", "path", "kind", "pages", entropy.alias("entropy"))
 
 
-def low_paths(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
+def low_paths(pages: DataFrame, least: float = LEAST) -> DataFrame:
     """(host, low): the paths whose blocks may go though not ``DECLARED``, and their importance."""
-    node = tree(pages).groupBy("host", "path").agg(
-        F.max("pages").alias("pages"), F.sum(F.when(F.col("kind") == "c", GAMMA * F.col("entropy")).otherwise((1 - GAMMA) * F.col("entropy"))).alias("importance")
-    )
-    return node.filter((F.col("importance") < least - WORD) & (F.col("pages") >= least_pages)).groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
+    entropy = (F.col("pages") * F.col("entropy") + SMALL) / (F.col("pages") + SMALL)
+    node = tree(pages).groupBy("host", "path").agg(F.sum(F.when(F.col("kind") == "c", GAMMA).otherwise(1 - GAMMA) * entropy).alias("importance"))
+    return node.filter(F.col("importance") < least - WORD).groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("low"))
 
 
-def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
     """(page_id, url, text): the main text of every page, its blocks joined by an empty line."""
-    low = stage(low_paths(pages, least, least_pages), "low").withColumnRenamed("host", "low_host")
+    low = stage(low_paths(pages, least), "low").withColumnRenamed("host", "low_host")
     p = _host(pages)
     joined = p.join(low, p["host"] == low["low_host"], "left").select("page_id", "url", "html", "low")
     schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])

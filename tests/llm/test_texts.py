@@ -152,6 +152,21 @@ def test_html_attributes_are_compared_whole(attrs):
     assert [(text, bool(noise)) for _, text, noise, _ in blocks] == [("Text", False), ("Not", True), ("Nor", True)]
 
 
+def test_html_hosts_of_few_pages(spark):
+    page = "<div class=top>Our shop</div><article><h1>News</h1><p>Body {0}</p></article><div class=text>Story {0}</div>"
+    rows = [(10 * n + i, f"https://h{n}.example/", page.format(i)) for n in (1, 2, 3, 4) for i in range(n)]
+    for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        i = r.page_id % 10
+        assert r.text == ("Our shop\n\n" if r.page_id < 20 else "") + f"News\n\nBody {i}\n\nStory {i}"
+
+
+def test_html_deep_elements_keep_their_ancestors():
+    deep = "<div class=ad>" + "<div>" * 500 + "<p>x</p><ul><li>y<li>z</ul>" + "</div>" * 500 + "still the advert</div><p>after</p>"
+    blocks, _ = site_style_tree._Parser().parse(f"<body>{deep}</body>")
+    assert [text for _, text, noise, _ in blocks if not noise] == ["after"]
+    assert [text for *_, text, noise, _ in blocks if noise][-1] == "still the advert" and blocks[-1][0] == "/body/p"
+
+
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (4, 0, "user", "hi"), (4, 1, "assistant", "no <|im_end|>")]
     rows += [(5, 0, "user", "hi"), (5, 1, "assistant", "yo"), (5, 2, "user", "more"), (6, None, None, None), (6, None, None, None), (None, 0, "user", "lost"), (7, 1, "user", "b"), (7, 0, "user", "a")]
