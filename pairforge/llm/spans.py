@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairforge.llm.common import BYTE_VALUE, chunks, mix, powers, prefix_hash, span_hash, stage, word_hashes, word_spans
+from pairforge.llm.common import _SPACE, BYTE_VALUE, chunks, mix, powers, prefix_hash, span_hash, stage, word_hashes, word_spans
 
 _U = np.uint64
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -46,7 +46,7 @@ def word_units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     parts, at = [], 0  # one long document: parts end after a separator
     while at < len(data):
         to = min(at + LONG_BYTES, len(data))
-        while to < len(data) and data[to - 1] > 0x20:
+        while to < len(data) and not _SPACE[data[to - 1]]:
             to += 1
         start, end, _ = word_spans(data[at:to], np.array([0, to - at]))
         parts.append(word_hashes(data[at:to], start, end))

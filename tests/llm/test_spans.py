@@ -62,6 +62,17 @@ def test_long_documents_are_worked_on_in_parts(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == brute_bytes(docs, 25)
 
 
+def test_parts_of_long_documents_end_after_separators_only(monkeypatch):
+    import numpy as np
+
+    data = np.frombuffer(b"one two\x01three fo\x1cur\x00five\tsix \x0bse\x08ven" * 3, np.uint8)
+    want = spans.word_units(data, np.array([0, len(data)]))
+    for most in range(1, 40):
+        monkeypatch.setattr(spans, "LONG_BYTES", most)
+        got = spans.word_units(data, np.array([0, len(data)]))
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist(), most
+
+
 def test_substring_dedup_odd_rows(spark, odd, none):
     got = substring_dedup.remove_repeats(odd, window=50).collect()
     assert len(got) == odd.count()
