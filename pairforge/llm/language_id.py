@@ -2,9 +2,10 @@
 
 A text is a vector of letter n-grams: each letter, and each letter with its two neighbours (other
 characters count as a gap), lower-cased and hashed into ``BUCKETS`` places; weights are
-(1 + ln tf) * idf, and the vector has length 1.  For each language the vectors of a bounded sample
-are clustered by cosine; a text gets the language of the nearest centroid.  It is marked as
-rejected if it lies farther from that centroid than nearly all texts the centroid was made of.
+(1 + ln tf) * idf, and the vector has length 1.  Document frequencies are those of all labelled texts.
+For each language the vectors of a bounded sample are clustered by cosine; a text gets the language
+of the nearest centroid.  It is marked as rejected if it lies farther from that centroid than nearly
+all labelled texts of the language that are nearest to it.
 
 Defined cases: ``und`` and score 0 for a null text, a text without a letter, and any text if
 nothing was learned (no labelled row).  Rows with a null doc_id are never learned from.
@@ -93,9 +94,48 @@ def _cluster(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return c, np.argmax(x @ c.T, axis=1)
 
 
+def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts of ``rows`` with a letter, and of those with each bucket."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(BUCKETS + 1, dtype=np.int64)
+        for batch in batches:
+            for _, counts, n_letters in _groups(batch.column(0).to_pylist()):
+                df[:BUCKETS] += (counts > 0).sum(axis=0)
+                df[BUCKETS] += (n_letters > 0).sum()
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], names=["bucket", "n"])
+
+    df = np.zeros(BUCKETS + 1, dtype=np.int64)
+    for r in rows.select("text").mapInArrow(scan, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        df[r["bucket"]] = r["n"]
+    return int(df[BUCKETS]), df[:BUCKETS]
+
+
+def _least_cosines(rows: DataFrame, model: dict) -> dict[int, float]:
+    """For each centroid the cosine that all but 1 % of the texts of ``rows`` reach whose language has
+    it and to which no other one of the language is nearer."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = held.value
+        own = {k: np.flatnonzero(m["of"] == j) for j, k in enumerate(m["langs"])}
+        none = np.zeros(0, np.int64)
+        for batch in batches:
+            langs = batch.column(1).to_pylist()
+            for lo, counts, n_letters in _groups(batch.column(0).to_pylist()):
+                cos = _unit(_weights(counts) * m["idf"]) @ m["c"].T
+                at = [i for i in range(len(counts)) if n_letters[i] and len(own.get(langs[lo + i], none))]
+                best = [own[langs[lo + i]][np.argmax(cos[i, own[langs[lo + i]]])] for i in at]
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(best, np.int32)), pa.array(cos[at, best].astype(float) if at else np.zeros(0))], names=["centroid", "cos"])
+
+    near = rows.select("text", "lang").mapInArrow(scan, "centroid int, cos double")
+    return {r["centroid"]: r["least"] for r in near.groupBy("centroid").agg(F.percentile_approx("cos", 0.01, 10000).alias("least")).collect()}
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> dict:
     """Learn from ``labelled`` (doc_id, text, lang).  The sample is bounded by ``sample`` rows in
-    all, dealt evenly over the languages by the order of a hash of doc_id."""
+    all, dealt evenly over the languages by the order of a hash of doc_id; it only gives the centroids."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     empty = {"langs": [], "of": np.zeros(0, np.int64), "c": np.zeros((0, BUCKETS), np.float32), "idf": np.ones(BUCKETS, np.float32), "least": np.zeros(0)}
@@ -127,21 +167,22 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
     counts = np.zeros((len(used), BUCKETS), dtype=np.int32)
     for i, r in enumerate(used):
         counts[i, np.frombuffer(r["ids"], np.int32)] = np.frombuffer(r["counts"], np.int32)
-    idf = (np.log((1 + len(used)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+    n_texts, df = document_frequencies(rows)
+    idf = (np.log((1 + n_texts) / (1 + df)) + 1).astype(np.float32)
     x = _unit(_weights(counts) * idf)
-    langs, of, c, least, at = sorted(by), [], [], [], 0
+    langs, of, c, at = sorted(by), [], [], 0
     for j, k in enumerate(langs):
         own = x[at : at + len(by[k])]
         at += len(own)
         if not len(own):
             continue
-        found, member = _cluster(own, centroids)
-        near = (own * found[member]).sum(axis=1)
-        for m in range(len(found)):
-            of.append(j)
-            c.append(found[m])
-            least.append(REJECT * np.quantile(near[member == m], 0.01) if (member == m).any() else 0.0)
-    return {"langs": langs, "of": np.array(of), "c": np.stack(c).astype(np.float32), "idf": idf, "least": np.array(least)}
+        found, _ = _cluster(own, centroids)
+        of += [j] * len(found)
+        c += list(found)
+    model = {"langs": langs, "of": np.array(of), "c": np.stack(c).astype(np.float32), "idf": idf, "least": np.zeros(len(c))}
+    for m, least in _least_cosines(rows, model).items():
+        model["least"][m] = REJECT * least
+    return model
 
 
 def predict(documents: DataFrame, model: dict) -> DataFrame:

@@ -17,6 +17,18 @@ def test_language_id_held_out_accuracy(spark):
     assert held[0] > 100 and held[1] >= 0.98
 
 
+def test_language_id_statistics_cover_all_rows(spark):
+    rows = [(i, f"common words and {'zqx' if i % 10 == 0 else 'more'}", "en") for i in range(400)] + [(1000 + i, "mots communs", "fr") for i in range(400)] + [(2000, None, "fr"), (2001, "12", "fr"), (None, "lost", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few, all_ = language_id.fit(df, sample=8, centroids=1), language_id.fit(df, sample=10000, centroids=1)
+    assert np.array_equal(few["idf"], all_["idf"])
+    counts = np.concatenate([c for _, c, _ in language_id._groups([t for i, t, _ in rows if i is not None and t not in (None, "12")])])
+    assert np.allclose(few["idf"], np.log(801 / (1 + (counts > 0).sum(axis=0))) + 1)
+    x = language_id._unit(language_id._weights(np.concatenate([c for _, c, _ in language_id._groups([t for _, t, k in rows if k == "en"])])) * few["idf"])
+    cos = np.sort(x @ few["c"][few["langs"].index("en")])
+    assert abs(few["least"][few["langs"].index("en")] - language_id.REJECT * cos[3]) < 1e-4
+
+
 def test_language_id_odd_rows(odd, none, spark):
     model = language_id.fit(odd.select("doc_id", "text", "lang"))
     got = language_id.predict(odd, model).collect()
