@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairforge import dims
@@ -139,3 +139,11 @@ def sector_label(c: Column) -> Column:
 def labelled(pairs: list[tuple[str, Column]]) -> Column:
     """``label: value`` lines of the non-empty values."""
     return F.concat_ws("\n", *[F.when(safe_str(v) != "", F.concat(F.lit(f"{k}: "), safe_str(v))) for k, v in pairs])
+
+
+def row_context(df: DataFrame, preferred: list[str]) -> Column:
+    """The preferred columns of a row (found whatever their case) as labelled lines; all columns where
+    none of these is filled."""
+    by_name = {c.strip().lower(): c for c in df.columns}
+    first = labelled([(p, F.col(f"`{by_name[p.lower()]}`").cast("string")) for p in preferred if p.lower() in by_name])
+    return F.when(first != "", first).otherwise(labelled([(c, F.col(f"`{c}`").cast("string")) for c in df.columns]))

@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairforge import dims
-from pairforge.functions.text import preprocess, quote_in_text
+from pairforge.functions.text import preprocess, quote_in_text, report_clean
 from pairforge.operators.ranking import latest
+from pairforge.operators.scoring import report_confidence, report_role
+from pairforge.operators.similarity import position
 
 # --- the voted gate ------------------------------------------------------------------------------
 
@@ -166,3 +168,68 @@ def regression_summary(base: DataFrame, new: DataFrame, keys: list[str]) -> Data
     """Dropped pairs by their reason in ``new``: count and mean score; a missing reason is a group."""
     detail = dropped(base, new, keys).join(new, keys, "left")
     return detail.groupBy("triage_reason").agg(F.count("*").alias("n"), F.avg("final_score").alias("mean_final_score"))
+
+
+# --- plain reports -------------------------------------------------------------------------------
+
+
+def report_sheets(pairs: DataFrame, abstained: DataFrame, needs: DataFrame) -> dict[str, DataFrame]:
+    """The three sheets of the plain report, in the words of a reader who knows no tiers.
+
+    ``pairs``: (opportunity, company, verdict, gate_explanation, human, votes, final_score, validated_fit);
+    ``abstained``: (opportunity, best_candidate, detail); ``needs``: (opportunity, need, covered_by, why).
+    """
+    matches = pairs.filter("validated_fit").select(
+        report_clean(F.col("opportunity")).alias("Opportunity"), report_clean(F.col("company")).alias("Matched company"), report_role(F.col("verdict")).alias("Role"),
+        report_clean(F.col("gate_explanation")).alias("Why it matches"), report_confidence(F.col("human"), F.col("votes")).alias("Confidence"), report_clean(F.col("human")).alias("Your verdict"),
+    )
+    none = abstained.filter("opportunity <> '-'").select(
+        report_clean(F.col("opportunity")).alias("Opportunity"), F.lit("No suitable company in the current list").alias("Finding"),
+        report_clean(F.col("best_candidate")).alias("Closest candidate (not a fit)"), report_clean(F.col("detail")).alias("Detail"),
+    )
+    covered = report_clean(F.col("covered_by"))
+    gaps = needs.filter(F.length("need") > 0).select(
+        report_clean(F.col("opportunity")).alias("Opportunity"), report_clean(F.col("need")).alias("What it needs"),
+        F.when(covered == "", "NOBODY YET (gap)").otherwise(covered).alias("Covered by"), report_clean(F.col("why")).alias("Notes"),
+    )
+    return {"Matches": matches, "No match": none, "Needs and gaps": gaps}
+
+
+def _counted(df: DataFrame, label: str) -> DataFrame:
+    """One line: how many rows, and of which sectors, the most frequent first."""
+    by = df.groupBy("sector").agg(F.count("*").alias("n"))
+    parts = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "sector", "n")))
+    return by.agg(F.concat(F.lit(f"{label}: "), F.sum("n").cast("string"), F.lit(" ("), F.array_join(F.transform(parts, lambda x: F.concat(x["sector"], F.lit(" "), x["n"].cast("string"))), ", "), F.lit(")")).alias("line"))
+
+
+def summary_lines(pairs: DataFrame, companies: DataFrame, opportunities: DataFrame) -> DataFrame:
+    """(part, k, line): the lines of the run's summary; part and k give their order.
+
+    ``pairs``: exported rows with oid, opportunity_name, company_name, decision, match_type, final_score,
+    confidence_score and status; the two others have (name, sector).
+    """
+    spark = pairs.sparkSession
+    status = pairs.select("opportunity_name", "status").distinct()
+    n = opportunities.agg(F.count("*").alias("n"))
+    found = status.agg(F.count_if(F.col("status") == "Anchor candidate identified").alias("a"), F.count_if(F.col("status") == "No viable target in current universe").alias("z")).join(F.broadcast(n))  # one row each
+    anchors = found.select(F.format_string("Anchor candidates identified: %d of %d opportunities; without a viable target: %d", "a", "n", "z").alias("line"))
+    one = lambda part, df: df.select(F.lit(part).alias("part"), F.lit(0).alias("k"), "line")
+    text = lambda part, line: one(part, spark.range(1).select(F.lit(line).alias("line")))
+    listed = lambda part, df, order: position(df, order, "k").select(F.lit(part).alias("part"), F.col("k").cast("int").alias("k"), "line")
+    states = status.withColumn("line", F.format_string("- %s: %s", "opportunity_name", "status"))
+    vetted = pairs.filter(F.col("decision").isin("Excellent Match", "Strong Match", "Good Match"))
+    score, sure = F.col("final_score").cast("string"), F.col("confidence_score").cast("string")
+    pursue = vetted.withColumn("line", F.concat(F.format_string("- %s -> %s: %s, %s, score ", "company_name", "opportunity_name", "decision", "match_type"), score, F.lit(", confidence "), sure))
+    parts = [
+        text(0, "# Matching run: dataset verdict"), one(1, _counted(companies, "Companies")), one(2, _counted(opportunities, "Opportunities")), one(3, anchors),
+        text(4, "## Per-opportunity status"), listed(5, states, [F.col("opportunity_name")]), text(6, "## Pursue list"), listed(7, pursue, [F.col("final_score").desc(), F.col("company_name"), F.col("opportunity_name")]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+def write_summary(lines: DataFrame, path: str) -> None:
+    """The summary as one Markdown file: a line for each row, so one task writes it."""
+    lines.orderBy("part", "k").select("line").coalesce(1).write.mode("overwrite").text(path)

@@ -40,6 +40,66 @@ def brief_text(fields: dict[str, Column]) -> Column:
     return labelled([(k, F.array_join(to_list(v), ", ")) for k, v in fields.items()])
 
 
+def brief_card(summary: Column, lists: dict[str, Column], history: Column, chain_position: Column, inferred: Column) -> Column:
+    """A canonical brief as labelled lines: its summary, its lists, and what else it states; a line says
+    so if it states nothing."""
+    stated = lambda c, blank: F.when((safe_str(c) != "") & (F.lower(safe_str(c)) != blank), safe_str(c))
+    joined = [(k, F.array_join(to_list(v), "; ")) for k, v in lists.items()]
+    lines = [("Summary", safe_str(summary)), *joined, ("Founded/history", stated(history, "not stated in source")), ("Value-chain position", stated(chain_position, "other")), ("Inferred (not directly stated)", F.array_join(to_list(inferred), "; "))]
+    text = labelled(lines)
+    return F.when(text == "", "No canonical brief available.").otherwise(text)
+
+
+def first_readable(replies: list[Column], schema: str) -> Column:
+    """The JSON of the first reply that holds any; null if none does."""
+    first = schema.split()[0]
+    parsed = [reply_json(r, schema) for r in replies]
+    return F.coalesce(*[F.when(j[first].isNotNull(), j) for j in parsed])
+
+
+#: Long fields of a lookup record are cut here.
+BUNDLE_CHARS = 2400
+_BUNDLE = "company_name company_profile product_services industry_field business_unit_field hq_field country_field website_field".split()
+
+
+def row_bundle(fields: dict[str, Column], most: int = BUNDLE_CHARS) -> Column:
+    """The lookup record of a company; absent fields are empty."""
+    value = lambda n: F.substring(safe_str(fields[n]), 1, most) if n in ("company_profile", "product_services") else safe_str(fields[n])
+    return F.struct(*[(value(n) if n in fields else F.lit("")).alias(n) for n in _BUNDLE])
+
+
+def structured_brief(opportunities: DataFrame, reply: str) -> DataFrame:
+    """The five lists of a structured brief from a JSON reply; unreadable replies give empty lists."""
+    names = ["required_capabilities", "required_inputs", "adjacent_value_chain_sectors", "precedent_industries", "capability_keywords"]
+    j = reply_json(F.col(reply), ", ".join(f"{n} {_TEXTS}" for n in names))
+    return opportunities.withColumn("_j", j).withColumns({n: to_list(F.col("_j")[n]) for n in names}).drop("_j")
+
+
+#: Columns that older checkpoints lack, with their type and default.
+DEFAULTS = {
+    "sector_was_inferred": ("boolean", False), "sector_inference_source": ("string", "none"), "sector_inference_evidence": ("string", ""),
+    "signal_sector_overlap": ("int", 0), "signal_value_chain_adjacent": ("boolean", False), "signal_capability_keyword_count": ("int", 0), "signal_input_overlap_count": ("int", 0),
+    "signal_product_similarity": ("double", 0.0), "signal_profile_similarity": ("double", 0.0), "triage_pass": ("boolean", False), "triage_reason": ("string", ""),
+}
+
+
+def with_defaults(df: DataFrame) -> DataFrame:
+    """Every column of DEFAULTS in its type: missing columns, nulls and unreadable values get the default."""
+    out = {}
+    for name, (kind, default) in DEFAULTS.items():
+        have = F.col(name) if name in df.columns else F.lit(None)
+        value = F.trim(have.cast("string")) if kind == "string" else F.trim(have.cast("string")).try_cast(kind)
+        out[name] = F.coalesce(value, F.lit(default).cast(kind))
+    return df.withColumns(out)
+
+
+def filled_in(pairs: DataFrame, source: DataFrame, key: str, texts: list[str]) -> DataFrame:
+    """Text columns that ``pairs`` lacks, from their source by key; what isn't found is empty."""
+    wanted = [c for c in texts if c not in pairs.columns]
+    out = pairs.join(source.select(key, *[c for c in wanted if c in source.columns]), key, "left") if wanted else pairs
+    return out.withColumns({c: safe_str(F.col(c)) if c in out.columns else F.lit("") for c in texts})
+
+
 def decision(reply: Column) -> Column:
     """Yes or No; anything else is No."""
     return F.when(F.lower(safe_str(reply)) == "yes", "Yes").otherwise("No")
@@ -66,10 +126,13 @@ def batched_decisions(pairs: DataFrame, replies: DataFrame, keys: list[str]) ->
 
 
 def filtered_stamp(df: DataFrame, send: str = "triage_pass") -> DataFrame:
-    """Pairs that were not sent: Filtered, score 0, stub texts."""
-    none = F.array(*[F.lit("")] * 3)
-    out = df.withColumn("ai_decision", F.when(F.col(send), F.col("ai_decision")).otherwise("Filtered")).withColumn("ai_score", F.when(F.col("ai_decision") == "Yes", 1).otherwise(0))
-    return out.withColumn("suggested_plan", F.when(F.col(send), F.col("suggested_plan")).otherwise(none)) if "suggested_plan" in df.columns else out
+    """Pairs that were not sent: Filtered, score 0, no plan, and three texts that say why."""
+    none = F.array().cast(_TEXTS)
+    sent = F.coalesce(F.col(send), F.lit(False))
+    out = df.withColumn("ai_decision", F.when(sent, F.col("ai_decision")).otherwise("Filtered")).withColumn("ai_score", F.when(F.col("ai_decision") == "Yes", 1).otherwise(0))
+    plan = F.col("suggested_plan") if "suggested_plan" in df.columns else none
+    reason = F.col("match_reason") if "match_reason" in df.columns else none
+    return out.withColumns({"suggested_plan": F.when(sent, plan).otherwise(none), "match_reason": F.when(sent, reason).otherwise(F.array(*map(F.lit, dims.FILTERED_REASONS)))})
 
 
 def single_reply_g1(reply: Column) -> tuple[Column, Column]:

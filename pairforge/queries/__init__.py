@@ -1,6 +1,6 @@
 """The registered queries of the matching engine, with equivalent DuckDB SQL where SQL can express them."""
 
-from pairforge.queries import feedback, matching, scoring, texts
+from pairforge.queries import feedback, matching, replies, scoring, sources, texts
 
-QUERIES = {**texts.QUERIES, **matching.QUERIES, **scoring.QUERIES, **feedback.QUERIES}
-SQL = {**texts.SQL, **matching.SQL, **scoring.SQL, **feedback.SQL}
+QUERIES = {**texts.QUERIES, **matching.QUERIES, **scoring.QUERIES, **feedback.QUERIES, **sources.QUERIES, **replies.QUERIES}
+SQL = {**texts.SQL, **matching.SQL, **scoring.SQL, **feedback.SQL, **sources.SQL, **replies.SQL}

@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairforge import dims
 from pairforge.functions import text as X
+from pairforge.operators.similarity import position
 
 # --- fixed values: header aliases, after normalisation ------------------------------------------
 COMPANY_HEADERS = {
@@ -42,11 +44,11 @@ def with_headers(df: DataFrame, aliases: dict[str, str], required: Iterable[str]
     return out
 
 
-def companies(df: DataFrame, id_column: str | None = None, dedupe: bool = True) -> DataFrame:
+def companies(df: DataFrame, order: list | None = None, dedupe: bool = True) -> DataFrame:
     """company_id, name, profile, products, sector and the derived texts; one row for each entity (the
     one with the longest text stays, the first on ties)."""
     out = with_headers(df, COMPANY_HEADERS, ["company_name", "company_profile", "product_services", "sector"])
-    return _identified(out, id_column, "company_id").transform(lambda d: entity_resolution(d) if dedupe else d).withColumns(
+    return identified(out, "company", "company_id", order).transform(lambda d: entity_resolution(d) if dedupe else d).withColumns(
         {
             "combined": F.concat_ws(" ", "company_name", "sector", "company_profile", "product_services"),
             "combined_focused": F.concat_ws(" ", "sector", X.focus_company(F.col("company_profile")), X.focus_company(F.col("product_services"))),
@@ -55,10 +57,10 @@ def companies(df: DataFrame, id_column: str | None = None, dedupe: bool = True)
     )
 
 
-def opportunities(df: DataFrame, id_column: str | None = None) -> DataFrame:
+def opportunities(df: DataFrame, order: list | None = None) -> DataFrame:
     out = with_headers(df, OPPORTUNITY_HEADERS, ["opportunity_name", "sector", "description"])
     fields = [c for c in OPPORTUNITY_HEADERS.values() if c in out.columns]
-    out = _identified(out, id_column, "opportunity_id")
+    out = identified(out, "opportunity", "opportunity_id", order)
     return out.withColumns({"requirement": F.concat_ws(" ", *fields), "requirement_focused": X.focus_opportunity(F.concat_ws(" ", *fields))})
 
 
@@ -71,11 +73,22 @@ def structured_lists(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.from_json(F.col(c) if c in df.columns else F.lit("[]"), "array<string>"), F.array().cast("array<string>")) for c in STRUCTURED_LISTS})
 
 
-def _identified(df: DataFrame, id_column: str | None, name: str) -> DataFrame:
-    """Ids from a column (0 where it holds no number), else positions from 1."""
-    if id_column:
-        return df.withColumn(name, F.coalesce(F.col(id_column).try_cast("long"), F.lit(0)))
-    return df.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + 1)).toDF([*df.columns, name]) if name not in df.columns else df
+def id_column(df: DataFrame, hint: str) -> str | None:
+    """The column that holds ids: named like the hint, ``id`` in one of its spellings, or both."""
+    return next((c for c in (hint, "id", "ID", "Id", f"{hint}_id", f"{hint}Id") if c in df.columns), None)
+
+
+def identified(df: DataFrame, hint: str, name: str, order: list | None = None) -> DataFrame:
+    """Ids from the table's id column (0 where it holds no number), else positions from 1: in the order
+    of ``order``, or as the rows were read."""
+    column = id_column(df, hint)
+    if column:
+        return df.withColumn(name, F.coalesce(F.trim(F.col(column).cast("string")).try_cast("long"), F.lit(0)))
+    if name in df.columns:
+        return df
+    keys = order or ["_read"]
+    at = position(df if order else df.withColumn("_read", F.monotonically_increasing_id()), keys, "_at")
+    return at.withColumn(name, F.col("_at") + 1).drop("_at", "_read")
 
 
 def entity_resolution(df: DataFrame, name: str = "company_name", order: str = "company_id", texts: tuple[str, ...] = ("company_profile", "product_services")) -> DataFrame:
@@ -149,5 +162,18 @@ def read_documents(spark: SparkSession, path: str, extract: Callable[[bytes], st
     ).withColumns({"n_chars": F.length("text"), "n_lines": F.size(F.split("text", "\n")) - 1})
 
 
+def literal_table(spark: SparkSession, rows: list[dict], columns: list[str]) -> DataFrame:
+    """Inline records as a table of strings in a fixed order of columns, with the characters of each row."""
+    df = spark.createDataFrame([tuple(str(r.get(c, "")) for c in columns) for r in rows], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    return df.withColumn("n_chars", sum((F.length(F.col(f"`{c}`")) for c in columns[1:]), F.length(F.col(f"`{columns[0]}`"))))
+
+
+def merged_names(df: DataFrame, name: str = "company_name", order: str = "company_id", texts: tuple[str, ...] = ("company_profile", "product_services")) -> DataFrame:
+    """(kept, merged): the names that entity resolution drops, with the name that stays for each."""
+    kept = entity_resolution(df, name, order, texts)
+    k = kept.select(X.canonical_name(F.col(name)).alias("_key"), F.col(name).alias("kept"), F.col(order).alias("_kept"))
+    return df.withColumn("_key", X.canonical_name(F.col(name))).join(k, "_key").filter(F.col(order) != F.col("_kept")).select("kept", F.col(name).alias("merged"))
+
+
 def email_column(df: DataFrame) -> str:
     return next((c for c in df.columns if header(c) in EMAIL_HEADERS), "Email")

@@ -2,25 +2,58 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage ends here, and every executor
-    can read it.  A temporary folder serves only where the session names none."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def stage_root(spark: SparkSession) -> str:
+    """The shared folder for stage tables.  A temporary one serves a local session that names none; on a
+    cluster the setting is needed, since other hosts do not see a local folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         root = tempfile.mkdtemp(prefix="stages-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    return root
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder; :func:`remove_stages` removes it."""
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, path))
+    return path
+
+
+def remove_stages() -> None:
+    """Remove the stage tables made so far; results that still read them must have been read."""
+    while _made:
+        spark, path = _made.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - that session has ended; others may still be there
+            continue
+
+
+atexit.register(remove_stages)
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage ends here, and every executor
+    can read it."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checkpoint(df: DataFrame, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -43,15 +76,39 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_views(views: dict[str, DataFrame], path: str) -> None:
-    """One Parquet table for each view; optional views are left out when they are empty."""
+    """One Parquet table for each view; optional views are left out when they are empty, and abstentions
+    without a row get one that says so."""
     for name, df in views.items():
-        if name in ("Consortium_View", "Verdict_Changes") and df.isEmpty():
-            continue
+        if name in ("Consortium_View", "Verdict_Changes", "Abstentions") and df.isEmpty():
+            if name != "Abstentions":
+                continue
+            texts = [F.lit("none" if f.name == "status" else "-").cast(f.dataType).alias(f.name) if f.dataType.typeName() == "string" else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
+            df = df.sparkSession.range(1).select(*texts)
         df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+def read_views(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
+    """The views that are there."""
+    out = {}
+    for name in names:
+        try:
+            out[name] = spark.read.parquet(f"{path}/{name}")
+        except AnalysisException:
+            continue
+    return out
+
+
+#: Texts survive a CSV file as they are: quotes doubled, line ends kept inside quotes, no blanks cut.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV, quoteAll=True).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A file of :func:`write_csv`, all columns strings."""
+    return spark.read.options(**CSV, multiLine=True).csv(path)
 
 
 def write_batches(df: DataFrame, path: str, index: str, size: int = 10) -> None:
@@ -69,5 +126,28 @@ def merged_cache(cache: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
     return cache.join(fresh.select(key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
+def cache_key(model: str, text: Column) -> Column:
+    """The key under which a provider's answer to a text is kept."""
+    return F.md5(F.concat(F.lit(f"{model}::"), text).cast("binary"))
+
+
+def cached_vectors(items: DataFrame, cache: DataFrame, provide: Callable[[DataFrame], DataFrame], model: str, text: str, batch: int = 96) -> tuple[DataFrame, DataFrame]:
+    """(items with ``vector``, the new cache).  Only different texts whose key the cache (key, vector)
+    doesn't hold go to ``provide``, which gets (key, text, batch) with ``batch`` texts to a batch and
+    returns (key, vector)."""
+    from pairforge.operators.similarity import position
+
+    keyed = items.withColumn("_key", cache_key(model, F.col(text)))
+    asked = missing_from_cache(keyed.select(F.col("_key").alias("key"), F.col(text).alias("text")).distinct(), cache, "key")
+    asked = position(asked, ["key"], "_at").withColumn("batch", F.floor(F.col("_at") / batch)).drop("_at")
+    whole = merged_cache(cache, provide(asked), "key")
+    return keyed.join(whole.select(F.col("key").alias("_key"), "vector"), "_key", "left").drop("_key"), whole
+
+
+def view_order(df: DataFrame, *order: Column) -> DataFrame:
+    """A sink's rows in their final order (a range-partitioned sort, so files follow each other)."""
+    return df.orderBy(*order)
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
