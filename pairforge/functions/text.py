@@ -41,11 +41,21 @@ def canonical_name(c: Column) -> Column:
     return F.trim(F.regexp_replace(bare, rf"(^|\s)({suffixes})(\s+({suffixes}))*$", ""))
 
 
+#: What stands between tokens.
+_BETWEEN = r"[^\p{L}\p{N}_]+"
+
+
 def static_tokens(c: Column, generic: list[str] | None = None) -> Column:
-    """The different words of more than two characters that are not numbers, stop or generic words."""
+    """The different words of more than two characters that are not numbers, stop or generic words.  One
+    split does what :func:`preprocess` and a split at blanks would do; words are tested once each."""
     drop = F.array(*[F.lit(w) for w in [*dims.STOPWORDS, *(generic if generic is not None else dims.GENERIC_TERMS)]])
-    words = F.filter(F.split(preprocess(c), " "), lambda t: (F.length(t) > 2) & ~t.rlike(r"^\p{Nd}+$"))
-    return F.array_except(words, drop)
+    words = F.array_except(F.split(F.lower(_empty(c)), _BETWEEN), drop)
+    return F.filter(words, lambda t: (F.length(t) > 2) & ~t.rlike(r"^\p{Nd}+$"))
+
+
+def without_common(tokens: Column, common: Column) -> Column:
+    """Tokens that are not common in the corpus; ``common`` is an array column (null: none)."""
+    return F.array_except(tokens, F.coalesce(common, F.array().cast("array<string>")))
 
 
 def focus_company(c: Column) -> Column:

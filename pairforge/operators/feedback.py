@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.text import preprocess, quote_in_text, report_clean
-from pairforge.operators.ranking import latest
+from pairforge.operators.ranking import latest, order_first_with_matches
 from pairforge.operators.scoring import report_confidence, report_role
 from pairforge.operators.similarity import position
+from pairforge.sources.stages import stage
 
 # --- the voted gate ------------------------------------------------------------------------------
 
@@ -43,10 +44,17 @@ def unanimous_share(df: DataFrame, votes: str) -> DataFrame:
     return df.filter(F.contains(F.col(votes), F.lit("/"))).agg(F.round(F.coalesce(F.avg((F.get(p, F.lit(0)) == F.get(p, F.lit(1))).cast("int")), F.lit(0.0)), 3).alias("unanimous_share"))
 
 
-def exemplars(log: DataFrame, group: str, order: str, text: Column, most: int = 8) -> DataFrame:
-    """The last ``most`` precedent lines of each group, oldest first."""
-    r = log.withColumn("_r", F.row_number().over(W.partitionBy(group).orderBy(F.col(order).desc()))).filter(F.col("_r") <= most)
-    return r.groupBy(group).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t")))), lambda x: x["t"]).alias("exemplars"))
+def exemplars(log: DataFrame, targets: DataFrame, keys: list[str], order: str, text: Column, most: int = 8) -> DataFrame:
+    """(keys, exemplars): for each pair of ``targets`` the last ``most`` precedent lines of other pairs,
+    oldest first.  A pair's last line counts; its own is left out, so that it is judged on its own.
+
+    Whatever the pair, its lines are among the last ``most`` + 1 of all: these few rows are broadcast."""
+    lines = latest(log, keys, order).select(F.struct(*keys).alias("_p"), F.struct(F.col(order).alias("o"), text.alias("t")).alias("_l"))
+    last = lines.orderBy(F.col("_l.o").desc()).limit(most + 1).agg(F.sort_array(F.collect_list(F.struct("_l", "_p"))).alias("_all"))
+    out = targets.select(*keys).join(F.broadcast(last))  # one row
+    others = F.filter("_all", lambda x: ~x["_p"].eqNullSafe(F.struct(*keys)))
+    kept = F.slice(others, F.greatest(F.size(others) - most + 1, F.lit(1)), F.lit(most))
+    return out.select(*keys, F.transform(kept, lambda x: x["_l"]["t"]).alias("exemplars"))
 
 
 # --- overrides, drift, abstention ----------------------------------------------------------------
@@ -68,10 +76,14 @@ def human_overrides(df: DataFrame) -> DataFrame:
 
 
 def verdict_flips(now: DataFrame, log: DataFrame, keys: list[str], order: str, rubric: Column) -> DataFrame:
-    """Graded pairs of ``now`` (verdict) whose last logged decision differs."""
-    last = latest(log, keys, order).select(*keys, F.col("decision").alias("previous_verdict"), F.col("rubric").alias("_rubric"))
+    """Graded pairs of ``now`` (verdict, and agreement and human_verdict if there) whose last logged
+    decision differs, with that decision and its time."""
+    ts = F.col("ts") if "ts" in log.columns else F.lit("")
+    last = latest(log, keys, order).select(*keys, F.col("decision").alias("previous_verdict"), F.coalesce(ts.cast("string"), F.lit("")).alias("previous_ts"), F.col("rubric").alias("_rubric"))
     d = now.filter(F.col("verdict").isin("Direct", "Partial", "Yes", "No")).join(last, keys).filter("verdict <> previous_verdict")
-    return d.withColumn("rubric_changed", F.when(F.coalesce("_rubric", F.lit("")) != rubric, "yes").otherwise("no")).drop("_rubric")
+    changed = F.when(F.coalesce("_rubric", F.lit("")) != rubric, "yes").otherwise("no")
+    extra = {c: F.coalesce(F.col(c), F.lit("")) if c in now.columns else F.lit("") for c in ("agreement", "human_verdict")}
+    return d.withColumn("rubric_changed", changed).withColumns(extra).select(*keys, "previous_verdict", "previous_ts", "rubric_changed", F.col("verdict").alias("new_verdict"), "agreement", "human_verdict")
 
 
 def abstentions(pairs: DataFrame, key: str, company: str, gate_ran: bool = True) -> DataFrame:
@@ -89,13 +101,20 @@ def abstentions(pairs: DataFrame, key: str, company: str, gate_ran: bool = True)
 # --- calibration ---------------------------------------------------------------------------------
 
 
-def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str, rubric: Column) -> DataFrame:
-    """(keys, final_score, y, weight): the last logged verdict of each pair, overridden by reviews."""
+def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str, rubric: Column, current: DataFrame | None = None) -> DataFrame:
+    """(keys, final_score, y, weight): the last logged verdict of each pair, overridden by reviews.
+
+    A review of a pair that was never logged counts with its score in ``current`` (keys, final_score); a
+    pair that is in neither no longer exists and is left out."""
     last = latest(log, keys, order)
     y = F.col("decision").isin("Direct", "Partial", "Yes").cast("int")
-    pool = last.select(*keys, "final_score", y.alias("y"), F.when(F.coalesce("rubric", F.lit("")) == rubric, 1.0).otherwise(dims.OLD_RUBRIC_WEIGHT).alias("weight"))
+    pool = last.select(*keys, F.col("final_score").alias("s"), y.alias("y"), F.when(F.coalesce("rubric", F.lit("")) == rubric, 1.0).otherwise(dims.OLD_RUBRIC_WEIGHT).alias("w"))
     h = reviews.select(*keys, F.col("label").alias("h"))
-    return pool.join(h, keys, "left").select(*keys, "final_score", F.coalesce("h", "y").alias("y"), F.when(F.col("h").isNotNull(), dims.HUMAN_LABEL_WEIGHT).otherwise(F.col("weight")).alias("weight"))
+    both = pool.join(h, keys, "full")
+    if current is not None:
+        both = both.join(current.select(*keys, F.col("final_score").alias("c")), keys, "left").withColumn("s", F.coalesce("s", "c"))
+    known = both.filter(F.col("s").isNotNull() | F.col("y").isNotNull())
+    return known.select(*keys, F.col("s").alias("final_score"), F.coalesce("h", "y").alias("y"), F.when(F.col("h").isNotNull(), dims.HUMAN_LABEL_WEIGHT).otherwise(F.col("w")).alias("weight"))
 
 
 def calibrate(pool: DataFrame, scored: DataFrame, score: str = "final_score") -> DataFrame:
@@ -115,10 +134,16 @@ def calibrate(pool: DataFrame, scored: DataFrame, score: str = "final_score") ->
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """The area under the ROC curve by rank sums over score values (ties count half): one row."""
-    v = df.groupBy(score).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
-    below = F.coalesce(F.sum("n").over(W.orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return v.withColumn("_below", below).agg(F.round(F.sum(F.col("p") * (F.col("_below") + F.col("n") / 2.0)) / (F.sum("p") * F.sum("n")), 6).alias("auc"))
+    """The area under the ROC curve by rank sums over score values (ties count half): one row.  The
+    negatives below each value are counted in range partitions, then across them."""
+    v = stage(df.groupBy(score).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n")), "values")
+    ranged = stage(v.repartitionByRange(F.col(score)).withColumn("_part", F.spark_partition_id()), "ranged")
+    first = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = ranged.groupBy("_part").agg(F.sum("n").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(first), F.lit(0)).alias("_before"))  # a row for each partition
+    inside = F.coalesce(F.sum("n").over(W.partitionBy("_part").orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.withColumn("_inside", inside).join(F.broadcast(before), "_part")
+    below = F.col("_before") + F.col("_inside") + F.col("n") / 2.0
+    return placed.agg(F.round(F.sum(F.col("p") * below) / (F.sum("p") * F.sum("n")), 6).alias("auc"))
 
 
 # --- consortium ----------------------------------------------------------------------------------
@@ -130,21 +155,25 @@ def verified_needs(needs: DataFrame, texts: DataFrame, key: str) -> DataFrame:
 
 
 def consortium(needs: DataFrame, cover: DataFrame, key: str, least: int = 3) -> DataFrame:
-    """(key, status, need, covered_by, why, gap): thin rows for groups with under ``least`` needs; else
-    a row for each need with the first covering entry whose wording equals or contains it.
+    """(key, status, need, source_quote, covered_by, why, gap): thin rows for groups with under ``least``
+    needs; else a row for each need with the first covering entry whose wording equals or contains it.
 
-    ``needs``: (key, seq, capability); ``cover``: (key, pos, need, companies: array of (name, why)).
+    ``needs``: (key, seq, capability, quote); ``cover``: (key, pos, need, companies: array of (name, why)).
+    Of entries with the same wording the first gives the place and the last the companies.
     """
     sizes = needs.groupBy(key).agg(F.count("*").alias("n"))
-    thin = sizes.filter(F.col("n") < least).select(key, F.lit("Thin data - ranked view applies").alias("status"), F.lit("").alias("need"), F.lit("").alias("covered_by"), F.lit("").alias("why"), F.lit("").alias("gap"))
+    blank = [F.lit("").alias(c) for c in ("need", "source_quote", "covered_by", "why", "gap")]
+    thin = sizes.filter(F.col("n") < least).select(key, F.lit("Thin data - ranked view applies").alias("status"), *blank)
     ready = needs.join(sizes.filter(F.col("n") >= least), key).withColumn("_nc", preprocess(F.col("capability")))
-    c = cover.select(F.col(key).alias("_k"), "pos", preprocess(F.col("need")).alias("_c"), "companies")
-    met = (F.col(key) == F.col("_k")) & (F.col("_c") != "") & (F.contains(F.col("_c"), F.col("_nc")) | F.contains(F.col("_nc"), F.col("_c")))
-    first = ready.join(c, met, "left").groupBy(key, "seq", "capability").agg(F.min_by("companies", "pos").alias("companies"))
+    c = cover.select(F.col(key).alias("_k"), "pos", preprocess(F.col("need")).alias("_c"), "companies").filter("_c <> ''")
+    c = c.groupBy("_k", "_c").agg(F.min("pos").alias("pos"), F.max_by("companies", "pos").alias("companies"))
+    met = (F.col(key) == F.col("_k")) & (F.contains(F.col("_c"), F.col("_nc")) | F.contains(F.col("_nc"), F.col("_c")))
+    first = ready.join(c, met, "left").groupBy(key, "seq", "capability", "quote").agg(F.min_by("companies", "pos").alias("companies"))
     names = F.array_join(F.transform("companies", lambda x: x["name"]), ", ")
     whys = F.array_join(F.transform("companies", lambda x: F.concat(x["name"], F.lit(": "), F.coalesce(x["why"], F.lit("")))), " | ")
     gap = F.when(F.coalesce(F.size("companies"), F.lit(0)) < 1, "GAP").otherwise("")
-    return first.select(key, F.lit("Ready").alias("status"), F.col("capability").alias("need"), F.coalesce(names, F.lit("")).alias("covered_by"), F.coalesce(whys, F.lit("")).alias("why"), gap.alias("gap")).union(thin)
+    rows = first.select(key, F.lit("Ready").alias("status"), F.col("capability").alias("need"), F.coalesce("quote", F.lit("")).alias("source_quote"), F.coalesce(names, F.lit("")).alias("covered_by"), F.coalesce(whys, F.lit("")).alias("why"), gap.alias("gap"))
+    return rows.union(thin)
 
 
 # --- regression report ---------------------------------------------------------------------------
@@ -233,3 +262,50 @@ def summary_lines(pairs: DataFrame, companies: DataFrame, opportunities: DataFra
 def write_summary(lines: DataFrame, path: str) -> None:
     """The summary as one Markdown file: a line for each row, so one task writes it."""
     lines.orderBy("part", "k").select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
+def page_payload(pairs: DataFrame, consortium_rows: DataFrame) -> DataFrame:
+    """(opportunity, n, place, payload): what the review page shows for each opportunity, as JSON: its
+    matches by score and its consortium; opportunities with matches come first.
+
+    ``pairs``: opportunity, opportunity_sector, company, company_sector, verdict, gate_explanation, final_score,
+    validated_fit; ``consortium_rows``: opportunity, status, need, source_quote, covered_by, gap.
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    kind = F.when(F.col("verdict").isin("Direct", "Yes"), "Can build it").otherwise("Good supplier / partner")
+    card = F.struct(text("company").alias("name"), text("company_sector").alias("sector"), kind.alias("kind"), text("gate_explanation").alias("why"))
+    matched = F.when(F.col("validated_fit"), F.struct((-F.col("final_score")).alias("o"), "company", card.alias("card")))
+    cards = F.transform(F.sort_array(F.collect_list(matched)), lambda x: x["card"])
+    g = pairs.groupBy("opportunity").agg(F.min(text("opportunity_sector")).alias("sector"), cards.alias("companies"))
+    item = F.struct(text("need").alias("need"), text("source_quote").alias("quote"), text("covered_by").alias("covered_by"), (F.col("gap") == "GAP").alias("gap"))
+    items = F.sort_array(F.collect_list(F.when(F.col("status") == "Ready", item)))
+    c = consortium_rows.groupBy("opportunity").agg(F.struct(F.min("status").alias("status"), items.alias("items")).alias("consortium"))
+    rows = g.join(c, "opportunity", "left").withColumn("n", F.size("companies").cast("long"))
+    shown = F.to_json(F.struct(F.col("opportunity").alias("name"), "sector", "companies", "consortium"), {"ignoreNullFields": "false"})
+    return position(rows, order_first_with_matches("n", "opportunity"), "place").select("opportunity", "n", "place", shown.alias("payload"))
+
+
+def diagnostics(pairs: DataFrame, companies: int, abstained: DataFrame, consortium_rows: DataFrame, key: str, fixed: dict[str, Column]) -> DataFrame:
+    """The run's figures in one row.  ``pairs``: cid, oid, qualified, verdict, rank_for_opportunity,
+    raw_profile_cosine, agreement, changed (by an analyst); ``fixed``: what other steps report (mode, rows
+    merged, labels, rubric, flips, AUC and the like)."""
+    direct, partial = F.col("verdict").isin("Direct", "Yes"), F.col("verdict") == "Partial"
+    per = pairs.filter("rank_for_opportunity <= 3").groupBy("cid").agg(F.count("*").alias("n")).agg(F.round(F.max("n") / F.sum("n"), 3).alias("top3_company_concentration"))
+    one = pairs.agg(
+        F.count("*").alias("pairs_total"), F.count_if("qualified").alias("pairs_qualified"), F.count_distinct(F.when(F.col("qualified"), F.col("cid"))).alias("companies_with_qualified_match"),
+        F.count_distinct(F.when(direct, F.col("oid"))).alias("opportunities_with_direct_fit"), F.count_distinct(F.when(partial, F.col("oid"))).alias("opportunities_with_partner_fit"),
+        F.count_if(direct).alias("pairs_direct_fit"), F.count_if(partial).alias("pairs_partner_fit"), F.round(F.percentile("raw_profile_cosine", F.lit(0.5)), 4).alias("median_raw_profile_cosine"),
+        F.count_if("changed").alias("human_overrides_applied"),
+    )
+    share = unanimous_share(pairs, "agreement").withColumnRenamed("unanimous_share", "gate_unanimous_share")
+    gone = abstained.agg(F.count("*").alias("opportunities_abstained"))
+    ready = consortium_rows.filter("status = 'Ready'").agg(F.count_distinct(key).alias("consortium_ready_opportunities"))
+    out = one
+    for other in (per, share, gone, ready):  # one row each
+        out = out.join(F.broadcast(other))
+    return out.withColumns({"companies_total": F.lit(companies), **fixed})
+
+
+def run_timestamp() -> Column:
+    """Now, in UTC, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.text import canonical_sector, first_email, normalize_key
+from pairforge.sources.stages import broadcast_if_small
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the stemmer runs on workers without this package
 
@@ -83,13 +84,13 @@ def porter_stem(word: str) -> str:
 
 
 def stems(words: Column) -> Column:
-    """The stems of an array of words, by a vectorised function: Spark has no stemmer."""
+    """The stem of each word of an array, by a vectorised function: Spark has no stemmer."""
     @F.pandas_udf("array<string>")
     def run(column: pd.Series) -> pd.Series:
         known: dict[str, str] = {}
 
         def one(ws):
-            return sorted({known.setdefault(w, porter_stem(w)) for w in ws}) if ws is not None else None
+            return [known.get(w) or known.setdefault(w, porter_stem(w)) for w in ws] if ws is not None else None
 
         return column.map(one)
 
@@ -109,11 +110,12 @@ def keyword_hits(pairs: DataFrame, phrases: str, corpus: str, name: str = "hits"
     words = F.transform("_ph", content_words)
     if not stemmed:
         return p.withColumn("_w", words).withColumn(name, F.size(F.filter(F.arrays_zip("_ph", "_w"), lambda x: F.contains(F.col("_low"), F.lower(x["_ph"])) | ((F.size(x["_w"]) > 0) & F.forall(x["_w"], lambda t: F.contains(F.col("_low"), t)))))).drop("_ph", "_low", "_w")
-    p = p.withColumn("_cs", stems(content_words(F.col(corpus)))).withColumn("_id", F.monotonically_increasing_id())
-    each = p.select("_id", "_low", "_cs", F.explode_outer("_ph").alias("_one")).withColumn("_st", stems(content_words(F.col("_one"))))
-    hit = F.contains(F.col("_low"), F.lower("_one")) | ((F.size("_st") > 0) & (F.size(F.array_except("_st", "_cs")) == 0))
-    counts = each.groupBy("_id").agg(F.count_if(F.coalesce(hit, F.lit(False))).alias(name))
-    return p.join(counts, "_id").drop("_ph", "_low", "_cs", "_id")
+    # the words of all phrases are stemmed as one array, in order, and looked up again by the word
+    p = p.withColumn("_w", words).withColumn("_all", F.array_distinct(F.flatten("_w")))
+    p = p.withColumns({"_cs": stems(content_words(F.col(corpus))), "_st": F.map_from_arrays("_all", stems(F.col("_all")))})
+    whole = lambda ws: (F.size(ws) > 0) & F.forall(ws, lambda w: F.array_contains(F.col("_cs"), F.col("_st")[w]))
+    hits = F.filter(F.arrays_zip("_ph", "_w"), lambda x: F.contains(F.col("_low"), F.lower(x["_ph"])) | whole(x["_w"]))
+    return p.withColumn(name, F.coalesce(F.size(hits), F.lit(0))).drop("_ph", "_low", "_w", "_all", "_cs", "_st")
 
 
 def adjacent_label(raw: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -123,7 +125,7 @@ def adjacent_label(raw: DataFrame, allowed: DataFrame) -> DataFrame:
     r = raw.withColumns({"s": F.trim(F.coalesce("raw", F.lit("")))}).withColumn("low", F.lower("s")).withColumn("alias", F.try_element_at(aliases, F.col("low")))
     low = F.lower("label")
     close = (F.length("low") >= 6) & (F.contains(low, F.col("low")) | F.contains(F.col("low"), low))
-    met = r.join(F.broadcast(allowed), (F.col("s") != "") & ((F.col("s") == F.col("label")) | (F.col("low") == low) | (F.col("alias") == F.col("label")) | close), "left")
+    met = r.join(broadcast_if_small(allowed), (F.col("s") != "") & ((F.col("s") == F.col("label")) | (F.col("low") == low) | (F.col("alias") == F.col("label")) | close), "left")
     g = met.groupBy("id", "raw").agg(
         F.max(F.when(F.col("s") == F.col("label"), F.col("label"))).alias("e"),
         F.count_if(F.col("low") == low).alias("nc"), F.max(F.when(F.col("low") == low, F.col("label"))).alias("c"),

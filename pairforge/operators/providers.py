@@ -6,6 +6,8 @@ so that a run never depends on a call that failed.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -232,3 +234,38 @@ def need_cover(cover: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Cover entries (key, pos, need, companies) with only those companies that are validated for the key."""
     a = allowed.groupBy(key).agg(F.collect_set("name").alias("_ok"))
     return cover.join(a, key, "left").withColumn("companies", F.filter("companies", lambda c: F.array_contains(F.coalesce("_ok", F.array().cast(_TEXTS)), c["name"]))).drop("_ok")
+
+
+class Backends(NamedTuple):
+    """Which provider answers chat prompts and which embeds texts; none: offline."""
+
+    chat: str | None = None
+    chat_models: tuple[str, ...] = ()
+    embed: str | None = None
+    embed_model: str | None = None
+
+
+def resolve_backends(settings: dict[str, str], public_chat: tuple[str, ...] = (), public_embed: str | None = None) -> Backends:
+    """Chat and embeddings are resolved apart, since a hosted account may offer only one of them.
+
+    ``settings``: offline, hosted (a truth word), hosted_endpoint, hosted_key, hosted_chat, hosted_embed
+    (deployment names), public_key, chat_provider (auto, hosted or public).  What the hosted account doesn't
+    offer the public one does, but for chat if the provider is fixed as hosted.
+    """
+    get = lambda k: (settings.get(k) or "").strip()
+    true = lambda k: get(k).lower() in ("1", "true", "yes", "on")
+    if true("offline"):
+        return Backends()
+    provider = get("chat_provider") or "auto"
+    out = Backends()
+    if true("hosted") and get("hosted_endpoint").rstrip("/") and get("hosted_key"):
+        if get("hosted_chat") and provider != "public":
+            out = out._replace(chat="hosted", chat_models=(get("hosted_chat"),))
+        if get("hosted_embed"):
+            out = out._replace(embed="hosted", embed_model=get("hosted_embed"))
+    if get("public_key"):
+        if not out.chat and provider != "hosted":
+            out = out._replace(chat="public", chat_models=tuple(public_chat))
+        if not out.embed:
+            out = out._replace(embed="public", embed_model=public_embed)
+    return out

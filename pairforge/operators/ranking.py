@@ -51,3 +51,14 @@ def contiguous(df: DataFrame, group: str, rank: str) -> DataFrame:
 
 def order_first_with_matches(count: str, name: str) -> list[Column]:
     return [(F.col(count) == 0).asc(), F.col(name).asc()]
+
+
+def first_rows(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """The first row of each group.  Spark keeps only the first rows of each task's groups before the
+    shuffle (a group limit), so a large group isn't moved whole."""
+    return df.withColumn("_r", F.row_number().over(W.partitionBy(group).orderBy(*order))).filter("_r = 1").drop("_r")
+
+
+def head(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows in an order: the same ones each time, by partial top-k."""
+    return df.orderBy(*order).limit(n)

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.arrays import agreement, expanded, half_up, jaccard, mapped, overlaps
-from pairforge.functions.text import preprocess, preprocess_g0, static_tokens
+from pairforge.functions.text import preprocess, preprocess_g0, static_tokens, without_common
 
 # --- sector scores ------------------------------------------------------------------------------
 
 
-def sector_bag(sector: Column, generation: int = 3) -> Column:
-    """The canonical tokens of a sector label and what the ontology lists under them."""
+def sector_bag(sector: Column, generation: int = 3, common: Column | None = None) -> Column:
+    """The canonical tokens of a sector label and what the ontology lists under them.  ``common``: the
+    tokens that the corpus makes meaningless, as an array."""
     g1 = generation == 1
     tokens = static_tokens(sector, [*dims.GENERIC_TERMS, *dims.GENERIC_TERMS_G1] if g1 else None)
+    if common is not None:
+        tokens = without_common(tokens, common)
     return expanded(mapped(tokens, dims.SECTOR_TOKEN_MAP_G1 if g1 else dims.SECTOR_TOKEN_MAP), dims.SECTOR_ONTOLOGY_G1 if g1 else dims.SECTOR_ONTOLOGY)
 
 
@@ -36,13 +39,13 @@ def base_sector_score(c: Column, o: Column, groups: list[list[str]]) -> Column:
 
 
 def bridge(c: Column, o: Column, capability: Column, base: Column) -> Column:
-    """The first bridge rule that fires and beats ``base``: a struct (score, name), null if none."""
+    """The first bridge rule that fires and beats ``base``: a struct (score, name, terms), null if none."""
     generic = F.array(*map(F.lit, dims.GENERIC_BRIDGE_TERMS))
     out = None
     for a, b, terms, score, name, least in dims.BRIDGE_RULES:
         hits = F.array_intersect(capability, F.array(*map(F.lit, terms)))
         fires = _crossed(c, o, a, b) & (F.size(hits) >= least) & (F.size(F.array_except(hits, generic)) > 0) & (F.lit(score) > base) & (base < 0.5)
-        value = F.struct(F.lit(score).alias("score"), F.lit(name).alias("name"))
+        value = F.struct(F.lit(score).alias("score"), F.lit(name).alias("name"), F.array(*map(F.lit, terms)).alias("terms"))
         out = F.when(fires, value) if out is None else out.when(fires, value)
     return out
 
@@ -52,7 +55,7 @@ def score_label(score: Column) -> Column:
 
 
 def with_sector_score(pairs: DataFrame, company: str, opportunity: str, capability: str) -> DataFrame:
-    """sector_score, sector_label and bridge_name for pairs; ``capability`` is a token array.
+    """sector_score, sector_label, bridge_name and sector_reason for pairs; ``capability`` is a token array.
 
     Bags are made once for each different pair of labels when the caller passes those; here they are
     columns, computed before the rules use them.
@@ -64,12 +67,28 @@ def with_sector_score(pairs: DataFrame, company: str, opportunity: str, capabili
     exact = preprocess(F.col(company)) == preprocess(F.col(opportunity))
     p = p.withColumn("sector_score", F.when(unknown, 0.0).when(exact, 1.0).otherwise(F.coalesce("_bridge.score", "_base")))
     p = p.withColumn("sector_label", F.when(unknown, "Unknown").when(exact, "Exact").otherwise(score_label(F.col("sector_score"))))
-    return p.withColumn("bridge_name", F.when(~unknown & ~exact, F.col("_bridge.name"))).drop("_c", "_o", "_base", "_bridge")
+    p = p.withColumn("bridge_name", F.when(~unknown & ~exact, F.col("_bridge.name")))
+    shared = F.array_sort(F.array_intersect("_c", "_o"))
+    hits = F.array_sort(F.array_intersect(F.col(capability), F.coalesce("_bridge.terms", F.array().cast("array<string>"))))
+    reason = (
+        F.when(unknown, "Sector text missing or uninformative.")
+        .when(exact, F.concat(F.lit("Exact sector match: '"), F.col(company), F.lit("'.")))
+        .when(F.col("bridge_name").isNotNull(), F.concat(F.lit("Cross-sector bridge ("), F.col("bridge_name"), F.lit(") via capabilities: "), F.array_join(F.slice(hits, 1, 6), ", "), F.lit(".")))
+        .when(F.size(shared) > 0, F.concat(F.lit("Shared sector terms: "), F.array_join(F.slice(shared, 1, 5), ", "), F.lit(".")))
+        .when(F.col("_base") >= 0.75, "Sector families align (same broader industry group).")
+        .otherwise(F.concat(F.lit("No direct sector overlap ('"), F.col(company), F.lit("' vs '"), F.col(opportunity), F.lit("').")))
+    )
+    return p.withColumn("sector_reason", reason).drop("_c", "_o", "_base", "_bridge")
 
 
-def with_g1_sector_score(pairs: DataFrame, company: str, opportunity: str, capability: str) -> DataFrame:
-    """The first generation: unprotected vocabulary, one hit makes a bridge, a bridge has its own label."""
-    p = pairs.withColumns({"_c": sector_bag(F.col(company), 1), "_o": sector_bag(F.col(opportunity), 1)})
+def with_g1_sector_score(pairs: DataFrame, company: str, opportunity: str, capability: str, common: DataFrame | None = None) -> DataFrame:
+    """The first generation: one hit makes a bridge, a bridge has its own label.  ``common`` (token): its
+    vocabulary protects no word, so common tokens leave sector labels too.  They are at least a fixed
+    share of the documents, so there are few of them, whatever the corpus: they travel as one row."""
+    if common is not None:
+        pairs = pairs.join(F.broadcast(common.agg(F.sort_array(F.collect_set("token")).alias("_common"))))
+    words = F.col("_common") if common is not None else None
+    p = pairs.withColumns({"_c": sector_bag(F.col(company), 1, words), "_o": sector_bag(F.col(opportunity), 1, words)}).drop("_common")
     p = p.withColumn("_base", base_sector_score(F.col("_c"), F.col("_o"), dims.SECTOR_GROUPS_G1))
     rule = None
     for a, b, terms, score, label, _ in dims.BRIDGE_RULES_G1:
@@ -301,3 +320,76 @@ def match_value_band(v: Column) -> Column:
     for cut, name in bands:
         out = F.when(v >= cut, name) if out is None else out.when(v >= cut, name)
     return out.otherwise("No fit (<20)")
+
+
+# --- one step of each generation over scored pairs -------------------------------------------------
+
+
+def qualification(terms: Column, label: Column, sector: Column, profile: Column, product: Column, bridged: Column) -> dict[str, Column]:
+    """Whether a pair qualifies, is only a soft candidate, is really linked, or by a bridge only."""
+    soft = label.isin("No", "Unknown") & (terms >= dims.MIN_EVIDENCE_TERMS) & (F.greatest(profile, product) >= dims.SOFT_MATCH_MIN)
+    real = label.isin("Exact", "Strong", "Moderate")
+    qualified = ~soft & (sector >= dims.MIN_SECTOR_SCORE) & (terms >= dims.MIN_EVIDENCE_TERMS)
+    return {"qualified": qualified, "soft": soft, "real_link": real | bridged, "bridge_only": bridged & ~real}
+
+
+def unseen_cap(decision: Column, qualified: Column, verdict: Column, optimistic: list[str]) -> Column:
+    """A qualified pair that the gate never saw is no better than Review Needed."""
+    return F.when(qualified & verdict.isNull() & decision.isin(optimistic), "Review Needed").otherwise(decision)
+
+
+def g1_soft_sector(sector: Column, evident: Column, profile: Column, product: Column, none: Column) -> Column:
+    """Without a sector link, domain evidence and some similarity make a weak one."""
+    return F.when(none & evident & (F.greatest(profile, product) >= dims.SOFT_MIN_G1), F.greatest(sector, F.lit(0.35))).otherwise(sector)
+
+
+def g1_fusion(profile: Column, product: Column, sector: Column, ai: Column) -> Column:
+    w = dims.WEIGHTS_G1
+    return w["profile"] * profile + w["product"] * product + w["sector"] * sector + w["ai"] * ai
+
+
+def g1_proxy(profile: Column, product: Column, sector: Column) -> Column:
+    """What stands for the model's score until the gate has run."""
+    return 0.5 * sector + 0.25 * profile + 0.25 * product
+
+
+def with_g1_gate(pairs: DataFrame, replied: Column, confidence: Column) -> DataFrame:
+    """First-generation pairs after the gate: where a reply came, its confidence replaces the proxy in
+    ai_score, and the final score is made anew from it."""
+    ai = F.when(replied, confidence).otherwise(F.col("ai_score"))
+    p = pairs.withColumn("ai_score", ai)
+    return p.withColumn("final_score", half_up(g1_fusion(F.col("profile"), F.col("product"), F.col("sector"), F.col("ai_score"))))
+
+
+def g0_fusion(profile: Column, product: Column, reply: Column) -> Column:
+    return half_up(0.4 * profile + 0.4 * product + 0.2 * reply)
+
+
+def g2_fusion(profile: Column, product: Column, decision: Column) -> Column:
+    w = dims.WEIGHTS_G2
+    yes = (F.lower(F.trim(F.coalesce(decision, F.lit("")))) == "yes").cast("int")
+    return half_up(w["ai"] * yes + w["profile"] * profile + w["product"] * product)
+
+
+def combined_similarity(sector: Column, profile: Column, product: Column, sparse: Column) -> Column:
+    """The best of a pair's similarities, the sparse one included."""
+    return F.greatest(sector, profile, product, sparse)
+
+
+def combined_text(fields: list[Column]) -> Column:
+    """All of an entity's fields as one cleaned text."""
+    return preprocess(F.concat_ws(" ", *fields))
+
+
+def literal_sector(a: Column, b: Column) -> Column:
+    """1 if two labels are the same after cleaning, and not empty."""
+    return F.when((preprocess(a) != "") & (preprocess(a) == preprocess(b)), 1).otherwise(0)
+
+
+REJECTED = ["Weak Match", "Poor Match"]
+
+
+def blanked(decision: Column) -> dict[str, Column]:
+    """What a rejected pair shows of its engagement and its localization model."""
+    out = decision.isin(REJECTED)
+    return {"recommended_engagement": F.when(out, "").otherwise(F.col("recommended_engagement")), "suggested_localization_model": F.when(out, "Not recommended").otherwise(F.col("suggested_localization_model"))}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pairforge.functions.arrays import dot, norm
+from pairforge.functions.arrays import dot, norm, unit
 from pairforge.functions.text import preprocess
 from pairforge.sources.stages import stage
 
@@ -57,30 +57,48 @@ def sparse_cosine(left: DataFrame, right: DataFrame, normalise: bool = False) ->
     return out.join(a, "cid").join(b, "oid").select("cid", "oid", (F.col("cosine") / (F.col("na") * F.col("nb"))).alias("cosine"))
 
 
+def dense_cosines(left: DataFrame, right: DataFrame, vectors: dict[str, str], vector: str = "b") -> DataFrame:
+    """(cid, oid, and a cosine for each of ``vectors``: name -> column of ``left``) with ``vector`` of
+    ``right``, doubles.  All pairs are the result here, so the nested loop is the plan: pairs are formed
+    once for all cosines, and norms are taken once for each side, before it."""
+    a = left.select("cid", *[F.col(c).alias(f"_{n}") for n, c in vectors.items()], *[F.greatest(norm(F.col(c)), F.lit(1e-12)).alias(f"_n{n}") for n, c in vectors.items()])
+    b = right.select("oid", F.col(vector).alias("_b"), F.greatest(norm(F.col(vector)), F.lit(1e-12)).alias("_nb"))
+    return a.crossJoin(b).select("cid", "oid", *[(dot(F.col(f"_{n}"), F.col("_b")) / (F.col(f"_n{n}") * F.col("_nb"))).alias(n) for n in vectors])
+
+
 def dense_cosine(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(cid, oid, cosine) of every pair of (cid, a) and (oid, b), doubles.  All pairs are the result
-    here, so the nested loop is the plan; norms are taken once for each side, before it."""
-    a = left.select("cid", "a", F.greatest(norm(F.col("a")), F.lit(1e-12)).alias("na"))
-    b = right.select("oid", "b", F.greatest(norm(F.col("b")), F.lit(1e-12)).alias("nb"))
-    return a.crossJoin(b).select("cid", "oid", (dot(F.col("a"), F.col("b")) / (F.col("na") * F.col("nb"))).alias("cosine"))
+    """(cid, oid, cosine) of every pair of (cid, a) and (oid, b)."""
+    return dense_cosines(left, right, {"cosine": "a"})
+
+
+def clipped_cosine(cosine: Column) -> Column:
+    """The cosine as a similarity in [0, 1]: no vector and no number count as 0."""
+    return F.when(F.isnan(cosine) | cosine.isNull(), 0.0).otherwise(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0)))
+
+
+def blended(full: Column, focused: Column, share: float) -> Column:
+    """Unit vectors of a full and a focused text, mixed."""
+    return F.zip_with(unit(full), unit(focused), lambda x, y: (1 - share) * x + share * y)
 
 
-def position(df: DataFrame, keys: list, name: str, buckets: int | None = None) -> DataFrame:
+def position(df: DataFrame, keys: list, name: str, buckets: int | None = None, total: str | None = None) -> DataFrame:
     """A global 0-based position by ``keys`` without a single-partition sort: range partitions, a row
-    number inside each, and the sizes of the partitions before (one small row each)."""
+    number inside each, and the sizes of the partitions before (one small row each).  ``total`` names a
+    column for the number of rows."""
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = stage(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
+    rows = F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    before = sizes.select("_part", rows.alias("_before"), *([F.sum("_size").over(W.partitionBy(F.lit(0))).alias(total)] if total else []))
     inside = ranged.withColumn("_in", F.row_number().over(W.partitionBy("_part").orderBy(*keys)))
     return inside.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in") - 1).drop("_part", "_before", "_in")
 
 
 def percentile_rank(df: DataFrame, value: str, ties: list[str], name: str) -> DataFrame:
     """Position / (n - 1) in [0, 1]; ties get different values, in the order of ``ties``."""
-    n = df.agg(F.greatest(F.count("*") - 1, F.lit(1)).alias("_n"))
-    return position(df, [value, *ties], "_pos").join(F.broadcast(n)).withColumn(name, F.col("_pos") / F.col("_n")).drop("_pos", "_n")
+    placed = position(df, [value, *ties], "_pos", total="_n")
+    return placed.withColumn(name, F.col("_pos") / F.greatest(F.col("_n") - 1, F.lit(1))).drop("_pos", "_n")
 
 
 def spearman(df: DataFrame, group: str, a: str, b: str) -> DataFrame:

@@ -61,16 +61,19 @@ def evidence_terms(left: DataFrame, right: DataFrame, vocab: DataFrame) -> DataF
 def evidence(terms: DataFrame, scored: int = 10, shown: int = 8) -> DataFrame:
     """(cid, oid, n_terms, evidence_score, terms): lenient terms count, strict ones score and are
     shown (all are shown if none is strict)."""
-    ranked = F.sort_array(F.collect_list(F.when(F.col("strict"), F.struct((-F.col("idf")).alias("w"), "token"))))
-    lenient = F.sort_array(F.collect_list(F.struct((-F.col("idf")).alias("w"), "token")))
-    g = terms.groupBy("cid", "oid").agg(F.count("*").alias("n_terms"), ranked.alias("s"), lenient.alias("l"))
+    all_ = F.sort_array(F.collect_list(F.struct((-F.col("idf")).alias("w"), "token", "strict")))
+    g = terms.groupBy("cid", "oid").agg(F.count("*").alias("n_terms"), all_.alias("l")).withColumn("s", F.filter("l", lambda x: x["strict"]))
     total = F.aggregate(F.slice("s", 1, scored), F.lit(0.0), lambda a, x: a - x["w"])
     show = F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("l"))
     return g.select("cid", "oid", "n_terms", (1 - F.exp(-total / 8.0)).alias("evidence_score"), F.transform(F.slice(show, 1, shown), lambda x: x["token"]).alias("terms"))
 
 
 def g1_terms(pairs: DataFrame, limit: int = 5) -> DataFrame:
-    """(cid, oid, terms) of the first generation: domain words that are not blacklisted, by idf and length."""
-    kept = pairs.filter((F.length("token") >= 4) & ~F.col("token").isin(dims.EXPLANATION_BLACKLIST_G1))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("idf")).alias("w"), (-F.length("token")).alias("l"), "token")))
-    return kept.groupBy("cid", "oid").agg(F.transform(F.slice(ranked, 1, limit), lambda x: x["token"]).alias("terms"))
+    """(cid, oid, terms) of the first generation: domain words of four letters that are not blacklisted, by
+    idf and length; where a pair has none, shorter ones of some idf."""
+    kept = pairs.filter(~F.col("token").isin(dims.EXPLANATION_BLACKLIST_G1))
+    long = F.length("token") >= 4
+    entry = F.struct((-F.col("idf")).alias("w"), (-F.length("token")).alias("l"), "token")
+    g = kept.groupBy("cid", "oid").agg(F.sort_array(F.collect_list(F.when(long, entry))).alias("a"), F.sort_array(F.collect_list(F.when(~long & (F.col("idf") >= dims.G1_FALLBACK_IDF), entry))).alias("b"))
+    ranked = F.when(F.size("a") > 0, F.col("a")).otherwise(F.col("b"))
+    return g.withColumn("r", ranked).filter(F.size("r") > 0).select("cid", "oid", F.transform(F.slice("r", 1, limit), lambda x: x["token"]).alias("terms"))

@@ -50,12 +50,14 @@ def verdict_flips(s: S, d: str) -> DataFrame:
     """The last verdict of odd events against the log of even ones."""
     log = _log(s, d)
     keys = ["user_id", "event_type"]
-    now = R.latest(log.filter("event_id % 2 = 1"), keys, "o").select(*keys, F.col("decision").alias("verdict"))
+    now = R.latest(log.filter("event_id % 2 = 1"), keys, "o").select(*keys, F.col("decision").alias("verdict"), F.col("rubric").alias("agreement"))
     return B.verdict_flips(now, log.filter("event_id % 2 = 0"), keys, "o", F.lit("r1"))
 
 
 def exemplars(s: S, d: str) -> DataFrame:
-    return B.exemplars(_log(s, d), "event_type", "o", F.concat_ws(":", F.col("user_id").cast("string"), "decision")).select("event_type", F.array_join("exemplars", "|").alias("exemplars"))
+    keys = ["user_id", "event_type"]
+    lines = B.exemplars(_log(s, d), _log(s, d).select(*keys).distinct(), keys, "o", F.concat_ws(":", F.col("user_id").cast("string"), "event_type", "decision"))
+    return lines.select(*keys, F.array_join("exemplars", "|").alias("exemplars"))
 
 
 def review_labels(s: S, d: str) -> DataFrame:
@@ -97,10 +99,12 @@ def calibration(s: S, d: str) -> DataFrame:
 
 
 def label_pool(s: S, d: str) -> DataFrame:
+    """Reviews of logged pairs, of pairs that only the current table has, and of pairs that are gone."""
     keys = ["user_id", "event_type"]
     log = _log(s, d)
     reviews = log.filter("event_id % 50 = 0").groupBy(*keys).agg(F.max((F.col("decision") == "Direct").cast("int")).alias("label"))
-    return B.label_pool(log, reviews, keys, "o", F.lit("r1"))
+    current = log.filter("user_id % 3 = 0").groupBy(*keys).agg(F.max("final_score").alias("final_score"))
+    return B.label_pool(log.filter("user_id % 2 = 0"), reviews, keys, "o", F.lit("r1"), current)
 
 
 def diagnostics(s: S, d: str) -> DataFrame:
@@ -163,15 +167,15 @@ def verified_needs(s: S, d: str) -> DataFrame:
 
 
 CAPS = ["Steel casting", "cable assembly", "clean-room filling", "water treatment", "logistics"]
-COVER = ["Casting of steel", "Cable assembly!", "filling", "Water treatment and reuse", ""]
+COVER = ["Casting of steel", "Cable assembly!", "filling", "Water treatment and reuse", "", "CABLE  assembly"]
 
 
 def _needs(s: S, d: str) -> tuple[DataFrame, DataFrame]:
     n = t(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("oid"))
-    needs = n.select("oid", F.explode(F.sequence(F.lit(0), F.col("oid").cast("int") % 5)).alias("seq")).withColumn("capability", pick(CAPS, F.col("seq")))
+    needs = n.select("oid", F.explode(F.sequence(F.lit(0), F.col("oid").cast("int") % 5)).alias("seq")).withColumn("capability", pick(CAPS, F.col("seq"))).withColumn("quote", F.when(F.col("seq") != 1, F.concat(F.lit("q"), F.col("seq").cast("string"))))
     name = lambda x: F.concat(F.lit(x), F.col("oid").cast("string"))
-    firms = F.when(F.col("pos") % 2 == 0, F.array(F.struct(name("A").alias("name"), F.lit("makes it").alias("why")), F.struct(name("B").alias("name"), F.lit(None).cast("string").alias("why")))).otherwise(F.array(F.struct(name("C").alias("name"), F.lit("near").alias("why"))))
-    cover = n.select("oid", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("pos")).filter((F.col("oid") + F.col("pos")) % 3 != 0).withColumn("need", pick(COVER, F.col("pos"))).withColumn("companies", firms)
+    firms = F.when((F.col("pos") % 2 == 0) | (F.col("pos") == 5), F.array(F.struct(name("A").alias("name"), F.lit("makes it").alias("why")), F.struct(name("B").alias("name"), F.lit(None).cast("string").alias("why")))).otherwise(F.array(F.struct(name("C").alias("name"), F.lit("near").alias("why"))))
+    cover = n.select("oid", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("pos")).filter((F.col("oid") + F.col("pos")) % 3 != 0).withColumn("need", pick(COVER, F.col("pos"))).withColumn("companies", firms)
     return needs, cover
 
 
@@ -210,7 +214,7 @@ m AS (SELECT pair, fit, round((k / n * mean)::DOUBLE, 2) AS confidence, k::VARCH
 _k = "floor(value)::BIGINT"
 _LOG = f"lg AS (SELECT user_id, event_type, ts, event_id, {sql_pick(DEC, f'(({_k}) % 4 + 4)')} AS decision, {sql_pick(['r1', 'r2'], 'event_id')} AS rubric, ((({_k}) % 100 + 100) % 100) / 100.0::DOUBLE AS final_score FROM events)"
 _last = "row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC)"
-_POOL = f"""{_LOG}, la AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg) WHERE r = 1), rv AS (SELECT user_id, event_type, max((decision = 'Direct')::INT) AS h FROM lg WHERE event_id % 50 = 0 GROUP BY ALL)"""
+_POOL = f"""{_LOG}, la AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg WHERE user_id % 2 = 0) WHERE r = 1), cu AS (SELECT user_id, event_type, max(final_score) AS c FROM lg WHERE user_id % 3 = 0 GROUP BY ALL), rv AS (SELECT user_id, event_type, max((decision = 'Direct')::INT) AS h FROM lg WHERE event_id % 50 = 0 GROUP BY ALL)"""
 _lab = "CASE WHEN lower(trim({v})) IN ('agree', 'yes', 'fit', '1', 'true') THEN 1 WHEN lower(trim({v})) IN ('disagree', 'no', 'not a fit', 'notfit', '0', 'false') THEN 0 END"
 _EXPORTS = f"""pr AS ({PAIRS_SQL}), ba AS (SELECT cid, oid, {sql_pick(['Yes', 'No', 'Filtered'], 'cid * 7 + oid')} AS ai_decision FROM pr),
 ne AS (SELECT cid, oid, {sql_pick(['Yes', 'No', 'Yes', 'Filtered'], 'cid + oid * 5')} AS ai_decision, CASE WHEN (cid + oid) % 4 <> 0 THEN 'reason' || (cid + oid) % 4 END AS triage_reason, profile AS final_score FROM pr WHERE (cid + oid) % 13 <> 0),
@@ -222,9 +226,10 @@ _rq = "CASE WHEN qualified THEN row_number() OVER (PARTITION BY oid, qualified O
 _norm = "trim(regexp_replace(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}_\\s\\p{{Z}}]', ' ', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g'))"
 _quote = "CASE WHEN item_id % 3 = 0 THEN array_to_string(string_split(text, ' ')[2:7], ' ') WHEN item_id % 3 = 1 THEN 'never said in any text' ELSE array_to_string(string_split(text, ' ')[1:2], ' ') END"
 _C = f"""nd AS (SELECT oid, seq, {sql_pick(CAPS, 'seq')} AS capability FROM (SELECT n_nationkey::BIGINT AS oid, unnest(range(0, n_nationkey % 5 + 1)) AS seq FROM nation)),
-cv AS (SELECT oid, pos, {sql_pick(COVER, 'pos')} AS need, pos % 2 = 0 AS two FROM (SELECT n_nationkey::BIGINT AS oid, unnest(range(0, 5)) AS pos FROM nation) WHERE (oid + pos) % 3 <> 0),
+cw AS (SELECT oid, pos, {_norm.format(x=sql_pick(COVER, 'pos'))} AS need, pos % 2 = 0 OR pos = 5 AS two FROM (SELECT n_nationkey::BIGINT AS oid, unnest(range(0, 6)) AS pos FROM nation) WHERE (oid + pos) % 3 <> 0),
+cv AS (SELECT oid, need, min(pos) AS pos, arg_max(two, pos) AS two FROM cw GROUP BY oid, need),
 sz AS (SELECT oid, count(*) AS n FROM nd GROUP BY oid),
-mt AS (SELECT nd.oid, nd.seq, arg_min(two, pos) AS two FROM nd JOIN cv ON cv.oid = nd.oid AND {_norm.format(x='need')} <> '' AND (contains({_norm.format(x='need')}, {_norm.format(x='capability')}) OR contains({_norm.format(x='capability')}, {_norm.format(x='need')})) GROUP BY ALL)"""
+mt AS (SELECT nd.oid, nd.seq, arg_min(two, pos) AS two FROM nd JOIN cv ON cv.oid = nd.oid AND need <> '' AND (contains(need, {_norm.format(x='capability')}) OR contains({_norm.format(x='capability')}, need)) GROUP BY ALL)"""
 
 SQL = {
     "majority_vote": f"WITH {_VOTES} SELECT pair, fit, confidence, agreement, explanation FROM m",
@@ -232,9 +237,10 @@ SQL = {
     "vote_depth": f"WITH r AS (SELECT cid, oid, row_number() OVER (PARTITION BY oid ORDER BY profile DESC, cid) AS r FROM ({PAIRS_SQL})) SELECT cid, oid, CASE WHEN r <= 3 THEN 3 WHEN r <= 20 THEN 1 ELSE 0 END AS votes FROM r",
     "latest_verdict": f"WITH {_LOG} SELECT user_id, event_type, event_id, decision FROM (SELECT *, {_last} AS r FROM lg) WHERE r = 1",
     "verdict_flips": f"""WITH {_LOG}, a AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg WHERE event_id % 2 = 1) WHERE r = 1), b AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg WHERE event_id % 2 = 0) WHERE r = 1)
-      SELECT a.user_id, a.event_type, a.decision AS verdict, b.decision AS previous_verdict, CASE WHEN b.rubric <> 'r1' THEN 'yes' ELSE 'no' END AS rubric_changed FROM a JOIN b USING (user_id, event_type)
+      SELECT a.user_id, a.event_type, a.decision AS new_verdict, b.decision AS previous_verdict, rtrim(rtrim(strftime(b.ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') AS previous_ts, CASE WHEN b.rubric <> 'r1' THEN 'yes' ELSE 'no' END AS rubric_changed, a.rubric AS agreement, '' AS human_verdict FROM a JOIN b USING (user_id, event_type)
       WHERE a.decision IN ('Direct', 'Partial', 'Yes', 'No') AND a.decision <> b.decision""",
-    "exemplars": f"WITH {_LOG}, r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM lg) SELECT event_type, string_agg(user_id || ':' || decision, '|' ORDER BY ts, event_id) AS exemplars FROM r WHERE r <= 8 GROUP BY event_type",
+    "exemplars": f"""WITH {_LOG}, l AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg) WHERE r = 1), x AS (SELECT a.user_id, a.event_type, b.user_id || ':' || b.event_type || ':' || b.decision AS line, b.ts, b.event_id, row_number() OVER (PARTITION BY a.user_id, a.event_type ORDER BY b.ts DESC, b.event_id DESC) AS k
+      FROM l a JOIN l b ON (a.user_id, a.event_type) <> (b.user_id, b.event_type)) SELECT user_id, event_type, string_agg(line, '|' ORDER BY ts, event_id) AS exemplars FROM x WHERE k <= 8 GROUP BY ALL""",
     "review_labels": f"SELECT c_custkey, {_lab.format(v=sql_pick(REVIEWS, 'c_custkey'))} AS label FROM customer",
     "reviews_last_wins": f"WITH r AS (SELECT c_mktsegment AS company, (c_nationkey % 5)::VARCHAR AS opportunity, {_lab.format(v=sql_pick(REVIEWS, 'c_custkey'))} AS label, c_custkey FROM customer) SELECT company, opportunity, arg_max(label, c_custkey) AS label FROM r WHERE label IS NOT NULL GROUP BY ALL",
     "human_overrides": f"""WITH p AS (SELECT doc_id, toxic = 0 AS v, {sql_pick(LABELS5, 'doc_id')} AS a, CASE WHEN doc_id % 3 <> 0 THEN quality END AS h FROM labels),
@@ -244,7 +250,8 @@ SQL = {
       SELECT oid, CASE WHEN NOT q THEN 'No qualified candidate' ELSE 'No validated fit (no Direct or Partial)' END AS status, CASE WHEN NOT q THEN ab ELSE gb END AS best_candidate FROM g WHERE NOT q OR (g AND NOT v)""",
     "auc": """WITH s AS (SELECT (n_chars % 997) / 997.0::DOUBLE AS x, quality AS y FROM documents JOIN labels USING (doc_id))
       SELECT round(sum(CASE WHEN a.x > b.x THEN 1.0 WHEN a.x = b.x THEN 0.5 ELSE 0.0 END)::DOUBLE / count(*), 6) AS auc FROM s a JOIN s b ON a.y = 1 AND b.y = 0""",
-    "label_pool": f"WITH {_POOL} SELECT user_id, event_type, final_score, coalesce(h, (decision IN ('Direct', 'Partial', 'Yes'))::INT) AS y, (CASE WHEN h IS NOT NULL THEN 3.0 WHEN rubric = 'r1' THEN 1.0 ELSE 0.6 END)::DOUBLE AS weight FROM la LEFT JOIN rv USING (user_id, event_type)",
+    "label_pool": f"""WITH {_POOL}, bo AS (SELECT *, coalesce(final_score, c) AS s FROM (SELECT * FROM la FULL JOIN rv USING (user_id, event_type)) LEFT JOIN cu USING (user_id, event_type))
+      SELECT user_id, event_type, s AS final_score, coalesce(h, (decision IN ('Direct', 'Partial', 'Yes'))::INT) AS y, (CASE WHEN h IS NOT NULL THEN 3.0 WHEN rubric = 'r1' THEN 1.0 ELSE 0.6 END)::DOUBLE AS weight FROM bo WHERE s IS NOT NULL""",
     "diagnostics": f"""WITH p AS (SELECT *, {_rq} AS ro, verdict IN ('Direct', 'Yes') AS direct FROM ({PAIRS_SQL})), c AS (SELECT cid, count(*) AS n FROM p WHERE ro <= 3 GROUP BY cid)
       SELECT count(*) AS pairs_total, count_if(qualified)::BIGINT AS pairs_qualified, count(DISTINCT cid) AS companies_total, count(DISTINCT CASE WHEN qualified THEN cid END) AS companies_qualified, count(DISTINCT CASE WHEN direct THEN oid END) AS opportunities_direct,
         count(DISTINCT CASE WHEN verdict = 'Partial' THEN oid END) AS opportunities_partner, count_if(direct)::BIGINT AS pairs_direct, count_if(verdict = 'Partial')::BIGINT AS pairs_partner, round(quantile_cont(profile, 0.5), 4) AS median_profile,
@@ -261,9 +268,9 @@ SQL = {
     "rank_gaps": f"""WITH r AS (SELECT oid, row_number() OVER (PARTITION BY oid ORDER BY profile DESC, cid)::INT AS k FROM ({PAIRS_SQL})), x AS (SELECT oid, CASE WHEN oid % 6 = 0 AND k = 2 THEN 3 ELSE k END AS rank FROM r),
       g AS (SELECT oid, count(rank) AS n, min(rank) AS lo, max(rank) AS hi, count(DISTINCT rank) AS d FROM x GROUP BY oid) SELECT * FROM g WHERE lo <> 1 OR hi <> n OR d <> n""",
     "verified_needs": f"WITH n AS (SELECT item_id, 'need ' || item_id AS capability, {_quote} AS quote, text FROM benchmark) SELECT item_id, capability, quote FROM n WHERE len(string_split({_norm.format(x='quote')}, ' ')) >= 4 AND contains({_norm.format(x='text')}, {_norm.format(x='quote')})",
-    "consortium": f"""WITH {_C} SELECT oid, 'Ready' AS status, capability AS need, CASE WHEN two IS NULL THEN '' WHEN two THEN 'A' || oid || ', B' || oid ELSE 'C' || oid END AS covered_by,
+    "consortium": f"""WITH {_C} SELECT oid, 'Ready' AS status, capability AS need, CASE WHEN seq <> 1 THEN 'q' || seq ELSE '' END AS source_quote, CASE WHEN two IS NULL THEN '' WHEN two THEN 'A' || oid || ', B' || oid ELSE 'C' || oid END AS covered_by,
         CASE WHEN two IS NULL THEN '' WHEN two THEN 'A' || oid || ': makes it | B' || oid || ': ' ELSE 'C' || oid || ': near' END AS why, CASE WHEN two IS NULL THEN 'GAP' ELSE '' END AS gap FROM nd JOIN sz USING (oid) LEFT JOIN mt USING (oid, seq) WHERE n >= 3
-      UNION ALL SELECT oid, 'Thin data - ranked view applies', '', '', '', '' FROM sz WHERE n < 3""",
+      UNION ALL SELECT oid, 'Thin data - ranked view applies', '', '', '', '', '' FROM sz WHERE n < 3""",
     "review_payload": f"""WITH p AS (SELECT cid, oid, {_rq} AS rank FROM ({PAIRS_SQL})) SELECT oid, count(*) AS n, '[' || string_agg('{{"rank":' || rank || ',"cid":' || cid || '}}', ',' ORDER BY rank) || ']' AS payload FROM p WHERE rank <= 3 GROUP BY oid""",
     "folder_summary": "SELECT source AS category, count(*) AS files, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source",
 }

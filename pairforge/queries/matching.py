@@ -95,16 +95,14 @@ def cosine_dense(s: S, d: str) -> DataFrame:
     return _cosines(s, d)
 
 
-def _blended(s: S, d: str) -> DataFrame:
-    """Cosines with each left vector blended with a second one (here its reverse) at the fixed share."""
+def _with_focus(s: S, d: str) -> tuple[DataFrame, DataFrame]:
+    """Left vectors with a second one of the focused text (here the reverse), mixed at the fixed share."""
     a, b = _vectors(s, d)
-    w = dims.EMBED_FOCUS_BLEND
-    a = a.withColumn("n", F.greatest(A.norm(F.col("a")), F.lit(1e-12))).select("cid", F.zip_with("a", F.reverse("a"), lambda x, y: (1 - w) * x / F.col("n") + w * y / F.col("n")).alias("a"))
-    return Z.dense_cosine(a, b).withColumn("cosine", F.round("cosine", 9))
+    return a.withColumn("f", Z.blended(F.col("a"), F.reverse("a"), dims.EMBED_FOCUS_BLEND)), b
 
 
 def focus_blend(s: S, d: str) -> DataFrame:
-    return _blended(s, d)
+    return Z.dense_cosines(*_with_focus(s, d), {"cosine": "f"}).withColumn("cosine", F.round("cosine", 9))
 
 
 def percentile_rank(s: S, d: str) -> DataFrame:
@@ -121,9 +119,9 @@ def specificity(s: S, d: str) -> DataFrame:
 
 
 def _both(s: S, d: str) -> DataFrame:
-    a, b = _vectors(s, d)
-    left = a.select("cid", "label")
-    return _cosines(s, d).withColumnRenamed("cosine", "full").join(_blended(s, d).withColumnRenamed("cosine", "focused"), ["cid", "oid"]).join(left, "cid")
+    a, b = _with_focus(s, d)
+    both = Z.dense_cosines(a, b, {"full": "a", "focused": "f"})
+    return both.withColumns({c: F.round(c, 9) for c in ("full", "focused")})
 
 
 def spearman(s: S, d: str) -> DataFrame:

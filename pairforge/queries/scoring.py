@@ -9,6 +9,7 @@ from pairforge import dims
 from pairforge.functions.arrays import clamp, half_up
 from pairforge.operators import ranking as R
 from pairforge.operators import scoring as O
+from pairforge.operators.similarity import position
 from pairforge.queries.base import PAIRS_SQL, pairs, pick, pp, pp0, sql_list, sql_map, sql_pick, sql_text, t, toks
 
 S = SparkSession
@@ -33,7 +34,7 @@ def _scored(s: S, d: str, with_score) -> DataFrame:
 
 
 def sector_score(s: S, d: str) -> DataFrame:
-    return _scored(s, d, O.with_sector_score).select("cid", "oid", F.round("sector_score", 6).alias("sector_score"), "sector_label", "bridge_name")
+    return _scored(s, d, O.with_sector_score).select("cid", "oid", F.round("sector_score", 6).alias("sector_score"), "sector_label", "bridge_name", "sector_reason")
 
 
 def g1_sector_score(s: S, d: str) -> DataFrame:
@@ -87,12 +88,9 @@ def qualification(s: S, d: str) -> DataFrame:
     """Qualified, soft-candidate and link flags, and the cap on unseen optimism."""
     n = F.col("cid") % 5
     label = F.when(F.col("sector") >= 0.9, "Exact").otherwise(O.score_label(F.col("sector")))
-    soft = label.isin("No", "Unknown") & (n >= dims.MIN_EVIDENCE_TERMS) & (F.greatest("profile", "product") >= dims.SOFT_MATCH_MIN)
-    real = label.isin("Exact", "Strong", "Moderate")
-    q = ~soft & (F.col("sector") >= dims.MIN_SECTOR_SCORE) & (n >= dims.MIN_EVIDENCE_TERMS)
-    bridged = F.col("bridge_only")
-    capped = F.when(q & F.col("verdict").isNull() & F.col("decision").isin("Good Match", "Excellent Match"), "Review Needed").otherwise(F.col("decision"))
-    return pairs(s, d).select("cid", "oid", q.alias("qualified"), soft.alias("soft"), (real | bridged).alias("real_link"), (bridged & ~real).alias("bridge_only"), capped.alias("capped"))
+    q = O.qualification(n, label, *_p("sector", "profile", "product", "bridge_only"))
+    capped = O.unseen_cap(F.col("decision"), q["qualified"], F.col("verdict"), ["Good Match", "Excellent Match"])
+    return pairs(s, d).select("cid", "oid", *[v.alias(k) for k, v in q.items()], capped.alias("capped"))
 
 
 def _decided(s: S, d: str) -> DataFrame:
@@ -133,31 +131,23 @@ def report_fields(s: S, d: str) -> DataFrame:
 
 def g1_scores(s: S, d: str) -> DataFrame:
     """First generation: strict sector filter, soft match, proxy score, fusion, label, band."""
-    semantic = F.greatest("profile", "product")
-    score = F.when((F.col("sector") < 0.1) & (F.col("cid") % 3 != 0) & (semantic >= dims.SOFT_MIN_G1), F.greatest(F.col("sector"), F.lit(0.35))).otherwise(F.col("sector"))
-    p = pairs(s, d).withColumn("s", score).filter(F.col("s") >= dims.SECTOR_MIN_G1).withColumn("ai", 0.5 * F.col("s") + 0.25 * F.col("profile") + 0.25 * F.col("product"))
-    w = dims.WEIGHTS_G1
-    final = w["profile"] * F.col("profile") + w["product"] * F.col("product") + w["sector"] * F.col("s") + w["ai"] * F.col("ai")
+    score = O.g1_soft_sector(*_p("sector"), F.col("cid") % 3 != 0, *_p("profile", "product"), F.col("sector") < 0.1)
+    p = pairs(s, d).withColumn("s", score).filter(F.col("s") >= dims.SECTOR_MIN_G1).withColumn("ai", O.g1_proxy(*_p("profile", "product", "s")))
+    final = O.g1_fusion(*_p("profile", "product", "s", "ai"))
     return p.select("cid", "oid", half_up(F.col("ai")).alias("ai_score"), half_up(final).alias("final_score"), O.decision_g1(*_p("s", "profile", "product", "ai", "verdict")).alias("ai_decision"), O.semantic_band(F.col("product")).alias("band"))
 
 
 def g0_scores(s: S, d: str) -> DataFrame:
     """Legacy: yes / no replies as .95 / .3, fusion .4 .4 .2, ranks inside batches of ten sources."""
     reply = F.when(F.lower(F.coalesce("verdict", F.lit(""))).startswith("yes"), 0.95).when(F.col("verdict").isNull(), 0.0).otherwise(0.3)
-    p = pairs(s, d).withColumn("final_score", half_up(0.4 * F.col("profile") + 0.4 * F.col("product") + 0.2 * reply))
+    p = pairs(s, d).withColumn("final_score", O.g0_fusion(*_p("profile", "product"), reply))
     return R.batch_rank(p, "cid", "oid", [F.col("final_score").desc(), "cid"], "rank").select("cid", "oid", F.col("batch").cast("long").alias("batch"), "final_score", "rank")
 
 
 def g2_scores(s: S, d: str) -> DataFrame:
     """Second generation: decision coerced, fusion, rank by (final, product), global id by (company, rank)."""
-    from pyspark.sql import Window as W
-
-    yes = (F.lower(F.trim(F.coalesce("verdict", F.lit("")))) == "yes").cast("int")
-    w = dims.WEIGHTS_G2
-    p = pairs(s, d).withColumn("final_score", half_up(w["ai"] * yes + w["profile"] * F.col("profile") + w["product"] * F.col("product")))
+    p = pairs(s, d).withColumn("final_score", O.g2_fusion(*_p("profile", "product", "verdict")))
     p = R.ranked(p, "oid", [F.col("final_score").desc(), F.col("product").desc(), "cid"], "rank")
-    from pairforge.operators.similarity import position
-
     return position(p.select("cid", "oid", "final_score", "rank", F.greatest("profile", "product").alias("sector_similarity")), ["cid", "rank", "oid"], "_at").select((F.col("_at") + 1).alias("id"), "cid", "oid", "final_score", "rank", "sector_similarity")
 
 
@@ -215,8 +205,8 @@ def pursue_rank(s: S, d: str) -> DataFrame:
 def export_top(s: S, d: str) -> DataFrame:
     """The export: five best pairs of each company, rejected ones included, three-place numbers."""
     p = R.ranked(_decided(s, d), "cid", [F.col("final").desc(), "oid"], "rank").filter("rank <= 5")
-    rejected = F.col("decided").isin("Weak Match", "Poor Match")
-    return p.select("cid", "oid", "rank", clamp(F.col("final")).alias("final_score"), "decided", F.when(rejected, "Not recommended").otherwise(F.col("model")).alias("model"))
+    p = p.withColumns({"recommended_engagement": F.concat(F.lit("call "), F.col("cid").cast("string")), "suggested_localization_model": F.col("model")}).withColumns(O.blanked(F.col("decided")))
+    return p.select("cid", "oid", "rank", clamp(F.col("final")).alias("final_score"), "decided", F.col("suggested_localization_model").alias("model"), F.col("recommended_engagement").alias("engagement"))
 
 
 QUERIES = {
@@ -325,7 +315,11 @@ SQL = {
       r AS (SELECT *, CASE {' '.join(f'WHEN {f} THEN {i}' for i, f in enumerate(_fire))} END AS rule FROM g),
       s AS (SELECT *, (CASE WHEN unknown THEN 0.0 WHEN exact THEN 1.0 ELSE coalesce([{', '.join(str(x[3]) for x in dims.BRIDGE_RULES)}][rule + 1]::DOUBLE, base) END)::DOUBLE AS score FROM r)
       SELECT cid, oid, round(score, 6) AS sector_score, CASE WHEN unknown THEN 'Unknown' WHEN exact THEN 'Exact' ELSE {_label.format(s='score')} END AS sector_label,
-        CASE WHEN NOT unknown AND NOT exact THEN {sql_list([x[4] for x in dims.BRIDGE_RULES])}[rule + 1] END AS bridge_name FROM s""",
+        CASE WHEN NOT unknown AND NOT exact THEN {sql_list([x[4] for x in dims.BRIDGE_RULES])}[rule + 1] END AS bridge_name,
+        CASE WHEN unknown THEN 'Sector text missing or uninformative.' WHEN exact THEN 'Exact sector match: ''' || cs || '''.'
+          WHEN rule IS NOT NULL THEN 'Cross-sector bridge (' || {sql_list([x[4] for x in dims.BRIDGE_RULES])}[rule + 1] || ') via capabilities: ' || array_to_string(list_sort(list_distinct(list_intersect(cap, [{', '.join(sql_list(x[2]) for x in dims.BRIDGE_RULES)}][rule + 1])))[1:6], ', ') || '.'
+          WHEN len(list_intersect(c, o)) > 0 THEN 'Shared sector terms: ' || array_to_string(list_sort(list_distinct(list_intersect(c, o)))[1:5], ', ') || '.'
+          WHEN base >= 0.75 THEN 'Sector families align (same broader industry group).' ELSE 'No direct sector overlap (''' || cs || ''' vs ''' || os || ''').' END AS sector_reason FROM s""",
     "g1_sector_score": f"""WITH p AS ({SIDES_SQL}), b AS (SELECT *, {_bag('cs', dims.SECTOR_TOKEN_MAP_G1, dims.SECTOR_ONTOLOGY_G1, _generic1)} AS c, {_bag('os', dims.SECTOR_TOKEN_MAP_G1, dims.SECTOR_ONTOLOGY_G1, _generic1)} AS o FROM p),
       g AS (SELECT *, greatest({_jac}, CASE WHEN {_group_hit(dims.SECTOR_GROUPS_G1)} THEN 0.75 ELSE 0.0 END)::DOUBLE AS base, len(c) = 0 OR len(o) = 0 AS unknown, {pp('cs')} = {pp('os')} AS exact FROM b),
       r AS (SELECT *, CASE {' '.join(f'WHEN {f} THEN {i}' for i, f in enumerate(_cross1))} END AS rule FROM g),
@@ -374,5 +368,5 @@ SQL = {
       SELECT cid, oid, ro <= 3 AS gate, ro <= 5 AS opportunity_view, rc <= 3 AS company_view FROM r WHERE ro <= 5 OR rc <= 3""",
     "pursue_rank": f"WITH {DECIDED} SELECT cid, oid, row_number() OVER w::INT AS pursue_rank, first_value(decided) OVER w AS lead_tier, first_value(final) OVER w AS lead_score FROM de WINDOW w AS (PARTITION BY oid ORDER BY ti, final DESC, cid)",
     "export_top": f"""WITH {DECIDED}, r AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY final DESC, oid)::INT AS rank FROM de)
-      SELECT cid, oid, rank, final AS final_score, decided, CASE WHEN decided IN ('Weak Match', 'Poor Match') THEN 'Not recommended' ELSE model END AS model FROM r WHERE rank <= 5""",
+      SELECT cid, oid, rank, final AS final_score, decided, CASE WHEN decided IN ('Weak Match', 'Poor Match') THEN 'Not recommended' ELSE model END AS model, CASE WHEN decided IN ('Weak Match', 'Poor Match') THEN '' ELSE 'call ' || cid END AS engagement FROM r WHERE rank <= 5""",
 }

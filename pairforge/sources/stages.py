@@ -56,6 +56,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most rows of a side that is broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast only when its counted rows are few; else the planner chooses."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def checkpoint(df: DataFrame, path: str, columns: list[str] | None = None) -> DataFrame:
     """Resume from ``path`` if it holds a table with the wanted columns; else write ``df`` there.  A
     table of an older layout is made anew."""
