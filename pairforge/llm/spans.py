@@ -3,15 +3,22 @@
 Every window of ``window`` units (words or bytes) owns the minimal hash among its ``gram``-unit
 pieces, the leftmost on ties.  Equal windows own equal minimisers at equal places, so a repeat
 can never be missed.  Consecutive windows with one minimiser form a *run*; a run is described by
-the minimiser's hash ``a`` and the hash ``u`` of all its content.  Rows are runs, not windows, so
-what is shuffled is a few hundredths of the units:
-
-1. ``runs``         one row for each run of each document (stage table);
-2. ``shared``       runs whose minimiser occurs twice or more;
-3. ``paths``        one row for each (a, u): how often and where it occurs first;
-4. ``branching``    minimisers through which several different paths pass; only for these single
+the minimiser's hash ``a`` and the hash ``u`` of all its content.  Consecutive runs form a *chain*,
+which ends after a run whose minimiser says so (one in ``CHAIN``): equal stretches of text are cut into
+equal chains wherever they lie.  A chain is described like a run.  Rows are chains, then runs, not
+windows, so what is shuffled is a few hundredths of the units:
+
+1. ``chains``       one row for each chain of each document, with its runs (stage table);
+2. ``trunks``       chains that repeat whole: one row for each, with its least place;
+3. ``dealt``        the chains, with runs only where they don't repeat or are the one occurrence kept;
+4. ``shared``       runs whose minimiser occurs twice or more;
+5. ``paths``        one row for each (a, u): how often and where it occurs first;
+6. ``branching``    minimisers through which several different paths pass; only for these single
                     windows are compared, on the first occurrence of each path.
 
+A chain that repeats whole is never taken apart where it repeats: a copy of a long passage costs a row
+for each chain, and runs only in the chains in which it departs from its source.
+
 Hashes are 64 bits each and always used in pairs.  Keys that very many rows share are reduced by
 partial aggregation before they are shuffled; joins on them have one row for each key on one side, a
 stage table, so that adaptive execution can split the other.
@@ -20,6 +27,7 @@ stage table, so that adaptive execution can split the other.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +45,8 @@ Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 LONG_BYTES = 4 << 20
 #: Bytes of shorter documents that are taken together.
 CHUNK = 1 << 19
+#: One run in so many ends a chain; a chain without such a run ends after ``LONGEST_CHAIN`` runs.
+CHAIN, LONGEST_CHAIN = 16, 128
 
 
 def word_units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +83,27 @@ def parts_of(units: Units, data: np.ndarray, off: np.ndarray, window: int) -> It
         yield lo, BYTE_VALUE[part] if by_byte else part, np.array([0, len(part)])
 
 
-def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int):
-    """(row, minimiser hash, content hash, first window, number of windows) of each run."""
+class Runs(NamedTuple):
+    """Of each run: row, minimiser hash, content hash, first window, number of windows; of each chain: its
+    first run, content hash, number of windows."""
+
+    row: np.ndarray
+    a: np.ndarray
+    u: np.ndarray
+    s: np.ndarray
+    n: np.ndarray
+    begin: np.ndarray
+    chain_u: np.ndarray
+    covers: np.ndarray
+
+
+def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int) -> Runs:
+    """The runs of a chunk, and the chains that they form."""
     n = len(values)
     lens = np.diff(off)
     long = np.flatnonzero(lens >= window)
     if not len(long):
-        z = np.zeros(0, np.int64)
-        return z, z, z, z, z
+        return Runs(*[np.zeros(0, np.int64)] * 8)
     prefix = prefix_hash(values)
     _, down = powers(n + 1)
     grams = mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1])
@@ -102,26 +125,42 @@ def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int):
     s = at[first]
     row = np.searchsorted(off, s, side="right") - 1
     u = mix(span_hash(prefix, s, s + size + window - 1) + size.astype(np.uint64))
-    return row, grams[place[first]].view(np.int64), u.view(np.int64), s - off[row], size
+    a = grams[place[first]]
+    # chains: runs that follow each other in one document, up to one whose minimiser ends the chain
+    ends = (mix(a) % _U(CHAIN) == 0) | np.append(row[1:] != row[:-1], True)
+    begin = np.concatenate(([0], np.flatnonzero(ends)[:-1] + 1))
+    long_ = np.diff(np.append(begin, len(a)))
+    if (long_ > LONGEST_CHAIN).any():
+        begin = np.concatenate([np.arange(b, b + k, LONGEST_CHAIN) for b, k in zip(begin, long_, strict=True)])
+    last = np.append(begin[1:], len(a)) - 1
+    covers = s[last] + size[last] - s[begin]
+    chain_u = mix(span_hash(prefix, s[begin], s[begin] + covers + window - 1) + covers.astype(np.uint64))
+    return Runs(row, a.view(np.int64), u.view(np.int64), s - off[row], size, begin, chain_u.view(np.int64), covers)
+
 
+#: The fields of a run in a chain's list.
+_RUN = T.StructType([T.StructField("a", T.LongType()), T.StructField("u", T.LongType()), T.StructField("s", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
-def runs(docs: DataFrame, units: Units, window: int, gram: int) -> DataFrame:
-    """The stage table of runs: (doc_id, rk, a, u, s, n).  ``docs``: doc_id, rk, text."""
-    schema = T.StructType(
-        [docs.schema["doc_id"], T.StructField("rk", T.LongType()), T.StructField("a", T.LongType()), T.StructField("u", T.LongType()), T.StructField("s", T.IntegerType()), T.StructField("n", T.IntegerType())]
-    )
+
+def chains(docs: DataFrame, units: Units, window: int, gram: int) -> DataFrame:
+    """(doc_id, rk, a, u, s, n, runs): ``docs``: doc_id, rk, text."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("rk", T.LongType()), *_RUN.fields, T.StructField("runs", T.ArrayType(_RUN))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, data, off in chunks(batch, "text", CHUNK):
                 for first, values, rows in parts_of(units, data, off, window):
-                    row, a, u, s, n = window_runs(values, rows, window, gram)
-                    if len(row):
-                        pick = pa.array(row + lo)
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(a), pa.array(u), pa.array((s + first).astype(np.int32)), pa.array(n.astype(np.int32))],
-                            names=["doc_id", "rk", "a", "u", "s", "n"],
-                        )
+                    r = window_runs(values, rows, window, gram)
+                    if not len(r.row):
+                        continue
+                    pick = pa.array(r.row[r.begin] + lo)
+                    start = pa.array((r.s + first).astype(np.int32))
+                    each = pa.StructArray.from_arrays([pa.array(r.a), pa.array(r.u), start, pa.array(r.n.astype(np.int32))], names=["a", "u", "s", "n"])
+                    held = pa.ListArray.from_arrays(pa.array(np.append(r.begin, len(r.row)).astype(np.int32)), each)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(r.a[r.begin]), pa.array(r.chain_u), start.take(pa.array(r.begin)), pa.array(r.covers.astype(np.int32)), held],
+                        names=["doc_id", "rk", "a", "u", "s", "n", "runs"],
+                    )
 
     return docs.select("doc_id", "rk", "text").mapInArrow(scan, schema)
 
@@ -187,18 +226,31 @@ class RepeatedSpans:
     def __init__(self, units: Units, window: int, gram: int, earlier_only: bool):
         self.units, self.window, self.gram, self.earlier_only = units, window, gram, earlier_only
 
-    def shared_runs(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(runs whose minimiser occurs twice or more, paths): two stage tables."""
-        every = stage(runs(docs, self.units, self.window, self.gram), "runs")
+    def shared_runs(self, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(occurrences of chains that repeat whole and go; runs whose minimiser occurs twice or more;
+        paths): three stage tables.
+
+        Runs are taken from all other chains and, so that these can be compared with what goes, from the
+        place that a repeated chain is kept for: its least document, or its least occurrence."""
+        every = stage(chains(docs, self.units, self.window, self.gram), "chains")
         if self.earlier_only:
             every = every.filter(F.col("doc_id").isNotNull())
+        place = F.struct("doc_id", "rk", "s")
+        seen = every.groupBy("a", "u").agg(F.count("*").alias("c"), F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min(place).alias("at"))
+        trunks = stage(seen.filter("d0 < d1" if self.earlier_only else "c > 1").select("a", "u", F.col("d0" if self.earlier_only else "at").alias("kept")), "trunks")
+        goes = F.col("kept").isNotNull() & (F.col("doc_id") > F.col("kept") if self.earlier_only else F.lit(True))
+        dealt = every.join(trunks, ["a", "u"], "left").withColumn("goes", goes)
+        stays = ~F.col("goes") if self.earlier_only else F.col("kept").isNull() | place.eqNullSafe(F.col("kept"))
+        dealt = stage(dealt.select("doc_id", "rk", "s", "n", "goes", F.when(stays, F.col("runs")).alias("runs")), "dealt")
+        gone = dealt.filter("goes").drop("runs", "goes")
+        every = dealt.filter("runs IS NOT NULL").select("doc_id", "rk", F.inline("runs"))
         twice = stage(every.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a"), "twice")
         shared = stage(every.join(twice, "a"), "shared")
         paths = stage(
             shared.groupBy("a", "u").agg(F.count("*").alias("c"), F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min(F.struct("doc_id", "rk", "s")).alias("at"), F.max("n").alias("n")),
             "paths",
         )
-        return shared, paths
+        return gone, shared, paths
 
     def branching(self, paths: DataFrame) -> DataFrame:
         """For each minimiser through which several paths pass: a, and their number."""
@@ -224,7 +276,7 @@ class RepeatedSpans:
             hits = rows.join(stage(twice, "twice"), ["a", "w"])
         return hits.groupBy("a", "u").agg(F.collect_set("o").alias("offs"))
 
-    def document_spans(self, shared: DataFrame, paths: DataFrame, flags: DataFrame) -> DataFrame:
+    def document_spans(self, gone: DataFrame, shared: DataFrame, paths: DataFrame, flags: DataFrame) -> DataFrame:
         """(doc_id, rk, spans): the covered spans [b, e) of each document, in units."""
         whole: Column = (F.col("d0") < F.col("d1")) if self.earlier_only else (F.col("c") > 1)
         marks = paths.join(flags, ["a", "u"], "left").withColumn("whole", F.coalesce(whole, F.lit(False))).filter(F.col("whole") | F.col("offs").isNotNull()).select("a", "u", "d0", "whole", "offs")
@@ -233,7 +285,9 @@ class RepeatedSpans:
         pieces = F.when(full, F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + self.window - 1).alias("e")))).otherwise(
             F.transform("offs", lambda o: F.struct((F.col("s") + o).alias("b"), (F.col("s") + o + self.window).alias("e")))
         )
-        return hit.withColumn("spans", pieces).filter(F.size("spans") > 0).groupBy(F.col("doc_id").alias("span_doc"), F.col("rk").alias("span_rk")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        found = hit.select("doc_id", "rk", pieces.alias("spans")).filter(F.size("spans") > 0)
+        trunks = gone.select("doc_id", "rk", F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + self.window - 1).alias("e"))).alias("spans"))
+        return found.unionByName(trunks).groupBy(F.col("doc_id").alias("span_doc"), F.col("rk").alias("span_rk")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def merged(b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -37,7 +37,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """(span_doc, span_rk, spans): covered word spans of the documents that have any."""
     docs = keyed(documents)
     search = RepeatedSpans(word_units, window, min(GRAM, window), earlier_only=True)
-    shared, paths = search.shared_runs(docs)
+    gone, shared, paths = search.shared_runs(docs)
     need = paths.join(search.branching(paths), "a", "left_semi")
     schema = search.window_schema(docs)
 
@@ -46,7 +46,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             yield from window_rows(batch, word_units, window)
 
     rows = stage(search.with_sources(docs, need).mapInArrow(edges, schema), "edges")
-    return search.document_spans(shared, paths, search.repeated_windows(rows))
+    return search.document_spans(gone, shared, paths, search.repeated_windows(rows))
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -98,7 +98,7 @@ def repeated_spans(documents: DataFrame, least: int = LEAST, most_runs: int = MO
     """(span_doc, span_rk, spans): covered byte spans of the documents that have any."""
     docs = keyed(documents)
     search = RepeatedSpans(byte_units, least, min(GRAM, least), earlier_only=False)
-    shared, paths = search.shared_runs(docs)
+    gone, shared, paths = search.shared_runs(docs)
     need = paths.join(search.branching(paths), "a").withColumn("hot", F.col("n_paths") > most_runs)
     scan, schema = _gather(docs, least)
     gathered = stage(search.with_sources(docs, need).mapInArrow(scan, schema), "gathered")
@@ -106,7 +106,7 @@ def repeated_spans(documents: DataFrame, least: int = LEAST, most_runs: int = MO
         gathered.filter(F.col("bytes").isNotNull()).select("a", "u", "bytes").repartition("a").sortWithinPartitions("a", "u").mapInArrow(_expand(least), "a long, u long, offs array<int>")
     )
     hashed = search.repeated_windows(gathered.filter(F.col("bytes").isNull()).drop("bytes"))
-    return search.document_spans(shared, paths, expanded.unionByName(hashed))
+    return search.document_spans(gone, shared, paths, expanded.unionByName(hashed))
 
 
 def remove_repeats(documents: DataFrame, least: int = LEAST, most_runs: int = MOST_RUNS) -> DataFrame:

@@ -129,6 +129,36 @@ def test_runs_cover_every_window_once():
 
     values = np.random.default_rng(1).integers(0, 5, 300).astype(np.uint64)
     off = np.array([0, 0, 90, 95, 300])
-    row, a, u, s, n = window_runs(values, off, 20, 4)
-    covered = sorted((int(r), int(x) + j) for r, x, k in zip(row, s, n, strict=True) for j in range(k))
-    assert covered == [(r, p) for r in range(4) for p in range(off[r + 1] - off[r] - 20 + 1)]
+    r = window_runs(values, off, 20, 4)
+    covered = sorted((int(i), int(x) + j) for i, x, k in zip(r.row, r.s, r.n, strict=True) for j in range(k))
+    every = [(i, p) for i in range(4) for p in range(off[i + 1] - off[i] - 20 + 1)]
+    assert covered == every
+    assert sorted((int(r.row[b]), int(r.s[b]) + j) for b, k in zip(r.begin, r.covers, strict=True) for j in range(k)) == every
+
+
+def test_chains_of_a_passage_are_the_same_in_any_text():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 1 << 40, 3000).astype(np.uint64)
+    values = np.concatenate((passage, rng.integers(0, 1 << 40, 500).astype(np.uint64), passage))
+    r = window_runs(values, np.array([0, 3000, 6500]), 50, 8)
+    held = [{int(u) for u, b in zip(r.chain_u, r.begin, strict=True) if r.row[b] == i} for i in (0, 1)]
+    assert len(held[0] & held[1]) >= len(held[0]) - 2 >= 3
+
+
+def test_shared_passages_leave_runs_only_where_copies_depart_from_their_source(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    docs = []
+    for i in range(40):
+        words = list(base)
+        words[rng.randrange(3000)] = f"edit{i}"
+        docs.append((i, " ".join(words)))
+    df = spans.keyed(spark.createDataFrame(docs, "doc_id long, text string"))
+    gone, shared, _ = spans.RepeatedSpans(spans.word_units, 50, 8, True).shared_runs(df)
+    every = spans.chains(df, spans.word_units, 50, 8)
+    runs = every.selectExpr("sum(size(runs))").first()[0]
+    assert gone.count() <= every.count() and shared.count() < runs / 3
+    got = substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == brute_words(docs, 50)
