@@ -19,7 +19,8 @@ fingerprints, however many documents share each:
    3 bits meet at a value that is near to one of them, and the members of a value that has a near
    member are linked to the least near member if verified: rows grow with the group, no link is lost.
 
-Components come from label propagation with pointer jumping over the verified links, in stage tables.
+Components come from alternating large-star and small-star rounds over the verified links
+(:mod:`pairforge.llm.components`), in stage tables.
 """
 
 from __future__ import annotations
@@ -43,27 +44,82 @@ SHINGLE = 3
 SEED = 42
 
 
-def _fingerprint(text: str | None) -> int:
-    from xxhash import xxh64_intdigest as xxh
-
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    if len(words) < SHINGLE:
-        hashes = [xxh(b" ".join(words), SEED)]
-    else:
-        # one joined string and the word ends give all shingles as slices
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-        starts = [0, *ends[:-SHINGLE].tolist()]
-        stops = (ends[SHINGLE - 1 :] - 1).tolist()
-        hashes = [xxh(joined[a:b], SEED) for a, b in zip(starts, stops, strict=False)]
-    h = np.array(hashes, dtype=np.uint64)
-    total = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), 1 << 14):
-        part = h[at : at + (1 << 14)]
-        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(h), bitorder="little").view(np.uint64)[0])
+_U = np.uint64
+_P1, _P2, _P3, _P4, _P5 = (_U(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))  # the constants of XXH64
+
+
+def _turn(x: np.ndarray, r: int) -> np.ndarray:
+    return (x << _U(r)) | (x >> _U(64 - r))
+
+
+def xxh64_slices(data: bytes, start: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of data[start : start + size] for many slices at once.  Slices of under 32 bytes, nearly all
+    shingles, take a vectorised form of the public algorithm; longer ones the library."""
+    from xxhash import xxh64_intdigest
+
+    padded = data + bytes(8)
+    eight = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))
+    four = np.ndarray((len(data) + 1,), np.dtype("<u4"), padded, strides=(1,))
+    one = np.frombuffer(padded, np.uint8)
+    out = _U(seed) + _P5 + size.astype(_U)
+    at, left = start.copy(), size.copy()
+    short = size < 32
+    for _ in range(3):
+        k = np.flatnonzero(short & (left >= 8))
+        lane = _turn(eight[at[k]] * _P2, 31) * _P1
+        out[k] = _turn(out[k] ^ lane, 27) * _P1 + _P4
+        at[k] += 8
+        left[k] -= 8
+    k = np.flatnonzero(short & (left >= 4))
+    out[k] = _turn(out[k] ^ (four[at[k]].astype(_U) * _P1), 23) * _P2 + _P3
+    at[k] += 4
+    left[k] -= 4
+    for _ in range(3):
+        k = np.flatnonzero(short & (left >= 1))
+        out[k] = _turn(out[k] ^ (one[at[k]].astype(_U) * _P5), 11) * _P1
+        at[k] += 1
+        left[k] -= 1
+    out ^= out >> _U(33)
+    out *= _P2
+    out ^= out >> _U(29)
+    out *= _P3
+    out ^= out >> _U(32)
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = xxh64_intdigest(data[start[i] : start[i] + size[i]], seed)
+    return out
+
+
+#: Shingles whose bits are counted together.
+_PART = 1 << 15
+
+
+def _fingerprints(texts: list[bytes]) -> np.ndarray:
+    """The fingerprint of each text (words in lower case, joined by one space; no text is empty)."""
+    data = b"\n".join(texts)
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.append(np.flatnonzero(raw <= 0x20), len(raw))  # joined words hold no other white space
+    ends = ends[np.append(np.isin(raw[ends[:-1]], (0x20, 0x0A)), True)]
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    last = np.append(raw[ends[:-1]] == 0x0A, True)
+    doc = np.concatenate(([0], np.cumsum(last[:-1])))
+    words = np.bincount(doc, minlength=len(texts))
+    first = np.concatenate(([0], np.cumsum(words)[:-1]))
+    shingles = np.maximum(words - SHINGLE + 1, 1)
+    of = np.repeat(np.arange(len(texts)), shingles)
+    k = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
+    to = np.minimum(k + SHINGLE, first[of] + words[of]) - 1
+    h = xxh64_slices(data, begins[k], ends[to] - begins[k])
+    total = np.zeros((len(texts), 64), dtype=np.int64)
+    for lo in range(0, len(h), _PART):
+        part, owner = h[lo : lo + _PART], of[lo : lo + _PART]
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        head = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        total[owner[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int32)
+    return np.packbits(2 * total > shingles[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+#: Bytes of text whose shingles are hashed together; a longer text is taken alone.
+_TOGETHER = 1 << 19
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -72,7 +128,26 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([_fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
+            fp = np.zeros(len(batch), dtype=np.uint64)
+            rows: list[int] = []
+            texts: list[bytes] = []
+            held = 0
+
+            def flush() -> None:
+                if rows:
+                    fp[rows] = _fingerprints(texts)
+
+            for i, text in enumerate(batch.column(1)):
+                joined = b" ".join((text.as_py() or "").encode().lower().split())
+                if not joined:
+                    continue
+                rows.append(i)
+                texts.append(joined)
+                held += len(joined)
+                if held >= _TOGETHER:
+                    flush()
+                    rows, texts, held = [], [], 0
+            flush()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     return documents.select("doc_id", "text").mapInArrow(scan, schema)
