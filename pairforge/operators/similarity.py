@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.arrays import dot, norm, unit
 from pairforge.functions.text import preprocess
-from pairforge.sources.stages import stage
+from pairforge.sources.stages import broadcast_if_small, stage
 
 
 def word_grams(df: DataFrame, key: str, text: str, least_length: int = 2) -> DataFrame:
@@ -57,13 +57,18 @@ def sparse_cosine(left: DataFrame, right: DataFrame, normalise: bool = False) ->
     return out.join(a, "cid").join(b, "oid").select("cid", "oid", (F.col("cosine") / (F.col("na") * F.col("nb"))).alias("cosine"))
 
 
+#: Vectors that are broadcast at most: some 100 MB of 1,000 numbers each.
+VECTOR_ROWS = 12_000
+
+
 def dense_cosines(left: DataFrame, right: DataFrame, vectors: dict[str, str], vector: str = "b") -> DataFrame:
     """(cid, oid, and a cosine for each of ``vectors``: name -> column of ``left``) with ``vector`` of
     ``right``, doubles.  All pairs are the result here, so the nested loop is the plan: pairs are formed
-    once for all cosines, and norms are taken once for each side, before it."""
+    once for all cosines, and norms are taken once for each side, before it.  ``right`` is the side with
+    few rows; it is broadcast while its counted rows are few."""
     a = left.select("cid", *[F.col(c).alias(f"_{n}") for n, c in vectors.items()], *[F.greatest(norm(F.col(c)), F.lit(1e-12)).alias(f"_n{n}") for n, c in vectors.items()])
     b = right.select("oid", F.col(vector).alias("_b"), F.greatest(norm(F.col(vector)), F.lit(1e-12)).alias("_nb"))
-    return a.crossJoin(b).select("cid", "oid", *[(dot(F.col(f"_{n}"), F.col("_b")) / (F.col(f"_n{n}") * F.col("_nb"))).alias(n) for n in vectors])
+    return a.crossJoin(broadcast_if_small(b, VECTOR_ROWS)).select("cid", "oid", *[(dot(F.col(f"_{n}"), F.col("_b")) / (F.col(f"_n{n}") * F.col("_nb"))).alias(n) for n in vectors])
 
 
 def dense_cosine(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -110,6 +110,18 @@ def verdict_log(s: S, d: str) -> DataFrame:
     return R.latest(log, ["company", "opportunity"], "o").select("company", "opportunity", "ts", "decision", "votes")
 
 
+def verdict_stream(s: S, d: str) -> DataFrame:
+    """The same log read as a stream, in two files, into the table of last verdicts."""
+    from pairforge.streaming import verdict_log as stream
+
+    path, out = stages.scratch(s, "stream"), stages.scratch(s, "latest")
+    rows = _log_rows(s, d)
+    stages.append_jsonl(rows.filter("votes % 2 = 1"), path)
+    stages.append_jsonl(rows.filter("votes % 2 = 0"), path)
+    stream.keep_latest(stream.read_log(s, path), out, stages.scratch(s, "progress")).awaitTermination()
+    return stream.current(s, out).select("company", "opportunity", "ts", "decision", "votes")
+
+
 def review_file(s: S, d: str) -> DataFrame:
     """Reviews written as CSV and read back; a file that isn't there gives none."""
     path = stages.scratch(s, "reviews")
@@ -236,7 +248,7 @@ def report_sheets(s: S, d: str) -> DataFrame:
 
 QUERIES = {
     "company_scan": company_scan, "merged_names": merged_names, "opportunity_scan": opportunity_scan, "sheet_union": sheet_union, "first_existing": first_existing, "header_names": header_names,
-    "structured_lists": structured_lists, "id_discovery": id_discovery, "verdict_log": verdict_log, "review_file": review_file, "view_rescan": view_rescan, "csv_export": csv_export,
+    "structured_lists": structured_lists, "id_discovery": id_discovery, "verdict_log": verdict_log, "verdict_stream": verdict_stream, "review_file": review_file, "view_rescan": view_rescan, "csv_export": csv_export,
     "batched_files": batched_files, "checkpoint_resume": checkpoint_resume, "folder_scan": folder_scan, "document_files": document_files, "literal_rows": literal_rows, "vector_cache": vector_cache,
     "cache_merge": cache_merge, "markdown_summary": markdown_summary, "report_sheets": report_sheets,
 }
@@ -313,3 +325,4 @@ SQL = {
       SELECT * FROM m UNION ALL SELECT 'No match', {_cl("'deal—' || oid")} || '|No suitable company in the current list|' || {_cl("'firm  ' || best")} || '|graded No' FROM a
       UNION ALL SELECT * FROM (VALUES ('Needs and gaps', 'deal-0|Steel|firm 1|near'), ('Needs and gaps', 'deal-0|Glass|NOBODY YET (gap)|')) g(sheet, row)""",
 }
+SQL["verdict_stream"] = SQL["verdict_log"]
