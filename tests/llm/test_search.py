@@ -55,7 +55,24 @@ def test_decontamination_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "beta x gamma"), (3, "alpha alpha"), (4, "x x x x")], "doc_id long, text string")
     got = {r.doc_id: r for r in decontamination.match(docs, items).collect()}
     assert got[1].n_hit == 3 and got[2].n_hit == 0 and any(abs(n.gap) == 1 for n in got[2].near)
-    assert not got[3].near and not got[4].near
+    assert not got[3].near and not got[4].near and not got[1].near  # an exact match is no proximity match
+
+
+def test_decontamination_judges_rows_that_share_an_id_by_their_own_text(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    docs = [(None, "alpha beta gamma"), (None, "nothing here"), (None, "alpha x beta gamma"), (5, "alpha beta gamma"), (5, "nothing here"), (5, "alpha beta gamma"), (5, None)]
+    got = decontamination.match(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted(((r.doc_id, r.text, r.n_hit, len(r.phrases), len(r.near)) for r in got), key=str) == sorted(
+        ((i, t, 3 * (t == "alpha beta gamma"), int(t == "alpha beta gamma"), int(t == "alpha x beta gamma")) for i, t in docs), key=str
+    )
+
+
+def test_decontamination_of_a_very_long_text(spark):
+    item = "one two three four five six seven eight nine ten"
+    text = "pad " * 300_000 + item + " pad" * 5
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontamination.match(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).select("doc_id", "n_words", "n_hit").collect()}
+    assert (got[1].n_words, got[1].n_hit, got[2].n_hit) == (300_015, 10, 0)
 
 
 def test_decontamination_empty_sides(spark, odd, none):
@@ -116,6 +133,43 @@ def test_mcd_rejects_outliers_of_each_dimension(spark):
     assert sum(got[i].kept for i in range(300)) >= 298 and all(got[i].kept for i, _ in once)
 
 
+def test_mcd_estimate_equals_brute_force(spark):
+    """The same concentration steps in plain numpy, over the best of all starts: estimates and determinant."""
+    from pyspark.sql import Row
+
+    m = mcd_quality
+    rng = np.random.default_rng(6)
+    z = rng.normal(size=(400, 4)) @ np.array([[0.3, 0.1, 0, 0], [0, 0.5, 0.2, 0], [0, 0, 0.6, 0], [0.2, 0, 0, 0.7]])
+    z[:90] += [2.0, 4.0, -3.0, 5.0]  # a second cloud that the plain mean is drawn to
+    rows = spark.createDataFrame([Row(g_lang="x", g_source="s", g_rest=False, **{f"z{k}": float(v[k]) for k in range(4)}) for v in z])
+    got = m.estimates(rows).first()
+    floor2 = np.diag(np.square(m.FLOOR))
+
+    def cut(d, share):  # the value that percentile_approx gives: the least one that covers the share
+        return np.sort(d)[int(np.ceil(share * len(d))) - 1]
+
+    def d2(mean, cov):
+        y = np.linalg.solve(np.linalg.cholesky(cov + floor2), (z - mean).T)
+        return (y * y).sum(axis=0)
+
+    med = np.array([cut(z[:, k], 0.5) for k in range(4)])
+    width = np.array([max((cut(z[:, k], 0.75) - cut(z[:, k], 0.25)) / 1.349, m.FLOOR[k]) for k in range(4)])
+    x = (z - med) / width
+    sign = x / np.linalg.norm(x, axis=1, keepdims=True)
+    starts = [(med, np.diag(width**2)), (med, 4 * np.cov(sign.T, bias=True) * np.outer(width, width)), (z.mean(axis=0), np.cov(z.T, bias=True))]
+    ends = []
+    for mean, cov in starts:
+        for _ in range(m.STEPS):
+            d = d2(mean, cov)
+            kept = z[d <= cut(d, m.SUBSET)]
+            mean, cov = kept.mean(axis=0), np.cov(kept.T, bias=True)
+        ends.append((np.linalg.slogdet(cov + floor2)[1], mean, cov))
+    _, mean, cov = min(ends, key=lambda e: e[0])
+    scale = max(cut(d2(mean, cov), 0.5) / m.CHI2_MEDIANS[3], 1.0)
+    assert np.allclose([got[f"m{k}"] for k in range(4)], mean, atol=1e-6)
+    assert np.allclose([got[f"c{i}{j}"] for i, j in m._PAIRS], [scale * cov[i, j] for i, j in m._PAIRS], atol=1e-6)
+
+
 def test_mcd_odd_rows(odd, none):
     got = mcd_quality.judge(odd).collect()
     assert len(got) == odd.count() and not any(r.kept for r in got if r.base_failed)
@@ -129,6 +183,56 @@ def _brute_fingerprint(t):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_vectorised_hashes_equal_the_library():
+    rng = random.Random(8)
+    data = bytes(rng.randrange(256) for _ in range(4000))
+    start = np.array([rng.randrange(3900) for _ in range(3000)] + [3999, 0])
+    size = np.minimum(np.array([rng.randrange(80) for _ in range(3000)] + [1, 0]), len(data) - start)
+    got = simhash.xxh64_slices(data, start, size)
+    assert got.tolist() == [xxhash.xxh64_intdigest(data[a : a + n], 42) for a, n in zip(start, size, strict=True)]
+
+
+def test_near_duplicates_equal_union_of_all_close_pairs(spark):
+    """The whole query against brute force: fingerprints, links and components."""
+    from pairforge.llm import queries
+
+    rng = random.Random(12)
+    words = [f"v{i}" for i in range(300)]
+    docs = []
+    for i in range(60):
+        base = rng.choices(words, k=rng.choice([0, 1, 2, 5, 60, 400]))
+        docs.append((3 * i, " ".join(base)))
+        for j in (1, 2):
+            copy = list(base)
+            if copy:
+                copy[rng.randrange(len(copy))] = f"e{i}{j}"
+            docs.append((3 * i + j, "  ".join(copy).upper() if j == 2 else " ".join(copy)))
+    out = simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+
+    def fingerprint(text):
+        w = text.encode().lower().split()
+        if not w:
+            return 0
+        h = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 3]), 42) for k in range(max(len(w) - 2, 1))]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    fp = {i: fingerprint(t) for i, t in docs}
+    root = {i: i for i in fp}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in fp:
+        for j in fp:
+            if i < j and (fp[i] ^ fp[j]).bit_count() <= 3:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert {r.doc_id: (r.fp % 2**64, r.component_id) for r in out} == {i: (fp[i], find(i)) for i in fp}
+    assert queries.QUERIES["op9_simhash_dedup"]
+
+
 def test_fingerprints_equal_brute_force(spark, odd, none):
     texts = [None, "", "One", "one TWO", "A b C", "ÄB c d e", "q w e r t y " * 20]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -189,3 +293,31 @@ def test_items_digest_of_the_query(spark):
 
     out = queries.op3_decontamination(spark, "/root/testdata/sf0.001").filter("n_items = 0").first()
     assert out.items_sha256 == hashlib.sha256(b"").hexdigest() and not out.contaminated
+
+
+def test_chats_collapse_like_brute_force(spark):
+    from pairforge.llm import chat_formatting
+
+    rng = random.Random(4)
+    talks = []
+    for _ in range(40):
+        talk = [(rng.choice(["user", "assistant"]), rng.choice(["a", "b", "<|im_end|>", ""])) for _ in range(rng.randint(1, 6))]
+        talks += [talk[:k] for k in rng.sample(range(1, len(talk) + 1), rng.randint(1, len(talk)))]
+    rows = [(i, k, role, text) for i, talk in enumerate(talks) for k, (role, text) in enumerate(talk)]
+    rows += [rows[0], (None, 0, "user", "a"), (900, 1, None, "z"), (900, None, "user", None)]
+    talks = {i: talk for i, talk in enumerate(talks)} | {900: [("user", ""), ("", "z")]}
+    kept = {}
+    for i, talk in sorted(talks.items()):
+        if not any(o[: len(talk)] == talk and (len(o) > len(talk) or j < i) for j, o in talks.items()):
+            kept[i] = len(talk)
+    got = chat_formatting.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("turns", F.lit("clash"))).collect()
+    assert {r.conv_id: r.n_turns for r in got} == kept
+    assert all("<|im_end|><|" not in r.rendered and r.rendered.count("<|im_start|>") == r.n_turns for r in got)
+
+
+def test_chat_of_very_many_turns(spark):
+    from pairforge.llm import chat_formatting
+
+    df = spark.range(30_000).selectExpr("1L AS conv_id", "id AS turn", "'user' AS role", "concat('t', id) AS text")
+    got = chat_formatting.format_conversations(df.union(df.filter("turn < 20000").selectExpr("2L", "turn", "role", "text"))).collect()
+    assert [(r.conv_id, r.n_turns) for r in got] == [(1, 30_000)]
