@@ -11,7 +11,7 @@ from pairforge.operators import ranking as R
 from pairforge.operators import scoring as O
 from pairforge.queries.base import PAIRS_SQL, SPACES, pairs, pick, pp, sql_pick, sql_text, t
 from pairforge.queries.texts import FOUNDING, PRICES, SUFFIXES
-from pairforge.sources import readers, stages
+from pairforge.sources import readers, stages, workbooks
 
 S = SparkSession
 #: Header spellings as they occur in workbooks: odd spaces, odd case.
@@ -197,6 +197,17 @@ def document_files(s: S, d: str) -> DataFrame:
     return readers.read_documents(s, path).select("file", "category", "n_chars", "n_lines")
 
 
+def workbook_scan(s: S, d: str) -> DataFrame:
+    """A workbook of two formatted sheets beside a file that is none, read back as texts."""
+    path = stages.scratch(s, "books")
+    n = t(s, d, "nation").orderBy("n_nationkey").select(F.col("n_name").alias("Name"), F.col("n_nationkey").alias("Key"), F.when(F.col("n_nationkey") % 2 == 0, F.lit("a <b> & \"c\"\n d")).alias("Note"), pick(["High Fit", "Low Fit"], F.col("n_nationkey")).alias("ai_decision"))
+    workbooks.write_workbook({"All_Pairs": n, "Second & last": n.filter("Key < 3").select("Key", "Name")}, f"{path}/deep/down/book.xlsx", "ai_decision")
+    n.coalesce(1).write.option("header", True).csv(f"{path}/deep/odd.xlsx")
+    rows = workbooks.read_workbooks(s, path)
+    first = workbooks.sheet_table(rows, "All_Pairs", ["Name", "Key", "Note", "ai_decision"]).withColumn("sheet", F.lit(1))
+    return first.unionByName(workbooks.sheet_table(rows, "Second & last", ["Name", "Key", "Note", "ai_decision"]).withColumn("sheet", F.lit(2)))
+
+
 LITERAL = [{"title": f"Plant {k}", "sector": sector, "note": "n" * k} for k, sector in enumerate(["Mining", "MedTech", "ICT Hardware", "Agri Food"])]
 
 
@@ -249,7 +260,7 @@ def report_sheets(s: S, d: str) -> DataFrame:
 QUERIES = {
     "company_scan": company_scan, "merged_names": merged_names, "opportunity_scan": opportunity_scan, "sheet_union": sheet_union, "first_existing": first_existing, "header_names": header_names,
     "structured_lists": structured_lists, "id_discovery": id_discovery, "verdict_log": verdict_log, "verdict_stream": verdict_stream, "review_file": review_file, "view_rescan": view_rescan, "csv_export": csv_export,
-    "batched_files": batched_files, "checkpoint_resume": checkpoint_resume, "folder_scan": folder_scan, "document_files": document_files, "literal_rows": literal_rows, "vector_cache": vector_cache,
+    "batched_files": batched_files, "checkpoint_resume": checkpoint_resume, "folder_scan": folder_scan, "document_files": document_files, "workbook_scan": workbook_scan, "literal_rows": literal_rows, "vector_cache": vector_cache,
     "cache_merge": cache_merge, "markdown_summary": markdown_summary, "report_sheets": report_sheets,
 }
 
@@ -304,6 +315,8 @@ SQL = {
     "folder_scan": "SELECT n_name AS \"Name\", n_nationkey::VARCHAR AS \"Key\" FROM nation UNION ALL SELECT r_name, r_regionkey::VARCHAR FROM region",
     "document_files": """SELECT CASE WHEN r_regionkey % 2 = 1 THEN r_name || '_' || r_regionkey ELSE 'plain' || r_regionkey END AS file, CASE WHEN r_regionkey % 2 = 1 THEN string_split(r_name, '_')[1] ELSE 'Telecom/ICT' END AS category,
       ((length('Région ' || r_name) + 13) * (r_regionkey + 1))::INT AS n_chars, (2 * (r_regionkey + 1))::INT AS n_lines FROM region""",
+    "workbook_scan": """SELECT n_name AS "Name", n_nationkey::VARCHAR AS "Key", CASE WHEN n_nationkey % 2 = 0 THEN 'a <b> & "c"' || chr(10) || ' d' ELSE '' END AS "Note", CASE WHEN n_nationkey % 2 = 0 THEN 'High Fit' ELSE 'Low Fit' END AS ai_decision, 1 AS sheet FROM nation
+      UNION ALL SELECT n_name, n_nationkey::VARCHAR, '', '', 2 FROM nation WHERE n_nationkey < 3""",
     "literal_rows": f"SELECT *, (length(title) + length(sector) + length(note))::INT AS n_chars FROM ({_lit})",
     "vector_cache": """WITH x AS (SELECT p_partkey, p_name || ' ' || (p_partkey % 300)::VARCHAR AS text, p_partkey % 300 >= 150 AS fresh FROM part)
       SELECT p_partkey, length(text)::DOUBLE AS first, fresh::INT::DOUBLE AS asked, (SELECT count(DISTINCT text) FROM x) AS cached FROM x""",
