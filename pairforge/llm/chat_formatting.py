@@ -8,12 +8,14 @@ conversations the least conv_id stays.  What remains is rendered.
 Defined cases: turns are ordered by ``turn`` (nulls first), then role and text; repeated rows count
 once; a null role or text is empty; rows with a null conv_id belong to no conversation and
 are left out; template marks inside a text are taken apart by a zero-width space, so that a text
-cannot open or close a turn.  Hashes are MD5 (128 bits).
+cannot open or close a turn.  Texts of any length are hashed whole; a conversation of very many turns is
+one row of the result, and its hashes are rows of their own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import stage
@@ -23,27 +25,31 @@ _JOINER = "\u200b"
 
 
 def assembled(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turns, prefixes): ordered turns and the rolling hash after each."""
+    """(conv_id, turns): the turns of each conversation in order."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    c = conversations.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_set(turn)).alias("turns"))
+    return conversations.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_set(turn)).alias("turns"))
+
+
+def prefixes(assembled: DataFrame) -> DataFrame:
+    """(conv_id, k, n, h0, h1): the rolling hash of the first k of n turns, for every k.
+
+    The hash of a prefix is that of the prefix before it, changed by the hash of its last turn and place
+    (exclusive or), so a conversation costs one step for each turn.  Two hashes make 128 bits."""
     own = F.transform("turns", lambda t: F.md5(F.concat_ws("\u0001", F.md5(t["role"].cast("binary")), F.md5(t["text"].cast("binary"))).cast("binary")))
-    c = c.withColumn("own", own)
-    # the accumulator holds the hashes so far; the next one covers the last and the turn
-    rolling = F.aggregate(
-        "own",
-        F.expr("cast(array() as array<string>)"),
-        lambda acc, h: F.concat(acc, F.array(F.md5(F.concat(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit("")), h).cast("binary")))),
-    )
-    return c.select("conv_id", "turns", rolling.alias("prefixes"))
+    rows = assembled.select("conv_id", F.size("turns").alias("n"), F.posexplode(own).alias("at", "own"))
+    so_far = W.partitionBy("conv_id").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rolling = [F.bit_xor(F.xxhash64(F.lit(salt), "at", "own")).over(so_far).alias(f"h{salt}") for salt in (0, 1)]
+    return rows.select("conv_id", (F.col("at") + 1).alias("k"), "n", *rolling)
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """(conv_id, turns): conversations that are not a prefix of a longer one, once each."""
-    c = stage(assembled(conversations), "conversations").withColumn("whole", F.element_at("prefixes", -1))
-    least = c.groupBy("whole").agg(F.min("conv_id").alias("conv_id"))
-    inner = c.filter("size(prefixes) > 1").select(F.explode(F.slice("prefixes", F.lit(1), F.size("prefixes") - 1)).alias("whole")).distinct()
-    kept = least.join(inner, "whole", "left_anti").select("conv_id")
-    return c.select("conv_id", "turns").join(kept, "conv_id", "left_semi")
+    c = stage(assembled(conversations), "conversations")
+    p = stage(prefixes(c), "prefixes")
+    least = p.filter("k = n").groupBy("n", "h0", "h1").agg(F.min("conv_id").alias("conv_id"))
+    inner = p.filter("k < n").select(F.col("k").alias("n"), "h0", "h1").distinct()
+    kept = least.join(inner, ["n", "h0", "h1"], "left_anti").select("conv_id")
+    return c.join(kept, "conv_id", "left_semi")
 
 
 def rendered(turns: Column) -> Column:
