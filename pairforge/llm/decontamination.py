@@ -10,9 +10,11 @@ an exact phrase match, and a place where the two rarest terms lie within ``slop`
 distance in the window is a proximity match.
 
 Words are runs of a-z, 0-9 and non-ASCII characters, A-Z lower-cased.  Null texts have none.
-Defined cases: items with a null id or without words never occur; rows that share a doc_id, or whose
-doc_id is null, are judged each by its own text; items that repeat one text all count.  Columns of
-the documents pass through, except for those named like a result or working column of :func:`match`.
+Defined cases: items with a null id or without words never occur; a row's postings are kept under a
+hash of its id and text, so rows that share a doc_id, or whose doc_id is null, are judged each by its own
+text, and repeated rows alike; items that repeat one text all count; where several places of a window
+lie within the slop, all are reported.  A very long text is one row whose words are one array; its postings
+are rows.  Columns of the documents pass through, except for those named like a result of :func:`match`.
 
 The index is a stage table.  Test terms and windows are broadcast only below a counted number of
 rows; beyond it both sides are shuffled.
@@ -43,8 +45,18 @@ def windows(items: DataFrame, size: int = SIZE) -> DataFrame:
     return at.select("item_id", F.slice("ws", F.col("p"), size).alias("phrase")).groupBy("phrase").agg(F.collect_set("item_id").alias("item_ids"))
 
 
+#: Working columns carry this prefix, so that they never meet a column of the documents.
+_P = "_decontamination_"
+
+
+def _key(docs: DataFrame) -> Column:
+    """What tells texts apart in the index: a hash of the row's id and text."""
+    return F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit("")))
+
+
 def _tokens(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode("ws").alias("pos", "term"))
+    """(key, pos, term) of every word."""
+    return docs.select(_key(docs).alias("key"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
 
 
 def rarest_terms(phrases: DataFrame, tokens: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -64,24 +76,25 @@ def rarest_terms(phrases: DataFrame, tokens: DataFrame, broadcast_rows: int = BR
 
 
 def postings(tokens: DataFrame, picked: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The index: (term, doc_id, pos) for the terms that some phrase is looked up by."""
+    """The index: (term, key, pos) for the terms that some phrase is looked up by.  Repeated rows share
+    their postings."""
     wanted = stage(picked.select(F.explode(F.array("t1", "t2")).alias("term")).filter("term IS NOT NULL").distinct(), "wanted")
-    return stage(tokens.join(broadcast_if_small(wanted, broadcast_rows), "term").select("term", "doc_id", "pos"), "postings")
+    return stage(tokens.join(broadcast_if_small(wanted, broadcast_rows), "term").select("term", "key", "pos"), "postings")
 
 
 def candidates(index: DataFrame, picked: DataFrame, slop: int = SLOP, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, phrase_id, phrase, item_ids, start, gap): places where the two rarest terms of a
-    phrase lie as far from each other as in the phrase, up to ``slop`` words (``gap``)."""
+    """(key, phrase_id, phrase, item_ids, start, gap): places where the two rarest terms of a phrase lie as
+    far from each other as in the phrase, up to ``slop`` words (``gap``)."""
     p = broadcast_if_small(picked, broadcast_rows)
-    first = index.join(p, index["term"] == p["t1"]).select("doc_id", "phrase_id", "phrase", "item_ids", "t2", (F.col("pos") - F.col("o1")).alias("start"), (F.col("pos") - F.col("o1") + F.col("o2")).alias("due"))
-    alone = first.filter("t2 IS NULL").select("doc_id", "phrase_id", "phrase", "item_ids", "start", F.lit(0).alias("gap"))
+    first = index.join(p, index["term"] == p["t1"]).select("key", "phrase_id", "phrase", "item_ids", "t2", (F.col("pos") - F.col("o1")).alias("start"), (F.col("pos") - F.col("o1") + F.col("o2")).alias("due"))
+    alone = first.filter("t2 IS NULL").select("key", "phrase_id", "phrase", "item_ids", "start", F.lit(0).alias("gap"))
     # offset-adjusted intersection: the second list is met at the place where it is due, or near it
     near = first.filter("t2 IS NOT NULL").withColumn("near", F.explode(F.array(*[F.lit(g) for g in range(-slop, slop + 1)])))
     near = near.withColumn("want", F.col("due") + F.col("near"))
-    second = index.select(F.col("term").alias("t"), F.col("doc_id").alias("d"), F.col("pos").alias("q"))
-    met = near.join(second, (near["t2"] == second["t"]) & near["doc_id"].eqNullSafe(second["d"]) & (near["want"] == second["q"]))
-    both = met.groupBy("doc_id", "phrase_id", "start").agg(F.min(F.abs("near")).alias("gap"), F.first("phrase").alias("phrase"), F.first("item_ids").alias("item_ids"))
-    return both.select("doc_id", "phrase_id", "phrase", "item_ids", "start", "gap").union(alone)
+    second = index.select(F.col("term").alias("t"), F.col("key").alias("d"), F.col("pos").alias("q"))
+    met = near.join(second, (near["t2"] == second["t"]) & (near["key"] == second["d"]) & (near["want"] == second["q"]))
+    both = met.groupBy("key", "phrase_id", "start").agg(F.min(F.abs("near")).alias("gap"), F.first("phrase").alias("phrase"), F.first("item_ids").alias("item_ids"))
+    return both.select("key", "phrase_id", "phrase", "item_ids", "start", "gap").union(alone)
 
 
 def _covered(spans: Column) -> Column:
@@ -91,24 +104,33 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), start, step)["n"]
 
 
+RESULTS = ("n_words", "phrases", "near", "n_hit", "items")
+
+
 def match(documents: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every document (all its columns) with ``n_words``, ``phrases`` (exact matches: start, length,
-    item_ids), ``near`` (proximity matches: start, gap, item_ids), ``n_hit`` and ``items``."""
-    results = ("ws", "found", "found_doc", "exact", "n_words", "phrases", "near", "n_hit", "items")
-    docs = documents.drop(*results)
-    tokens = _tokens(docs.select("doc_id", words(F.col("text")).alias("ws")))
+    item_ids), ``near`` (proximity matches that are no exact ones: start, gap, item_ids), ``n_hit`` and
+    ``items``."""
+    docs = documents.drop(*RESULTS)
+    tokens = _tokens(docs)
     phrases = stage(windows(items, size).withColumn("phrase_id", F.xxhash64("phrase")), "phrases")
     picked = rarest_terms(phrases, tokens, broadcast_rows)
+    # rows with one key have one text: their postings are the same, and one of each place is enough
     found = candidates(postings(tokens, picked, broadcast_rows), picked, slop, broadcast_rows)
-    by_doc = stage(found.groupBy(F.col("doc_id").alias("found_doc")).agg(F.collect_list(F.struct("start", "gap", "phrase", "item_ids")).alias("found")), "found")
-    at = docs.join(by_doc, docs["doc_id"].eqNullSafe(by_doc["found_doc"]), "left").drop("found_doc").withColumn("ws", words(F.col("text")))
-    exact = F.filter(
-        F.coalesce("found", F.expr("array()")),
-        lambda f: (f["gap"] == 0) & (f["start"] >= 0) & (F.slice(F.col("ws"), F.greatest(f["start"], F.lit(0)) + 1, F.size(f["phrase"])) == f["phrase"]),
+    by_doc = found.groupBy("key").agg(F.collect_set(F.struct("start", "gap", "phrase", "item_ids")).alias(f"{_P}found"))
+    by_doc = stage(by_doc.withColumnRenamed("key", f"{_P}key"), "found")
+    at = docs.join(by_doc, _key(docs) == by_doc[f"{_P}key"], "left").drop(f"{_P}key").withColumn(f"{_P}ws", words(F.col("text")))
+    every, ws = F.coalesce(f"{_P}found", F.expr("array()")), F.col(f"{_P}ws")
+    same = lambda f: (f["gap"] == 0) & (f["start"] >= 0) & (F.slice(ws, F.greatest(f["start"], F.lit(0)) + 1, F.size(f["phrase"])) == f["phrase"])
+    at = at.withColumns({"n_words": F.size(ws).cast("long"), f"{_P}exact": F.filter(every, same), f"{_P}near": F.filter(every, lambda f: ~same(f))})
+    exact = F.col(f"{_P}exact")
+    spans = F.transform(exact, lambda f: F.struct(f["start"].alias("b"), (f["start"] + F.size(f["phrase"])).alias("e")))
+    out = at.withColumns(
+        {
+            "phrases": F.transform(exact, lambda f: F.struct(f["start"].alias("start"), F.size(f["phrase"]).alias("length"), f["item_ids"].alias("item_ids"))),
+            "near": F.transform(f"{_P}near", lambda f: F.struct(f["start"].alias("start"), f["gap"].alias("gap"), f["item_ids"].alias("item_ids"))),
+            "n_hit": _covered(spans).cast("long"),
+            "items": F.array_distinct(F.flatten(F.transform(exact, lambda f: f["item_ids"]))),
+        }
     )
-    at = at.withColumn("n_words", F.size("ws").cast("long")).withColumn("exact", exact)
-    spans = F.transform("exact", lambda f: F.struct(f["start"].alias("b"), (f["start"] + F.size(f["phrase"])).alias("e")))
-    out = at.withColumn("phrases", F.transform("exact", lambda f: F.struct(f["start"].alias("start"), F.size(f["phrase"]).alias("length"), f["item_ids"].alias("item_ids"))))
-    out = out.withColumn("near", F.transform("found", lambda f: F.struct(f["start"].alias("start"), f["gap"].alias("gap"), f["item_ids"].alias("item_ids"))))
-    out = out.withColumn("n_hit", _covered(spans).cast("long")).withColumn("items", F.array_distinct(F.flatten(F.transform("exact", lambda f: f["item_ids"]))))
-    return out.drop("ws", "found", "exact")
+    return out.drop(f"{_P}found", f"{_P}ws", f"{_P}exact", f"{_P}near")
