@@ -14,31 +14,50 @@ from pairforge.llm.common import stage, table
 from pairforge.llm.language_id import held_out
 
 
+#: Input columns are set aside under this prefix while an operator works, so that none meets one of its results.
+_ASIDE = "_pipeline_input_"
+
+
+def _apart(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with every column but the needed ones renamed."""
+    return docs.withColumnsRenamed({c: _ASIDE + c for c in docs.columns if c not in needed})
+
+
+def _together(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names."""
+    return out.select([F.col(f"`{_ASIDE}{c}`" if _ASIDE + c in out.columns else f"`{c}`").alias(c) for c in docs.columns])
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the threshold."""
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
-    model = quality_rules_model.fit(docs, labels)
-    return quality_rules_model.score(docs, model).filter(F.col("score") >= quality_rules_model.THRESHOLD).select(docs.columns)
+    work = _apart(docs, "doc_id", "text")
+    model = quality_rules_model.fit(work, labels)
+    return _together(quality_rules_model.score(work, model).filter(F.col("score") >= quality_rules_model.THRESHOLD), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    return simhash.deduplicate(docs).select(docs.columns)
+    return _together(simhash.deduplicate(_apart(docs, "doc_id", "text")), docs)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that a document with a smaller doc_id has too.  A text that loses
-    something keeps its other words, joined by one space; one that loses every word goes."""
-    out = substring_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = out.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(docs.columns)
+    something keeps its other words, joined by one space; one that loses every word goes.  ``n_chars``,
+    where the table has it, follows the text."""
+    out = substring_dedup.remove_repeats(_apart(docs, "doc_id", "text"))
+    lost = F.col("n_removed") > 0
+    out = out.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).withColumn("text", F.when(lost, F.col("kept")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        own = F.col(_ASIDE + "n_chars")
+        out = out.withColumn(_ASIDE + "n_chars", F.when(lost, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(own))
+    return _together(out, docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    out = decontamination.match(docs, table(spark, sf_dir, "benchmark"))
-    return out.filter("n_hit = 0").select(docs.columns)
+    out = decontamination.match(_apart(docs, "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _together(out.filter("n_hit = 0"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
