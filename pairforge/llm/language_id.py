@@ -8,7 +8,10 @@ of the nearest centroid.  It is marked as rejected if it lies farther from that
 all labelled texts of the language that are nearest to it.
 
 Defined cases: ``und`` and score 0 for a null text, a text without a letter, and any text if
-nothing was learned (no labelled row).  Rows with a null doc_id are never learned from.
+nothing was learned (no labelled row).  Rows with a null doc_id are never learned from.  Of centroids at
+the same distance the first counts, in the order of the language's name; repeated rows are predicted alike;
+a very long text is one vector, of all its letters.  Junk among the labels can't grow the model without
+bound: it holds the ``LANGUAGES`` most frequent values.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ BUCKETS = 1 << 13
 CENTROIDS = 4
 #: Bound of the fitted sample: documents of all languages together.
 SAMPLE = 1600
+#: Bound of the learned languages: the values of ``lang`` with the most labelled texts.
+LANGUAGES = 400
 #: A text is rejected below this share of the cosine that all but 1 % of a centroid's texts reach.
 REJECT = 0.5
 UNKNOWN = "und"
@@ -137,7 +142,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
     """Learn from ``labelled`` (doc_id, text, lang).  The sample is bounded by ``sample`` rows in
     all, dealt evenly over the languages by the order of a hash of doc_id; it only gives the centroids."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     empty = {"langs": [], "of": np.zeros(0, np.int64), "c": np.zeros((0, BUCKETS), np.float32), "idf": np.ones(BUCKETS, np.float32), "least": np.zeros(0)}
     if not sizes:
         return empty
