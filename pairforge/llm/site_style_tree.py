@@ -16,16 +16,19 @@ the template.
 What the markup declares is a weight added to a block's importance: ``DECLARED`` for elements whose
 tag, role or whole class or id name says that they are navigation, adverts, forms, comments and the
 like, or whose name has such a word outside ``article`` and ``main``; ``WORD`` where a longer name
-only has the word within them (``related-work``); ``CONTENT`` for the blocks of ``article`` and
-``main``.  Blocks with a sum below ``LEAST`` are removed from each page: in an article a template box
+only has the word within them (``related-work``), and for the word header in a longer name, which titles
+of articles bear too; names of states (``has-sidebar``) declare nothing; ``CONTENT`` for the blocks of
+``article`` and ``main``.  Blocks with a sum below ``LEAST`` are removed from each page: in an article a template box
 goes and distinctive text with a listed word stays.
 
 The tree is made by a group-by over (host, path, hash) with partial aggregation; only the few paths
 with low importance are gathered for each host, and every one of them was seen on two pages, which
-bounds the list by the host's size.  Elements deeper than ``MOST_DEPTH`` are part of the one above.
+bounds the list by the host's size.  Elements deeper than ``MOST_DEPTH`` share the tree's path of the one
+above; what their markup declares counts for each.
 
 Defined cases: null html is empty, and so is its text; a null or odd url is a host of its own
-(the empty one).  Columns other than ``page_id``, ``url`` and
+(the empty one); repeated rows are judged alike and come out as often as they went in; very long pages
+and very deep ones are read whole.  Columns other than ``page_id``, ``url`` and
 ``html`` are not carried.
 """
 
@@ -61,6 +64,7 @@ _NAMED = (
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr header masthead menu menubar modal nav navbar navigation "
     "newsletter notice notices notification pagination popup promo promoted promotion related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget"
 )
+_STATES = "has is no not with without"
 _ROLES = "banner navigation complementary contentinfo search form menu menubar dialog alert"
 
 
@@ -83,6 +87,13 @@ class _Parser:
         self.attr = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
         self.telling = frozenset("class id role hidden aria-hidden".split())
         self.words = re.compile(r"[a-z]+")
+        self.states = frozenset(_STATES.split())
+
+    def _said(self, name: str) -> list[str]:
+        """The words of a longer name that say what an element is; names of states (``has-sidebar``) say
+        nothing of it."""
+        words = self.words.findall(name)
+        return [] if words and words[0] in self.states else words
 
     def parse(self, text: str) -> tuple[list[tuple[str, str, float, bool]], dict[str, list[str]]]:
         """((path, text, weight of declared noise, declared content) of each block in page order; the tags of
@@ -90,10 +101,15 @@ class _Parser:
         out: list[tuple[str, str, float, bool]] = []
         children: dict[str, list[str]] = {}
         stack: list[tuple[str, str, float, bool]] = [("", "", 0.0, False)]  # tag, path, noise, content
-        deeper: dict[str, int] = {}  # open elements that are not on the stack
+        open_: dict[str, int] = {}  # how many elements of each tag are on the stack
         held: list[str] = []
         at = 0
 
+        def leave(k: int) -> None:
+            for s in stack[k:]:
+                open_[s[0]] -= 1
+            del stack[k:]
+
         def close_block() -> None:
             if held:
                 words = _html.unescape("".join(held)).split()
@@ -116,27 +132,23 @@ class _Parser:
             if tag in self.blocks:
                 close_block()
             if m["close"]:
-                if deeper.get(tag):
-                    deeper[tag] -= 1
-                    continue
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                     if stack[k][0] == tag:
                         if any(s[0] in self.blocks for s in stack[k:]):
                             close_block()
-                        del stack[k:]
-                        deeper.clear()
+                        leave(k)
                         break
                 continue
-            if (tag == "p" or tag == "li") and not any(deeper.values()):  # these end an open one of their kind
-                for k in range(len(stack) - 1, 0, -1):
+            if tag == "p" or tag == "li":  # these end an open one of their kind
+                for k in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        leave(k)
                         break
                     if stack[k][0] in self.blocks:
                         break
             if tag == "body":
                 while len(stack) > 1 and stack[-1][0] != "html":
-                    stack.pop()
+                    leave(len(stack) - 1)
             _, path, noise, content = stack[-1]
             first = ""
             if m["attrs"]:
@@ -152,20 +164,19 @@ class _Parser:
                         if tag not in ("html", "body", "article", "main"):
                             if any(p in self.named for p in parts):
                                 noise = DECLARED
-                            elif any(w in self.named for p in parts for w in self.words.findall(p)):
-                                noise = min(noise, WORD if content else DECLARED)
+                            elif words := self.named.intersection(*[[w for p in parts for w in self._said(p)]]):
+                                noise = min(noise, WORD if content or words == {"header"} else DECLARED)
                     elif (value in self.roles) if name == "role" else (name == "hidden" or value == "true"):
                         noise = DECLARED
             if tag in self.chrome or tag in self.silent or (tag == "header" and not content):
                 noise = DECLARED
             content = content or tag in ("article", "main")
-            path = f"{path}/{tag}{first}"
-            children.setdefault(path.rpartition("/")[0], []).append(tag)
+            children.setdefault(path, []).append(tag)
+            if len(stack) <= MOST_DEPTH:  # deeper than any real page: the tree is cut there, its elements are not
+                path = f"{path}/{tag}{first}"
             if tag not in self.void and not m["attrs"].endswith("/"):
                 stack.append((tag, path, noise, content))
-                if len(stack) > MOST_DEPTH:  # deeper than any real page: the tree is cut here
-                    del stack[-1]
-                    deeper[tag] = deeper.get(tag, 0) + 1
+                open_[tag] = open_.get(tag, 0) + 1
         if at < len(text):
             held.append(text[at:])
         close_block()

@@ -172,11 +172,39 @@ def test_html_hosts_of_few_pages(spark):
         assert r.text == ("Our shop\n\n" if r.page_id < 20 else "") + f"News\n\nBody {i}\n\nStory {i}"
 
 
+def _kept(page, low=None):
+    p, s = site_style_tree._Parser(), site_style_tree
+    blocks, _ = p.parse(page)
+    return [t for path, t, noise, content in blocks if (low or {}).get(path, 1.0) + noise + s.CONTENT * (content and noise > s.DECLARED) >= s.LEAST]
+
+
 def test_html_deep_elements_keep_their_ancestors():
-    deep = "<div class=ad>" + "<div>" * 500 + "<p>x</p><ul><li>y<li>z</ul>" + "</div>" * 500 + "still the advert</div><p>after</p>"
-    blocks, _ = site_style_tree._Parser().parse(f"<body>{deep}</body>")
-    assert [text for _, text, noise, _ in blocks if not noise] == ["after"]
-    assert [text for *_, text, noise, _ in blocks if noise][-1] == "still the advert" and blocks[-1][0] == "/body/p"
+    for n in (10, 450, 1000):
+        assert _kept("<div>" * n + "<nav>menu</nav><p>text</p>" + "</div>" * n + "<p>after</p><nav>no</nav>") == ["text", "after"], n
+    assert _kept("<article>" + "<b>" * 2000 + "deep" + "</b>" * 2000 + "</article><footer>f</footer>") == ["deep"]
+    assert _kept("<div>" * 500 + "</nav>" * 50_000 + "<p>x") == ["x"]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><p style="overflow:hidden">A</p></article>', ["A"]),
+        ('<article><p title="a hidden gem">A</p></article>', ["A"]),
+        ('<article><p data-id="ad-3">A</p></article>', ["A"]),
+        ('<body><div class="entry-header"><h1>A</h1></div><p>b</p></body>', ["A", "b"]),
+        ('<body><div class="content has-sidebar"><p>A</p></div><div class="sidebar">s</div></body>', ["A"]),
+        ('<body><div class="comment-list"><p>c</p></div><div id="site-footer">f</div><p>A</p></body>', ["A"]),
+        ('<body><p hidden>h</p><p aria-hidden="true">h</p><p role="search">h</p><p>A</p></body>', ["A"]),
+    ],
+)
+def test_html_names_of_states_and_titles_are_no_noise(page, want):
+    assert _kept(page) == want
+
+
+def test_html_repeated_title_bars_go_by_the_tree(spark):
+    pages = [(i, f"http://t.example/{i}", f'<body><div class="page-header">Shop of the year</div><div class="entry-header"><h1>Title {i}</h1></div><p>Text {i}</p></body>') for i in range(12)]
+    got = site_style_tree.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"Title {i}\n\nText {i}" for i, _, _ in pages}
 
 
 def test_chat_collapse(spark):
