@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairforge import dims
-from pairforge.functions.text import preprocess, quote_in_text, report_clean
+from pairforge.functions.text import preprocess, quote_in_text, report_clean, safe_str
 from pairforge.operators.ranking import latest, order_first_with_matches
 from pairforge.operators.scoring import report_confidence, report_role
 from pairforge.operators.similarity import position
@@ -306,6 +306,20 @@ def diagnostics(pairs: DataFrame, companies: int, abstained: DataFrame, consorti
     return out.withColumns({"companies_total": F.lit(companies), **fixed})
 
 
+def sector_report(companies: DataFrame, cache: DataFrame, optional: list[str], order: str, most: int = 15) -> DataFrame:
+    """What a dry run says of the sectors, in one row: filled and blank labels, the closed vocabulary, cache
+    entries (key), filled rows of each optional column (0 where there is none), and the first names whose
+    sector is blank."""
+    blank = safe_str(F.col("sector")) == ""
+    label = F.when(~blank, safe_str(F.col("sector")))
+    have = {c: F.count_if(safe_str(F.col(c)) != "") if c in companies.columns else F.lit(0).cast("long") for c in optional}
+    one = companies.agg(F.count("*").alias("rows_total"), F.count_if(~blank).alias("sector_filled"), F.count_if(blank).alias("sector_blank"), F.count_distinct(label).alias("vocabulary"), *[v.alias(f"filled_{c}") for c, v in have.items()])
+    entries = cache.agg(F.count_distinct("key").alias("cache_entries"))
+    first = companies.filter(blank).orderBy(order).limit(most).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.substring(safe_str(F.col("company_name")), 1, 120).alias("n")))).alias("l"))
+    names = first.select(F.array_join(F.transform("l", lambda x: x["n"]), "|").alias("first_blank"))
+    return one.join(F.broadcast(entries)).join(F.broadcast(names))  # one row each
+
+
 def run_timestamp() -> Column:
     """Now, in UTC, as ISO text."""
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

@@ -13,7 +13,8 @@ from pairforge import dims
 from pairforge.functions.arrays import agreement
 from pairforge.operators import scoring as O
 
-TOLERANCE, PENALTY_TOLERANCE = 0.002, 0.02
+#: How far a figure may lie from its recomputation, and an implied penalty from a legal one.
+TOLERANCE, PENALTY_TOLERANCE = 0.0021, 0.02
 
 
 def legal_factors() -> list[float]:

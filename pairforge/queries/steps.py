@@ -158,6 +158,14 @@ def run_timestamp(s: S, d: str) -> DataFrame:
     return t(s, d, "region").select("r_regionkey", B.run_timestamp().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$").alias("well_formed"))
 
 
+def sector_report(s: S, d: str) -> DataFrame:
+    """The dry run's figures on sectors, with the first blank names."""
+    k = F.col("c_custkey")
+    firms = t(s, d, "customer").select("c_custkey", F.concat(F.lit(" "), "c_name").alias("company_name"), pick(["Mining", "", " MedTech ", "Mining", None], k).alias("sector"), F.when(k % 3 == 0, "x").otherwise(F.lit(" ")).alias("industry_field"), F.when(k % 4 == 0, "SA").alias("country_field"))
+    cache = t(s, d, "nation").select(F.col("n_name").alias("key"))
+    return B.sector_report(firms, cache, ["industry_field", "business_unit_field", "country_field"], "c_custkey")
+
+
 SETTINGS = [
     (0, {}), (1, {"public_key": "k"}), (2, {"hosted": "true", "hosted_endpoint": "e", "hosted_key": "k", "hosted_chat": "c"}), (3, {"hosted": "1", "hosted_endpoint": "e", "hosted_key": "k", "hosted_chat": "c", "public_key": "p"}),
     (4, {"hosted": "yes", "hosted_endpoint": "e", "hosted_key": "k", "hosted_embed": "m", "public_key": "p", "chat_provider": "hosted"}), (5, {"hosted": "1", "hosted_endpoint": " ", "hosted_key": "k", "hosted_chat": "c"}),
@@ -182,7 +190,7 @@ def page_payload(s: S, d: str) -> DataFrame:
 QUERIES = {
     "template_texts": template_texts, "assigned_frames": assigned_frames, "g1_after_gate": g1_after_gate, "g1_common_sector": g1_common_sector, "corpus_tokens": corpus_tokens, "combined_documents": combined_documents,
     "clipped_cosine": clipped_cosine, "first_rows": first_rows, "head_limit": head_limit, "matches_first": matches_first, "export_order": export_order, "run_triage": run_triage, "run_taxonomy": run_taxonomy,
-    "verification": verification, "diagnostics_report": diagnostics_report, "run_timestamp": run_timestamp, "backends": backends, "page_payload": page_payload,
+    "verification": verification, "diagnostics_report": diagnostics_report, "run_timestamp": run_timestamp, "sector_report": sector_report, "backends": backends, "page_payload": page_payload,
 }
 
 # --- SQL -----------------------------------------------------------------------------------------
@@ -258,9 +266,9 @@ SQL = {
         WHEN coalesce(mod_, '') = 'Joint venture' OR (r1 IN ({sql_list(dims.BUILDER_ROLES)[1:-1]}) AND v2 >= 0.5) OR v2 >= 0.7 THEN 'JV partner' WHEN v2 >= 0.3 THEN 'Supplier localization' ELSE 'Ecosystem player' END AS due_type, lag(dx) OVER w AS ld, lag(f) OVER w AS lf, row_number() OVER w AS rn FROM d2 WINDOW w AS (PARTITION BY oid ORDER BY pursue_rank, cid)),
       s3 AS (SELECT oid, CASE WHEN NOT bool_or(dc IN ('Excellent Match', 'Strong Match', 'Good Match')) THEN 'No viable target in current universe' WHEN bool_or(dc IN ('Excellent Match', 'Strong Match', 'Good Match') AND mt = 'Anchor candidate') THEN 'Anchor candidate identified' ELSE 'No anchor in universe - JV/supplier options only' END AS due_status FROM y GROUP BY oid),
       z AS (SELECT * FROM y JOIN s3 USING (oid)), n AS (SELECT count(*) AS n, count(gate) AS g FROM z)
-      SELECT layer, checked, violations::BIGINT AS violations FROM (SELECT '1 sector_similarity' AS layer, (SELECT n FROM n) AS checked, count_if(abs(sec - s2) > 0.002)::BIGINT AS violations FROM z UNION ALL SELECT '2a profile_similarity', (SELECT n FROM n), count_if(abs(profile - p2) > 0.002) FROM z UNION ALL SELECT '2b product_similarity', (SELECT n FROM n), 0
-      UNION ALL SELECT '3 value_chain_score', (SELECT n FROM n), count_if(abs(vc - v2) > 0.002) FROM z
-      UNION ALL SELECT '4 composition', (SELECT n FROM n), count_if(NOT (abs(f - 0.05) <= 0.002 OR (f <= base + 0.002 AND len(list_filter({V.legal_factors()}, lambda q: abs(CASE WHEN base > 1e-9 THEN f / base ELSE 1 END - q) <= 0.02)) > 0))) FROM z
+      SELECT layer, checked, violations::BIGINT AS violations FROM (SELECT '1 sector_similarity' AS layer, (SELECT n FROM n) AS checked, count_if(abs(sec - s2) > 0.0021)::BIGINT AS violations FROM z UNION ALL SELECT '2a profile_similarity', (SELECT n FROM n), count_if(abs(profile - p2) > 0.0021) FROM z UNION ALL SELECT '2b product_similarity', (SELECT n FROM n), 0
+      UNION ALL SELECT '3 value_chain_score', (SELECT n FROM n), count_if(abs(vc - v2) > 0.0021) FROM z
+      UNION ALL SELECT '4 composition', (SELECT n FROM n), count_if(NOT (abs(f - 0.05) <= 0.0021 OR (f <= base + 0.0021 AND len(list_filter({V.legal_factors()}, lambda q: abs(CASE WHEN base > 1e-9 THEN f / base ELSE 1 END - q) <= 0.02)) > 0))) FROM z
       UNION ALL SELECT '5 decision', (SELECT g FROM n), count_if(gate IS NOT NULL AND due <> dc) FROM z UNION ALL SELECT '6a match_type', (SELECT n FROM n), count_if(due_type <> mt) FROM z UNION ALL SELECT '6b opportunity_status', (SELECT n FROM n), count_if(due_status <> status) FROM z
       UNION ALL SELECT '7 rank', (SELECT n FROM n), count_if(coalesce(ld > dx OR (ld = dx AND lf < f), false) OR pursue_rank <> rn) FROM z)""",
     "diagnostics_report": f"""WITH {_C}, p AS (SELECT *, CASE WHEN qualified THEN row_number() OVER (PARTITION BY oid, qualified ORDER BY profile DESC, cid) END AS ro, verdict IN ('Direct', 'Yes') AS dir FROM ({PAIRS_SQL})), c AS (SELECT cid, count(*) AS n FROM p WHERE ro <= 3 GROUP BY cid)
@@ -269,6 +277,8 @@ SQL = {
         round(avg(CASE WHEN votes LIKE '%/%' THEN (split_part(votes, '/', 1) = split_part(votes, '/', 2))::INT END), 3) AS gate_unanimous_share, (SELECT count(*) FROM (SELECT oid FROM p GROUP BY oid HAVING NOT bool_or(qualified AND oid % 4 <> 0))) AS opportunities_abstained,
         (SELECT count(*) FROM sz WHERE n >= 3) AS consortium_ready_opportunities, 17 AS companies_total, 'tfidf' AS embedding_mode, 3 AS duplicate_rows_merged, 'insufficient' AS calibration_labels, 5 AS calibration_human_labels, 'abcdef01' AS rubric_version, 2 AS gate_verdict_flips_vs_prev, 'insufficient' AS calibration_auc_final_score FROM p""",
     "run_timestamp": "SELECT r_regionkey, true AS well_formed FROM region",
+    "sector_report": """WITH x AS (SELECT *, c_custkey % 5 IN (1, 4) AS blank FROM customer) SELECT count(*) AS rows_total, count_if(NOT blank)::BIGINT AS sector_filled, count_if(blank)::BIGINT AS sector_blank, 2::BIGINT AS vocabulary, (SELECT count(DISTINCT n_name) FROM nation) AS cache_entries,
+      count_if(c_custkey % 3 = 0)::BIGINT AS filled_industry_field, 0::BIGINT AS filled_business_unit_field, count_if(c_custkey % 4 = 0)::BIGINT AS filled_country_field, (SELECT string_agg(c_name, '|' ORDER BY c_custkey) FROM (SELECT * FROM x WHERE blank ORDER BY c_custkey LIMIT 15)) AS first_blank FROM x""",
     "backends": "SELECT * FROM (VALUES (0, '', ''), (1, 'public', 'public'), (2, 'hosted', ''), (3, 'hosted', 'public'), (4, '', 'hosted'), (5, '', ''), (6, 'public', 'public'), (7, '', '')) v(k, chat, embed)",
     "page_payload": f"""WITH {_C}, p AS (SELECT *, coalesce(verdict IN ('Direct', 'Partial') AND oid % 3 <> 1 AND cid < 9, false) AS v FROM ({PAIRS_SQL})),
       g AS (SELECT oid, count_if(v)::BIGINT AS n, coalesce(string_agg('{{"name":"firm ' || cid || '","sector":"Mining","kind":"' || CASE WHEN verdict = 'Direct' THEN 'Can build it' ELSE 'Good supplier / partner' END || '","why":"e' || cid || '"}}', ',' ORDER BY profile DESC, cid) FILTER (WHERE v), '') AS c FROM p GROUP BY oid),
