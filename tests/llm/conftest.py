@@ -22,7 +22,7 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD, SCHEMA)
-    names = ["n_words", "rk", "spans", "kept", "need", "found", "exact", "items", "score", "fp", "s_upper", "label", "a", "u", "component_id", "n_hit", "start", "ids", "span_doc"]
+    names = ["n_words", "rk", "spans", "kept", "need", "found", "exact", "items", "score", "fp", "s_upper", "label", "a", "u", "component_id", "n_hit", "start", "ids", "span_doc", "near", "n_bytes", "n_repeated", "doc_tokens", "sequence_id", "offset", "length", "gone", "held_out"]
     return df.withColumns({n: F.lit("clash") for n in names})
 
 

@@ -207,6 +207,28 @@ def test_html_repeated_title_bars_go_by_the_tree(spark):
     assert {r.page_id: r.text for r in got} == {i: f"Title {i}\n\nText {i}" for i, _, _ in pages}
 
 
+def test_very_long_texts(spark):
+    """One text of 400,000 words beside a short one, through every operator that reads texts whole."""
+    import public_tokenizers
+
+    from pairforge.llm import mcd_quality, simhash
+
+    text = " ".join(f"w{i % 5000}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, text, "en", "s"), (2, "one short text", "en", "s"), (3, None, None, None)], "doc_id long, text string, lang string, source string")
+    model = language_id.fit(docs)
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()} == {1: "en", 2: "en", 3: "und"}
+    s = {r.doc_id: r for r in quality_rules_model.with_statistics(docs.select("doc_id", "text")).drop("text").collect()}
+    assert round(np.expm1(s[1].s_words)) == 400_000 and round(s[1].s_distinct * 400_000) == 5000 and s[3].s_words == 0
+    m = {r.doc_id: r for r in mcd_quality.judge(docs).collect()}
+    assert (m[1].n_words, m[1].word_chars, m[1].n_repeat_words, m[1].base_failed) == (400_000, len(text) - 399_999, 400_000, True)
+    p = packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json"))).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert all(r.n == r.t for r in p) and {r.doc_id for r in p} == {1, 2, 3} and max(r.n for r in p) > 400_000
+    near = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs.union(docs.selectExpr("doc_id + 10", "text", "lang", "source"))).collect()}
+    assert near == {1: 1, 2: 2, 3: 3, 11: 1, 12: 2, 13: 3}
+    page = spark.createDataFrame([(1, "http://h.example/", f"<body><nav>menu</nav><article><p>{text}</p></article></body>")], "page_id long, url string, html string")
+    assert site_style_tree.extract(page).first().text == text
+
+
 def test_chat_collapse(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "more"), (4, 0, "user", "hi"), (4, 1, "assistant", "no <|im_end|>")]
     rows += [(5, 0, "user", "hi"), (5, 1, "assistant", "yo"), (5, 2, "user", "more"), (6, None, None, None), (6, None, None, None), (None, 0, "user", "lost"), (7, 1, "user", "b"), (7, 0, "user", "a")]
