@@ -17,8 +17,10 @@ import numpy as np
 _PACKED = 7
 
 
-def suffix_array(text: np.ndarray, separators: int) -> np.ndarray:
-    """By prefix doubling from keys of seven symbols; only suffixes that still tie are sorted again.
+def suffix_array(text: np.ndarray, separators: int, depth: int) -> np.ndarray:
+    """By prefix tripling from keys of seven symbols; only suffixes that still tie are sorted again, and
+    only by their first ``depth`` symbols: intervals of patterns up to that length don't depend on the
+    order inside of longer ties.
 
     ``text``: int64 symbols; those below ``separators`` occur once each, in rising order, and the
     last symbol is one of them.
@@ -39,19 +41,21 @@ def suffix_array(text: np.ndarray, separators: int) -> np.ndarray:
     rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     step = _PACKED
     tied = np.flatnonzero(~(head & np.append(head[1:], True)))
-    while len(tied):
+    wide = n < 1 << 21  # then three ranks fit into one key, and a round triples what is sorted
+    while len(tied) and step < depth:
         at = sa[tied]
+        key = rank[at]
         second = rank[np.minimum(at + step, n - 1)]
         if step == _PACKED:  # a key with a separator in it ends there: its string decides
             second = np.where(open_[at], second, owner[at])
-        order = np.argsort(rank[at] * n + second)
-        at, second = at[order], second[order]
+        key = (key << 21 | second) << 21 | rank[np.minimum(at + 2 * step, n - 1)] if wide else key * n + second
+        order = np.argsort(key)
+        at, key = at[order], key[order]
         sa[tied] = at
-        group = rank[at]
-        head = np.concatenate(([True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])))
+        head = np.concatenate(([True], key[1:] != key[:-1]))
         rank[at] = np.maximum.accumulate(np.where(head, tied, 0))
         tied = tied[~(head & np.append(head[1:], True))]
-        step *= 2
+        step *= 3 if wide else 2
     return sa
 
 
@@ -61,29 +65,35 @@ def _by_symbol(bwt: np.ndarray) -> np.ndarray:
     return np.argsort(bwt * n + np.arange(n))
 
 
-def repeated_starts(strings: list[bytes], least: int) -> list[np.ndarray]:
-    """For each string the starts of those of its ``least``-byte substrings that also start
-    elsewhere in the collection.  Substrings do not run from one string into the next."""
+def repeated_starts(strings: list[bytes], *lengths: int, starts: list[int] | None = None) -> list[list[np.ndarray]]:
+    """For each of the rising ``lengths``, and for each string, the starts of those of its substrings of
+    that length that also start elsewhere in the collection.  Substrings do not run from one string
+    into the next.  The expansion passes the shorter lengths on its way to the last one.  ``starts``: in
+    each string only so many places count as starts; what follows them is context, which another
+    string may hold as well."""
     sizes = np.array([len(s) for s in strings], dtype=np.int64)
     m = len(strings)
     ends = np.cumsum(sizes + 1) - 1
     begins = ends - sizes
     n = int(ends[-1]) + 1 if m else 0
     if not n:
-        return []
+        return [[] for _ in lengths]
     text = np.empty(n, dtype=np.int64)
     body = np.ones(n, dtype=bool)
     body[ends] = False
     text[body] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + m
     text[ends] = np.arange(m)  # a separator of its own for each string
-    sa = suffix_array(text, m)
+    sa = suffix_array(text, m, lengths[-1])
     bwt = text[sa - 1]
     lf = np.empty(n, dtype=np.int64)
     lf[_by_symbol(bwt)] = np.arange(n)
     marked = np.zeros(n + 1, dtype=bool)
     marked[0] = marked[n] = True
     lb, rb = np.array([0]), np.array([n])
-    for _ in range(least):
+    passed: dict[int, np.ndarray] = {}
+    for step in range(lengths[-1]):
+        if step in lengths:
+            passed[step] = marked.copy()
         size = rb - lb
         single = size == 1
         one = lf[lb[single]]
@@ -106,7 +116,17 @@ def repeated_starts(strings: list[bytes], least: int) -> list[np.ndarray]:
         rb, pick = np.unique(rb, return_index=True)
         lb = lb[pick]
         marked[rb] = True
-    pair = np.flatnonzero(~marked[:n])
-    hit = np.zeros(n, dtype=bool)
-    hit[sa[pair]] = hit[sa[pair - 1]] = True
-    return [np.flatnonzero(hit[b:e]) for b, e in zip(begins, ends, strict=True)]
+    counts = np.ones(n, dtype=bool)
+    if starts is not None:
+        inside = np.arange(n) - np.repeat(begins, sizes + 1)
+        counts = inside < np.repeat(np.array(starts, dtype=np.int64), sizes + 1)
+    valid = counts[sa]
+    out = []
+    for length in lengths:
+        # suffixes that share so many symbols stand together: from one mark to the next
+        block = np.cumsum(passed.get(length, marked)[:n])
+        twice = np.bincount(block[valid], minlength=int(block[-1]) + 1) > 1
+        hit = np.zeros(n, dtype=bool)
+        hit[sa[valid & twice[block]]] = True
+        out.append([np.flatnonzero(hit[b:e]) for b, e in zip(begins, ends, strict=True)])
+    return out

@@ -28,7 +28,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.match(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
-    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
 
 
 OP1_SQL = r"""
@@ -110,10 +110,28 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id
 ), cov AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + m)) AS q FROM hits) GROUP BY doc_id
+), tk AS (
+  SELECT doc_id, unnest(ws) AS term, unnest(range(0, len(ws))) AS pos FROM d
+), ph AS (
+  SELECT DISTINCT ws[p:p + 9] AS w FROM (SELECT ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p FROM b WHERE len(ws) > 0 AND item_id IS NOT NULL)
+), pt AS (
+  SELECT w, unnest(w) AS term, unnest(range(0, len(w))) AS o FROM ph
+), df AS (
+  SELECT term, count(*) AS df FROM tk GROUP BY term
+), rk AS (
+  SELECT w, list({'df': coalesce(df, 0), 'o': o, 'term': pt.term} ORDER BY coalesce(df, 0), o) AS r FROM pt LEFT JOIN df USING (term) GROUP BY w
+), pk AS (
+  SELECT w, r[1].term AS t1, r[1].o AS o1, coalesce(list_filter(r, lambda x: x.term <> r[1].term)[1], r[2]) AS s FROM rk WHERE r[1].df > 0
+), ca AS (
+  SELECT a.doc_id, w, a.pos - o1 AS start, min(abs(q.pos - (a.pos - o1 + s.o))) AS gap
+  FROM pk JOIN tk a ON a.term = t1 JOIN tk q ON q.doc_id = a.doc_id AND q.term = s.term AND abs(q.pos - (a.pos - o1 + s.o)) <= 2 GROUP BY a.doc_id, w, a.pos - o1
+  UNION ALL SELECT a.doc_id, w, a.pos - o1, 0 FROM pk JOIN tk a ON a.term = t1 WHERE s IS NULL
+), nr AS (
+  SELECT doc_id, count(*) AS n_near FROM ca JOIN d USING (doc_id) WHERE NOT (gap = 0 AND start >= 0 AND ws[start + 1:start + len(w)] = w) GROUP BY doc_id
 )
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cov USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN nr USING (doc_id)
 """
 
 OP8_SQL = r"""

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from pairforge.llm.common import _SPACE, BYTE_VALUE, chunks, mix, powers, prefix_hash, span_hash, stage, word_hashes, word_spans
 
 _U = np.uint64
+_LENGTH = _U(0x9E3779B97F4A7C15)
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -69,18 +70,19 @@ def byte_units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return BYTE_VALUE[data], off
 
 
-def parts_of(units: Units, data: np.ndarray, off: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first unit, units, row offsets): a chunk as it is, or one long document in parts that overlap by a
-    window less one.  Where a part ends, a run ends; runs that are cut differently in two documents
-    meet as different paths of one minimiser, so their windows are still compared."""
+def parts_of(units: Units, data: np.ndarray, off: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int | None]]:
+    """(first unit, units, row offsets, most window starts in a row): a chunk as it is, or one long document
+    in parts that overlap by a reach less one.  Where a part ends, a run ends; runs that are cut
+    differently in two documents meet as different paths of one minimiser, so their windows are still
+    compared."""
     if len(data) <= LONG_BYTES:
-        yield 0, *units(data, off)
+        yield 0, *units(data, off), None
         return
     by_byte = units.__name__ == "byte_units"
     values = data if by_byte else units(data, off)[0]
     for lo in range(0, len(values), LONG_BYTES):
-        part = values[lo : lo + LONG_BYTES + window - 1]
-        yield lo, BYTE_VALUE[part] if by_byte else part, np.array([0, len(part)])
+        part = values[lo : lo + LONG_BYTES + reach - 1]
+        yield lo, BYTE_VALUE[part] if by_byte else part, np.array([0, len(part)]), LONG_BYTES
 
 
 class Runs(NamedTuple):
@@ -97,8 +99,10 @@ class Runs(NamedTuple):
     covers: np.ndarray
 
 
-def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int) -> Runs:
-    """The runs of a chunk, and the chains that they form."""
+def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int, reach: int | None = None, most: int | None = None) -> Runs:
+    """The runs of a chunk, and the chains that they form.  The content of a run goes as far as ``reach``
+    (a window, if not given) from its last start, or to the end of the row; ``most`` bounds the starts."""
+    reach = reach or window
     n = len(values)
     lens = np.diff(off)
     long = np.flatnonzero(lens >= window)
@@ -117,14 +121,16 @@ def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int) ->
     low = np.minimum(low[:count], low[width - span : width - span + count])
     step = np.zeros(count + 1, dtype=np.int8)
     step[off[long]] += 1
-    step[off[long + 1] - window + 1] -= 1
+    stop = off[long + 1] - window + 1
+    step[stop if most is None else np.minimum(stop, off[long] + most)] -= 1
     at = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8))
     place = (low[at] & _U(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     size = np.diff(np.append(first, len(at)))
     s = at[first]
     row = np.searchsorted(off, s, side="right") - 1
-    u = mix(span_hash(prefix, s, s + size + window - 1) + size.astype(np.uint64))
+    to = np.minimum(s + size - 1 + reach, off[row + 1])
+    u = mix(span_hash(prefix, s, to) + size.astype(np.uint64) + (to - s).astype(np.uint64) * _LENGTH)
     a = grams[place[first]]
     # chains: runs that follow each other in one document, up to one whose minimiser ends the chain
     ends = (mix(a) % _U(CHAIN) == 0) | np.append(row[1:] != row[:-1], True)
@@ -134,7 +140,7 @@ def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int) ->
         begin = np.concatenate([np.arange(b, b + k, LONGEST_CHAIN) for b, k in zip(begin, long_, strict=True)])
     last = np.append(begin[1:], len(a)) - 1
     covers = s[last] + size[last] - s[begin]
-    chain_u = mix(span_hash(prefix, s[begin], s[begin] + covers + window - 1) + covers.astype(np.uint64))
+    chain_u = mix(span_hash(prefix, s[begin], to[last]) + covers.astype(np.uint64) + (to[last] - s[begin]).astype(np.uint64) * _LENGTH)
     return Runs(row, a.view(np.int64), u.view(np.int64), s - off[row], size, begin, chain_u.view(np.int64), covers)
 
 
@@ -142,15 +148,15 @@ def window_runs(values: np.ndarray, off: np.ndarray, window: int, gram: int) ->
 _RUN = T.StructType([T.StructField("a", T.LongType()), T.StructField("u", T.LongType()), T.StructField("s", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
 
-def chains(docs: DataFrame, units: Units, window: int, gram: int) -> DataFrame:
+def chains(docs: DataFrame, units: Units, window: int, gram: int, reach: int | None = None) -> DataFrame:
     """(doc_id, rk, a, u, s, n, runs): ``docs``: doc_id, rk, text."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("rk", T.LongType()), *_RUN.fields, T.StructField("runs", T.ArrayType(_RUN))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, data, off in chunks(batch, "text", CHUNK):
-                for first, values, rows in parts_of(units, data, off, window):
-                    r = window_runs(values, rows, window, gram)
+                for first, values, rows, most in parts_of(units, data, off, reach or window):
+                    r = window_runs(values, rows, window, gram, reach, most)
                     if not len(r.row):
                         continue
                     pick = pa.array(r.row[r.begin] + lo)
@@ -220,11 +226,12 @@ class RepeatedSpans:
     """Windows that occur elsewhere, for one choice of units.
 
     ``earlier_only``: a window counts if it also starts in a document with a smaller doc_id;
-    else if it also starts anywhere else, in the same document included.
+    else if it also starts anywhere else, in the same document included.  ``reach``: the length that is
+    looked for, where minimisers belong to shorter windows, which are reported too (``near``).
     """
 
-    def __init__(self, units: Units, window: int, gram: int, earlier_only: bool):
-        self.units, self.window, self.gram, self.earlier_only = units, window, gram, earlier_only
+    def __init__(self, units: Units, window: int, gram: int, earlier_only: bool, reach: int | None = None):
+        self.units, self.window, self.gram, self.earlier_only, self.reach = units, window, gram, earlier_only, reach or window
 
     def shared_runs(self, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(occurrences of chains that repeat whole and go; runs whose minimiser occurs twice or more;
@@ -232,7 +239,7 @@ class RepeatedSpans:
 
         Runs are taken from all other chains and, so that these can be compared with what goes, from the
         place that a repeated chain is kept for: its least document, or its least occurrence."""
-        every = stage(chains(docs, self.units, self.window, self.gram), "chains")
+        every = stage(chains(docs, self.units, self.window, self.gram, self.reach), "chains")
         if self.earlier_only:
             every = every.filter(F.col("doc_id").isNotNull())
         place = F.struct("doc_id", "rk", "s")
@@ -267,27 +274,32 @@ class RepeatedSpans:
         return T.StructType([docs.schema["doc_id"], T.StructField("a", T.LongType()), T.StructField("u", T.LongType()), T.StructField("o", T.IntegerType()), T.StructField("w", T.LongType())])
 
     def repeated_windows(self, rows: DataFrame) -> DataFrame:
-        """(a, u, offs) of the windows in ``rows`` (a stage table) that occur elsewhere."""
+        """(a, u, pieces) of the windows in ``rows`` (a stage table) that occur elsewhere: spans from the
+        run's start."""
         if self.earlier_only:
             least = rows.groupBy("a", "w").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
             hits = rows.join(stage(least, "least"), ["a", "w"]).filter(F.col("doc_id") > F.col("lo"))
         else:
             twice = rows.groupBy("a", "w").agg(F.count("*").alias("c")).filter("c > 1")
             hits = rows.join(stage(twice, "twice"), ["a", "w"])
-        return hits.groupBy("a", "u").agg(F.collect_set("o").alias("offs"))
+        return hits.groupBy("a", "u").agg(F.collect_set(F.struct(F.col("o").alias("b"), (F.col("o") + self.reach).alias("e"))).alias("pieces"))
 
-    def document_spans(self, gone: DataFrame, shared: DataFrame, paths: DataFrame, flags: DataFrame) -> DataFrame:
-        """(doc_id, rk, spans): the covered spans [b, e) of each document, in units."""
+    def document_spans(self, gone: DataFrame, shared: DataFrame, paths: DataFrame, flags: DataFrame, near: bool = False) -> DataFrame:
+        """(span_doc, span_rk, spans): the covered spans [b, e) of each document, in units; the end of one
+        that covers a whole run may lie beyond that of its document.  ``flags``: (a, u, pieces), and with
+        ``near`` also near: spans of the shorter windows, which come out as a column of that name."""
         whole: Column = (F.col("d0") < F.col("d1")) if self.earlier_only else (F.col("c") > 1)
-        marks = paths.join(flags, ["a", "u"], "left").withColumn("whole", F.coalesce(whole, F.lit(False))).filter(F.col("whole") | F.col("offs").isNotNull()).select("a", "u", "d0", "whole", "offs")
+        kinds = {"spans": ("pieces", self.reach), **({"near": ("near", self.window)} if near else {})}
+        some = F.col("pieces").isNotNull() | F.col("near").isNotNull() if near else F.col("pieces").isNotNull()
+        marks = paths.join(flags, ["a", "u"], "left").withColumn("whole", F.coalesce(whole, F.lit(False))).filter(F.col("whole") | some).select("a", "u", "d0", "whole", *[k for k, _ in kinds.values()])
         hit = shared.join(stage(marks, "marks"), ["a", "u"])
         full = F.col("whole") & (F.col("doc_id") > F.col("d0")) if self.earlier_only else F.col("whole")
-        pieces = F.when(full, F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + self.window - 1).alias("e")))).otherwise(
-            F.transform("offs", lambda o: F.struct((F.col("s") + o).alias("b"), (F.col("s") + o + self.window).alias("e")))
-        )
-        found = hit.select("doc_id", "rk", pieces.alias("spans")).filter(F.size("spans") > 0)
-        trunks = gone.select("doc_id", "rk", F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + self.window - 1).alias("e"))).alias("spans"))
-        return found.unionByName(trunks).groupBy(F.col("doc_id").alias("span_doc"), F.col("rk").alias("span_rk")).agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        one = lambda length: F.array(F.struct(F.col("s").alias("b"), (F.col("s") + F.col("n") + (length - 1)).alias("e")))
+        parts = lambda name: F.transform(F.coalesce(name, F.expr("array()")), lambda x: F.struct((F.col("s") + x["b"]).alias("b"), (F.col("s") + x["e"]).alias("e")))
+        found = hit.select("doc_id", "rk", *[F.when(full, one(length)).otherwise(parts(name)).alias(kind) for kind, (name, length) in kinds.items()])
+        trunks = gone.select("doc_id", "rk", *[one(length).alias(kind) for kind, (_, length) in kinds.items()])
+        any_ = F.size("spans") + F.size("near") if near else F.size("spans")
+        return found.filter(any_ > 0).unionByName(trunks).groupBy(F.col("doc_id").alias("span_doc"), F.col("rk").alias("span_rk")).agg(*[F.flatten(F.collect_list(kind)).alias(kind) for kind in kinds])
 
 
 def merged(b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -58,8 +58,8 @@ def test_long_documents_are_worked_on_in_parts(spark, monkeypatch):
     got = substring_dedup.remove_repeats(df, window=6).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == brute_words(docs, 6)
     for most in (256, 1):
-        got = suffix_dedup.remove_repeats(df, least=25, most_runs=most).collect()
-        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == brute_bytes(docs, 25)
+        got = suffix_dedup.remove_repeats(df, least=25, most_runs=most, short=14).collect()
+        assert digests(got) == brute_bytes(docs, 25, 14)
 
 
 def test_parts_of_long_documents_end_after_separators_only(monkeypatch):
@@ -85,25 +85,43 @@ def test_substring_dedup_odd_rows(spark, odd, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
-def brute_bytes(docs, k):
-    rows = [(i, (t or "").encode()) for i, t in docs]
+def digests(rows):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest(), r.n_repeated) for r in rows), key=str)
+
+
+def repeated_bytes(rows, k):
     count = Counter(t[p : p + k] for _, t in rows for p in range(len(t) - k + 1))
-    out = []
     for i, t in rows:
         gone = bytearray(len(t))
         for p in range(len(t) - k + 1):
             if count[t[p : p + k]] > 1:
                 gone[p : p + k] = b"\x01" * k
+        yield i, t, gone
+
+
+def brute_bytes(docs, k, short):
+    rows = [(i, (t or "").encode()) for i, t in docs]
+    out = []
+    for (i, t, gone), (_, _, brief) in zip(repeated_bytes(rows, k), repeated_bytes(rows, short), strict=True):
         runs = sum(1 for j, g in enumerate(gone) if g and (j == 0 or not gone[j - 1]))
-        out.append((i, len(t), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(t, gone, strict=True) if not g)).hexdigest()))
+        out.append((i, len(t), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(t, gone, strict=True) if not g)).hexdigest(), sum(brief)))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("k", "most"), [(25, 256), (60, 256), (60, 1)])
-def test_suffix_dedup_equals_brute_force(spark, k, most):
+@pytest.mark.parametrize(("k", "most", "short"), [(25, 256, 25), (60, 256, 20), (60, 1, 35), (70, 256, 69)])
+def test_suffix_dedup_equals_brute_force(spark, k, most, short):
     docs = [*corpus(k, 40), (90, "é" * 50 + "a"), (91, "b" + "é" * 50), (92, None)]
-    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), least=k, most_runs=most).collect()
-    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=str) == brute_bytes(docs, k)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), least=k, most_runs=most, short=short).collect()
+    assert digests(got) == brute_bytes(docs, k, short)
+
+
+def test_five_thousand_runs_under_one_minimiser(spark):
+    """Different texts around one common sentence: one minimiser, more runs than a collection holds."""
+    rng = random.Random(3)
+    common = "this sentence is in every one of the documents, word by word and always the same"
+    docs = [(i, f"{rng.random()} {rng.random()} {common} {rng.random()} {i % 4000}") for i in range(5000)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), least=100, short=70).collect()
+    assert digests(got) == brute_bytes(docs, 100, 70)
 
 
 def test_suffix_dedup_odd_rows(odd, none):
@@ -121,7 +139,11 @@ def test_interval_expansion_equals_counting():
         strings = [bytes(rng.choice(b"abcde"[:k]) for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(0, 6))]
         count = Counter(s[i : i + least] for s in strings for i in range(len(s) - least + 1))
         want = [[i for i in range(len(s) - least + 1) if count[s[i : i + least]] > 1] for s in strings]
-        assert [x.tolist() for x in repeated_starts(strings, least)] == want
+        early = rng.randint(1, least)
+        count2 = Counter(s[i : i + early] for s in strings for i in range(len(s) - early + 1))
+        want2 = [[i for i in range(len(s) - early + 1) if count2[s[i : i + early]] > 1] for s in strings]
+        got = repeated_starts(strings, early, least) if early < least else [want2, *repeated_starts(strings, least)]
+        assert [list(x) for x in got[0]] == want2 and [x.tolist() for x in got[1]] == want
 
 
 def test_runs_cover_every_window_once():
