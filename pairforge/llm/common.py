@@ -27,25 +27,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder for stage tables; a temporary one only where the session names none."""
+    """The shared folder for stage tables.  A temporary one serves a local session that names none; on a
+    cluster the setting is needed, since other hosts do not see a local folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         root = tempfile.mkdtemp(prefix="stages-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
-def _remove_stages() -> None:
-    for spark, path in _written:
+def remove_stages() -> None:
+    """Remove the stage tables made so far.  Call it when results that read them have been read; at the
+    end of the process it is called anyway."""
+    while _written:
+        spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001 - the session may have ended; the folder's owner cleans it then
-            return
+        except Exception:  # noqa: BLE001 - that session has ended; others may still be there
+            continue
 
 
-atexit.register(_remove_stages)
+atexit.register(remove_stages)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -77,7 +82,7 @@ def same_key(left: DataFrame, right: DataFrame, *names: str):
 
 #: Bytes of text that vectorised kernels take at a time; bounds their scratch memory.  One longer
 #: document is taken alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -85,10 +90,13 @@ def utf8(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
     col = batch.column(batch.schema.get_field_index(column))
     if col.null_count:
         col = pc.fill_null(col, "")
-    if not pa.types.is_large_string(col.type):
-        col = col.cast(pa.large_string())
+    wide = pa.types.is_large_string(col.type)
+    if not wide and not pa.types.is_string(col.type):
+        col, wide = col.cast(pa.large_string()), True
     _, offsets, data = col.buffers()
-    off = np.frombuffer(offsets, dtype=np.int64)[col.offset : col.offset + len(col) + 1]
+    if offsets is None or not len(col):
+        return np.zeros(0, np.uint8), np.zeros(len(col) + 1, np.int64)
+    off = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), off
 
 

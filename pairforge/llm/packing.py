@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 SEQUENCE = 4096
 END_ID = 2
-#: Words and letter runs whose ids a task keeps (about 120 MB); it starts anew beyond.
-KEPT_WORDS = 600_000
+#: Words and letter runs whose ids a task keeps (about 80 MB); it starts anew beyond.
+KEPT_WORDS = 400_000
 #: Characters of the texts whose words are looked up together.
 GROUP_CHARS = 1 << 20
 #: Bytes of ids in one batch of results.
