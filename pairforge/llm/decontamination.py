@@ -86,15 +86,16 @@ def candidates(index: DataFrame, picked: DataFrame, slop: int = SLOP, broadcast_
     """(key, phrase_id, phrase, item_ids, start, gap): places where the two rarest terms of a phrase lie as
     far from each other as in the phrase, up to ``slop`` words (``gap``)."""
     p = broadcast_if_small(picked, broadcast_rows)
-    first = index.join(p, index["term"] == p["t1"]).select("key", "phrase_id", "phrase", "item_ids", "t2", (F.col("pos") - F.col("o1")).alias("start"), (F.col("pos") - F.col("o1") + F.col("o2")).alias("due"))
-    alone = first.filter("t2 IS NULL").select("key", "phrase_id", "phrase", "item_ids", "start", F.lit(0).alias("gap"))
+    first = index.join(p, index["term"] == p["t1"]).select("key", "phrase_id", "t2", (F.col("pos") - F.col("o1")).alias("start"), (F.col("pos") - F.col("o1") + F.col("o2")).alias("due"))
+    alone = first.filter("t2 IS NULL").select("key", "phrase_id", "start", F.lit(0).alias("gap"))
     # offset-adjusted intersection: the second list is met at the place where it is due, or near it
     near = first.filter("t2 IS NOT NULL").withColumn("near", F.explode(F.array(*[F.lit(g) for g in range(-slop, slop + 1)])))
     near = near.withColumn("want", F.col("due") + F.col("near"))
     second = index.select(F.col("term").alias("t"), F.col("key").alias("d"), F.col("pos").alias("q"))
     met = near.join(second, (near["t2"] == second["t"]) & (near["key"] == second["d"]) & (near["want"] == second["q"]))
-    both = met.groupBy("key", "phrase_id", "start").agg(F.min(F.abs("near")).alias("gap"), F.first("phrase").alias("phrase"), F.first("item_ids").alias("item_ids"))
-    return both.select("key", "phrase_id", "phrase", "item_ids", "start", "gap").union(alone)
+    both = met.groupBy("key", "phrase_id", "start").agg(F.min(F.abs("near")).alias("gap"))
+    places = both.select("key", "phrase_id", "start", "gap").union(alone)  # phrases travel by their id
+    return places.join(p.select("phrase_id", "phrase", "item_ids"), "phrase_id").select("key", "phrase_id", "phrase", "item_ids", "start", "gap")
 
 
 def _covered(spans: Column) -> Column:
