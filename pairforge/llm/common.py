@@ -186,3 +186,36 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     """A 64-bit hash of each word, by its bytes and length."""
     h = span_hash(prefix_hash(BYTE_VALUE[data]), start, end)
     return mix(h + (end - start).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+# ---------------------------------------------------------------------------------------------
+# Global order
+
+#: ``monotonically_increasing_id`` counts rows in the low bits and partitions above them.
+_ROW_BITS = 33
+
+
+def sorted_ranges(df: DataFrame, keys: list) -> DataFrame:
+    """``df`` dealt into ranges of ``keys`` and sorted inside each.  Keys that end with a column of different
+    values let equal leading values spread over many ranges."""
+    return df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+
+
+def starts_of(sizes: dict[int, int]) -> list[int]:
+    """For each partition number, the rows in the partitions before it."""
+    out, so_far = [], 0
+    for p in range(max(sizes, default=0) + 1):
+        out.append(so_far)
+        so_far += sizes.get(p, 0)
+    return out
+
+
+def placed(df: DataFrame, keys: list, name: str) -> DataFrame:
+    """``df`` as a stage table with the 0-based place ``name`` of each row in the order of ``keys``.  No task
+    sees more than a range: rows count inside their partition, and one size for each partition (not for
+    each row) gives the offsets."""
+    ranged = stage(sorted_ranges(df, keys).withColumn("_place", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("_place", _ROW_BITS).cast("int")
+    before = starts_of({r[0]: r[1] for r in ranged.groupBy(part.alias("part")).agg(F.count("*")).collect()})
+    at = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return ranged.withColumn(name, F.element_at(F.lit(before).cast("array<bigint>"), part + 1) + at).drop("_place")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm import chat_formatting, decontamination, language_id, mcd_quality, packing, quality_rules_model, simhash, site_style_tree, substring_dedup, suffix_dedup
-from pairforge.llm.common import table
+from pairforge.llm import balanced_sharding, chat_formatting, clustered_layout, decontamination, language_id, mcd_quality, packing, quality_rules_model, simhash, site_style_tree, substring_dedup, suffix_dedup, token_alignment
+from pairforge.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,28 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = token_alignment.aligned(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model")))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    rows = stage(out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links"), "aligned")
+    return token_alignment.with_counts(rows).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = balanced_sharding.sharded(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dimensions = clustered_layout.document_dimensions()
+    laid = clustered_layout.layout(table(spark, sf_dir, "documents"), dimensions)
+    bounds = F.concat_ws(",", *[f"{side}{k}" for k in range(len(dimensions)) for side in ("lo", "hi")]).alias("file_bounds")
+    out = clustered_layout.with_queries(laid, dimensions)
+    return out.select("doc_id", "z", "position", "file", "files_touched", "files_matching", bounds)
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
@@ -149,6 +171,46 @@ SELECT conv_id, n::BIGINT AS n_turns,
 FROM kept
 """
 
+OP13_SQL = r"""
+WITH bits AS (
+  SELECT list(t ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+    FROM (SELECT unnest(range(0, 256))::BIGINT AS b))
+), v AS (
+  SELECT doc_id, source, lang, coalesce(strlen(text), -1) AS length,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split(doc_id::VARCHAR, '')]),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 365 AS date
+  FROM documents, bits
+), c AS (
+  SELECT doc_id,
+    (8 * (rank() OVER (ORDER BY source NULLS FIRST) - 1)) // (count(*) OVER ()) AS c0,
+    (8 * (rank() OVER (ORDER BY lang NULLS FIRST) - 1)) // (count(*) OVER ()) AS c1,
+    (8 * (rank() OVER (ORDER BY length NULLS FIRST) - 1)) // (count(*) OVER ()) AS c2,
+    (8 * (rank() OVER (ORDER BY date NULLS FIRST) - 1)) // (count(*) OVER ()) AS c3
+  FROM v
+), z AS (
+  SELECT *, (c0 >> 2 & 1) * 2048 + (c1 >> 2 & 1) * 1024 + (c2 >> 2 & 1) * 512 + (c3 >> 2 & 1) * 256 + (c0 >> 1 & 1) * 128 + (c1 >> 1 & 1) * 64
+    + (c2 >> 1 & 1) * 32 + (c3 >> 1 & 1) * 16 + (c0 >> 0 & 1) * 8 + (c1 >> 0 & 1) * 4 + (c2 >> 0 & 1) * 2 + (c3 >> 0 & 1) * 1 AS z FROM c
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY z, doc_id NULLS FIRST) - 1 AS position FROM z
+), f AS (
+  SELECT *, position // 1000 AS file FROM p
+), bounds AS (
+  SELECT file, min(c0) AS l0, max(c0) AS h0, min(c1) AS l1, max(c1) AS h1, min(c2) AS l2, max(c2) AS h2, min(c3) AS l3, max(c3) AS h3 FROM f GROUP BY file
+), q AS (
+  SELECT DISTINCT z, c0, c1, c2, c3 FROM f
+), touched AS (
+  SELECT z, count(*) AS n FROM q JOIN bounds ON c0 BETWEEN l0 AND h0 AND c1 BETWEEN l1 AND h1 AND l2 <= c2 + 1 AND h2 >= c2 - 1 AND l3 <= c3 + 1 AND h3 >= c3 - 1 GROUP BY z
+), matching AS (
+  SELECT q.z, count(DISTINCT e.file) AS n FROM q JOIN (SELECT DISTINCT file, c0, c1, c2, c3 FROM f) e
+    ON e.c0 = q.c0 AND e.c1 = q.c1 AND e.c2 BETWEEN q.c2 - 1 AND q.c2 + 1 AND e.c3 BETWEEN q.c3 - 1 AND q.c3 + 1 GROUP BY q.z
+)
+SELECT doc_id, z::BIGINT AS z, position::BIGINT AS position, f.file::BIGINT AS file, touched.n AS files_touched, matching.n AS files_matching,
+  concat_ws(',', l0, h0, l1, h1, l2, h2, l3, h3) AS file_bounds
+FROM f JOIN bounds USING (file) JOIN touched USING (z) JOIN matching USING (z)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -160,10 +222,14 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_sharding": op12_sharding,
+    "op13_clustered_layout": op13_clustered_layout,
 }
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op3_decontamination": OP3_SQL,
     "op8_chat_formatting": OP8_SQL,
+    "op13_clustered_layout": OP13_SQL,
 }
