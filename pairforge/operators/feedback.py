@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pairforge import dims
 from pairforge.functions.text import preprocess, quote_in_text, report_clean, safe_str
 from pairforge.operators.ranking import latest, order_first_with_matches
+from pairforge.operators.ranks import quantiles as exact_quantiles
 from pairforge.operators.scoring import report_confidence, report_role
 from pairforge.operators.similarity import position
 from pairforge.sources.stages import stage
@@ -294,7 +295,7 @@ def diagnostics(pairs: DataFrame, companies: int, abstained: DataFrame, consorti
     one = pairs.agg(
         F.count("*").alias("pairs_total"), F.count_if("qualified").alias("pairs_qualified"), F.count_distinct(F.when(F.col("qualified"), F.col("cid"))).alias("companies_with_qualified_match"),
         F.count_distinct(F.when(direct, F.col("oid"))).alias("opportunities_with_direct_fit"), F.count_distinct(F.when(partial, F.col("oid"))).alias("opportunities_with_partner_fit"),
-        F.count_if(direct).alias("pairs_direct_fit"), F.count_if(partial).alias("pairs_partner_fit"), F.round(F.percentile("raw_profile_cosine", F.lit(0.5)), 4).alias("median_raw_profile_cosine"),
+        F.count_if(direct).alias("pairs_direct_fit"), F.count_if(partial).alias("pairs_partner_fit"), F.round(F.lit(exact_quantiles(pairs, "raw_profile_cosine", [0.5])[0]).cast("double"), 4).alias("median_raw_profile_cosine"),
         F.count_if("changed").alias("human_overrides_applied"),
     )
     share = unanimous_share(pairs, "agreement").withColumnRenamed("unanimous_share", "gate_unanimous_share")

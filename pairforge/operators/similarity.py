@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pairforge.functions.arrays import dot, norm, unit
+from pairforge.functions.arrays import unit
 from pairforge.functions.text import preprocess
-from pairforge.sources.stages import broadcast_if_small, stage
+from pairforge.operators.blocked import products
+from pairforge.operators.ranks import with_positions
+from pairforge.sources.stages import stage
 
 
 def word_grams(df: DataFrame, key: str, text: str, least_length: int = 2) -> DataFrame:
@@ -57,18 +59,10 @@ def sparse_cosine(left: DataFrame, right: DataFrame, normalise: bool = False) ->
     return out.join(a, "cid").join(b, "oid").select("cid", "oid", (F.col("cosine") / (F.col("na") * F.col("nb"))).alias("cosine"))
 
 
-#: Vectors that are broadcast at most: some 100 MB of 1,000 numbers each.
-VECTOR_ROWS = 12_000
-
-
 def dense_cosines(left: DataFrame, right: DataFrame, vectors: dict[str, str], vector: str = "b") -> DataFrame:
     """(cid, oid, and a cosine for each of ``vectors``: name -> column of ``left``) with ``vector`` of
-    ``right``, doubles.  All pairs are the result here, so the nested loop is the plan: pairs are formed
-    once for all cosines, and norms are taken once for each side, before it.  ``right`` is the side with
-    few rows; it is broadcast while its counted rows are few."""
-    a = left.select("cid", *[F.col(c).alias(f"_{n}") for n, c in vectors.items()], *[F.greatest(norm(F.col(c)), F.lit(1e-12)).alias(f"_n{n}") for n, c in vectors.items()])
-    b = right.select("oid", F.col(vector).alias("_b"), F.greatest(norm(F.col(vector)), F.lit(1e-12)).alias("_nb"))
-    return a.crossJoin(broadcast_if_small(b, VECTOR_ROWS)).select("cid", "oid", *[(dot(F.col(f"_{n}"), F.col("_b")) / (F.col(f"_n{n}") * F.col("_nb"))).alias(n) for n in vectors])
+    ``right``, doubles.  All pairs are the result; they are made block by block (:mod:`pairforge.operators.blocked`)."""
+    return products(left, right, "cid", "oid", vectors, vector)
 
 
 def dense_cosine(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -86,24 +80,31 @@ def blended(full: Column, focused: Column, share: float) -> Column:
     return F.zip_with(unit(full), unit(focused), lambda x, y: (1 - share) * x + share * y)
 
 
-def position(df: DataFrame, keys: list, name: str, buckets: int | None = None, total: str | None = None) -> DataFrame:
-    """A global 0-based position by ``keys`` without a single-partition sort: range partitions, a row
-    number inside each, and the sizes of the partitions before (one small row each).  ``total`` names a
-    column for the number of rows."""
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()), "ranged")
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
-    rows = F.coalesce(F.sum("_size").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    before = sizes.select("_part", rows.alias("_before"), *([F.sum("_size").over(W.partitionBy(F.lit(0))).alias(total)] if total else []))
-    inside = ranged.withColumn("_in", F.row_number().over(W.partitionBy("_part").orderBy(*keys)))
-    return inside.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_in") - 1).drop("_part", "_before", "_in")
+#: ``monotonically_increasing_id`` counts rows in the low bits and partitions above them.
+_ROW_BITS = 33
+
+
+def position(df: DataFrame, keys: list, name: str, buckets: int | None = None) -> DataFrame:
+    """A global 0-based position by ``keys`` of any type without a single-partition sort: ranges are sorted once, rows count inside
+    them, and the sizes of the ranges before (one number each) are added."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id()), "ranged")
+    part = F.shiftright("_place", _ROW_BITS).cast("int")
+    sizes = {r[0]: r[1] for r in ranged.groupBy(part.alias("part")).agg(F.count("*")).collect()}
+    before = [sum(sizes.get(q, 0) for q in range(p)) for p in range(max(sizes, default=0) + 1)]
+    inside = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return ranged.withColumn(name, F.element_at(F.lit(before).cast("array<bigint>"), part + 1) + inside).drop("_place")
+
+
+def percentile_ranks(df: DataFrame, names: dict[str, str], ties: list[str]) -> DataFrame:
+    """Position / (n - 1) in [0, 1] for each column of ``names`` (column -> name of its rank); equal values get different ranks, in the
+    order of ``ties``.  ``df`` is made once, however many columns there are."""
+    placed, n = with_positions(stage(df, "ranked"), {c: f"_pos_{name}" for c, name in names.items()}, ties)
+    return placed.withColumns({name: F.col(f"_pos_{name}") / F.lit(max(n - 1, 1)) for name in names.values()}).drop(*[f"_pos_{name}" for name in names.values()])
 
 
 def percentile_rank(df: DataFrame, value: str, ties: list[str], name: str) -> DataFrame:
-    """Position / (n - 1) in [0, 1]; ties get different values, in the order of ``ties``."""
-    placed = position(df, [value, *ties], "_pos", total="_n")
-    return placed.withColumn(name, F.col("_pos") / F.greatest(F.col("_n") - 1, F.lit(1))).drop("_pos", "_n")
+    return percentile_ranks(df, {value: name}, ties)
 
 
 def spearman(df: DataFrame, group: str, a: str, b: str) -> DataFrame:

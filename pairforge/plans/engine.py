@@ -35,12 +35,13 @@ def _cosines(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     return side("c", "profile").join(side("p", "product"), ["cid", "oid"], "full").na.fill(0.0, ["profile", "product"])
 
 
-def _semantic(pairs: DataFrame, name: str) -> DataFrame:
-    """The global percentile of a cosine blended with that of its excess over the company's mean."""
-    mean = pairs.groupBy("cid").agg(F.avg(name).alias("_m"))
-    p = pairs.join(mean, "cid").withColumn("_x", F.col(name) - F.col("_m")).drop("_m")
-    p = Z.percentile_rank(Z.percentile_rank(p, name, ["cid", "oid"], "_p"), "_x", ["cid", "oid"], "_q")
-    return p.withColumn(f"sem_{name}", (1 - dims.SPECIFICITY_BLEND) * F.col("_p") + dims.SPECIFICITY_BLEND * F.col("_q")).drop("_x", "_p", "_q")
+def _semantic(pairs: DataFrame, names: list[str]) -> DataFrame:
+    """``sem_`` each of ``names``: the global percentile of a cosine blended with that of its excess over the company's mean."""
+    mean = pairs.groupBy("cid").agg(*[F.avg(n).alias(f"_m_{n}") for n in names])
+    p = pairs.join(mean, "cid").withColumns({f"_x_{n}": F.col(n) - F.col(f"_m_{n}") for n in names})
+    p = Z.percentile_ranks(p, {n: f"_p_{n}" for n in names} | {f"_x_{n}": f"_q_{n}" for n in names}, ["cid", "oid"])
+    blend = {f"sem_{n}": (1 - dims.SPECIFICITY_BLEND) * F.col(f"_p_{n}") + dims.SPECIFICITY_BLEND * F.col(f"_q_{n}") for n in names}
+    return p.withColumns(blend).drop(*[f"_{k}_{n}" for k in "mxpq" for n in names])
 
 
 def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     keys = companies.select("cid").crossJoin(opportunities.select("oid"))
     pairs = keys.join(_cosines(companies, opportunities), ["cid", "oid"], "left").join(proof, ["cid", "oid"], "left")
     pairs = pairs.na.fill(0.0, ["profile", "product", "evidence_score"]).na.fill(0, ["n_terms"])
-    pairs = _semantic(_semantic(stage(pairs, "pairs"), "profile"), "product")
+    pairs = _semantic(stage(pairs, "pairs"), ["profile", "product"])
     # a sector score depends on the two labels and the company's capability words
     c = companies.select("cid", F.col("sector").alias("cs"), static_tokens(F.concat_ws(" ", "combined", "products")).alias("cap"))
     o = opportunities.select("oid", F.col("sector").alias("os"))

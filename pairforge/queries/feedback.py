@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairforge.operators import feedback as B
 from pairforge.operators import ranking as R
+from pairforge.operators.ranks import quantiles as exact_quantiles
 from pairforge.queries.base import PAIRS_SQL, pairs, pick, sql_pick, t
 from pairforge.sources.readers import human_label, human_reviews
 
@@ -113,14 +114,15 @@ def diagnostics(s: S, d: str) -> DataFrame:
     one = p.agg(
         F.count("*").alias("pairs_total"), F.count_if("qualified").alias("pairs_qualified"), F.count_distinct("cid").alias("companies_total"), F.count_distinct(F.when(F.col("qualified"), F.col("cid"))).alias("companies_qualified"),
         F.count_distinct(F.when(F.col("direct"), F.col("oid"))).alias("opportunities_direct"), F.count_distinct(F.when(F.col("verdict") == "Partial", F.col("oid"))).alias("opportunities_partner"),
-        F.count_if("direct").alias("pairs_direct"), F.count_if(F.col("verdict") == "Partial").alias("pairs_partner"), F.round(F.percentile("profile", F.lit(0.5)), 4).alias("median_profile"),
+        F.count_if("direct").alias("pairs_direct"), F.count_if(F.col("verdict") == "Partial").alias("pairs_partner"), F.round(F.lit(exact_quantiles(p, "profile", [0.5])[0]), 4).alias("median_profile"),
     )
     return one.join(F.broadcast(per))  # one row each
 
 
 def quantiles(s: S, d: str) -> DataFrame:
     q = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
-    return t(s, d, "orders").agg(*[F.round(F.percentile("o_totalprice", F.lit(x)), 4).alias(f"p{int(x * 100)}") for x in q])
+    found = exact_quantiles(t(s, d, "orders"), "o_totalprice", q)
+    return s.range(1).select(*[F.round(F.lit(v).cast("double"), 4).alias(f"p{int(x * 100)}") for x, v in zip(q, found, strict=True)])
 
 
 def value_counts(s: S, d: str) -> DataFrame:

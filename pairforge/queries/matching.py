@@ -114,7 +114,7 @@ def specificity(s: S, d: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     c = _cosines(s, d).withColumn("excess", F.round(F.col("cosine") - F.avg("cosine").over(W.partitionBy("cid")), 8))
-    p = Z.percentile_rank(Z.percentile_rank(c, "cosine", ["cid", "oid"], "p1"), "excess", ["cid", "oid"], "p2")
+    p = Z.percentile_ranks(c, {"cosine": "p1", "excess": "p2"}, ["cid", "oid"])
     return p.select("cid", "oid", F.round((1 - dims.SPECIFICITY_BLEND) * F.col("p1") + dims.SPECIFICITY_BLEND * F.col("p2"), 6).alias("semantic"))
 
 
