@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from pairforge.llm.common import stage
 
 #: Characters of text that are aligned at a time; bounds the memory of a task.  One longer text is taken alone.
-CHUNK_CHARS = 1 << 22
-#: Pieces whose alignment a task keeps (some 200 MB): two halves, the older of which goes when the newer one is full.
-KEPT_PIECES = 600_000
+CHUNK_CHARS = 1 << 20
+#: Pieces whose alignment a task keeps (some 100 MB): two halves, the older of which goes when the newer one is full.
+KEPT_PIECES = 240_000
 #: Bytes of pieces that are tokenized in one call.
 BLOCK_BYTES = 1 << 14
 #: Different id pairs whose counts are broadcast, 16 bytes each.
@@ -135,7 +135,7 @@ class _Aligner:
         import duckdb
 
         self.t, self.linked = tokenizers, LINKED[linked]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self.db.execute("SET preserve_insertion_order = false")
         self.type = np.dtype("<u2") if max(len(tokenizers.bytes_a), len(tokenizers.bytes_b)) <= 1 << 16 else np.dtype("<u4")
         def names(n: int, after: str) -> np.ndarray:
@@ -291,7 +291,14 @@ def aligned(documents: DataFrame, path_a: str, path_b: str, linked: str = "end")
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # a task keeps some million small objects, none in a cycle; looking for cycles took a fourth of its time
+        gc.disable()  # a task keeps some hundred thousand small objects, none in a cycle; looking for cycles took a fourth of its time
+        try:
+            yield from align_all(batches)
+        finally:
+            gc.enable()
+            gc.collect()
+
+    def align_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _Aligner(_Tokenizers(*sources.value), linked)
         width = 2 * aligner.type.itemsize
         for batch in batches:
@@ -333,7 +340,7 @@ def pair_counts(links: DataFrame, width: int = 4) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
-        db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         for batch in batches:
             for rows in _groups_of_rows(batch, COUNT_LINKS, width):
                 db.register("links", pa.table({"pair": _codes(rows.column(rows.schema.get_field_index("links")), width)}))
