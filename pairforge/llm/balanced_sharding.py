@@ -47,7 +47,8 @@ def text_group(text: Column) -> Column:
 
 def linked(rows: DataFrame, quota: int) -> DataFrame:
     """(row, grp) of the rows whose ``grp`` has another member.  Groups over half a quota become parts."""
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("m")).filter("m > 1 AND grp IS NOT NULL")
+    # a stage table, so that the join's other side can be split where a group is hot
+    sizes = stage(rows.groupBy("grp").agg(F.count("*").alias("m")).filter("m > 1 AND grp IS NOT NULL"), "sizes")
     parts = F.ceil(F.col("m") / max(quota // 2, 1))
     part = F.when(parts > 1, F.pmod(F.xxhash64("row", "grp"), parts)).otherwise(F.lit(0))
     return rows.select("row", "grp").join(sizes, "grp").select("row", F.xxhash64("grp", part).alias("grp"))
