@@ -45,6 +45,11 @@ def overlaps(a: Column, terms: list[str]) -> Column:
     return F.arrays_overlap(a, F.array(*map(F.lit, terms)))
 
 
+def literal(values: list, kind: str) -> Column:
+    """A constant array of numbers, folded once when the plan is made; short to build however many there are."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pairforge.functions.arrays import unit
+from pairforge.functions.arrays import literal, unit
 from pairforge.functions.text import preprocess
 from pairforge.operators.blocked import products
 from pairforge.operators.ranks import with_positions
@@ -93,7 +93,7 @@ def position(df: DataFrame, keys: list, name: str, buckets: int | None = None) -
     sizes = {r[0]: r[1] for r in ranged.groupBy(part.alias("part")).agg(F.count("*")).collect()}
     before = [sum(sizes.get(q, 0) for q in range(p)) for p in range(max(sizes, default=0) + 1)]
     inside = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return ranged.withColumn(name, F.element_at(F.lit(before).cast("array<bigint>"), part + 1) + inside).drop("_place")
+    return ranged.withColumn(name, F.element_at(literal(before, "bigint"), part + 1) + inside).drop("_place")
 
 
 def percentile_ranks(df: DataFrame, names: dict[str, str], ties: list[str]) -> DataFrame:
