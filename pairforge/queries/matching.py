@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pairforge import dims
 from pairforge.functions import arrays as A
 from pairforge.functions.text import preprocess, static_tokens
+from pairforge.operators import assignment as G
 from pairforge.operators import matching_text as M
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
@@ -201,8 +202,17 @@ def email_enrichment(s: S, d: str) -> DataFrame:
     return M.email_from_rows(targets, sources, "name", "context")
 
 
+def ordered_assignment(s: S, d: str) -> DataFrame:
+    """Suppliers in their order take the first free customer under the first of their three keys that has one."""
+    c, p = F.col("c_custkey"), F.col("s_suppkey")
+    word = lambda w, k: F.concat(F.lit(w), k.cast("string"))
+    targets = t(s, d, "customer").select(c.alias("target"), F.array(word("name ", c % 40), word("slug ", c % 60)).alias("keys"))
+    sources = t(s, d, "supplier").select(p.alias("source"), F.array(word("name ", p % 5 + 38), word("slug ", p * 7 % 70), word("name ", p % 3)).alias("keys"))
+    return G.assigned(sources, targets)
+
+
 QUERIES = {
-    "ranked_matches": ranked, "vocabulary": vocabulary, "document_frequency": document_frequency, "common_tokens": common_tokens, "evidence_terms": evidence_terms,
+    "ordered_assignment": ordered_assignment, "ranked_matches": ranked, "vocabulary": vocabulary, "document_frequency": document_frequency, "common_tokens": common_tokens, "evidence_terms": evidence_terms,
     "evidence_score": evidence_score, "g1_terms": g1_terms, "tfidf_word": tfidf_word, "sparse_score": sparse_score, "tfidf_hybrid": tfidf_hybrid, "cosine_dense": cosine_dense,
     "focus_blend": focus_blend, "percentile_rank": percentile_rank, "specificity": specificity, "spearman": spearman, "spearman_by_label": spearman_by_label, "separation": separation,
     "jaccard": jaccard, "entity_resolution": entity_resolution, "keyword_match": keyword_match, "keyword_match_plain": keyword_match_plain, "adjacent_label": adjacent_label,
@@ -288,6 +298,15 @@ def _bag_sql(label: str) -> str:
 
 
 SQL = {
+    "ordered_assignment": """
+      WITH RECURSIVE s AS (SELECT row_number() OVER (ORDER BY s_suppkey) AS i, s_suppkey AS source, ['name ' || (s_suppkey % 5 + 38), 'slug ' || (s_suppkey * 7 % 70), 'name ' || (s_suppkey % 3)] AS keys FROM supplier),
+      tk AS (SELECT c_custkey AS target, unnest(['name ' || (c_custkey % 40), 'slug ' || (c_custkey % 60)]) AS key FROM customer),
+      g AS (
+        SELECT 0::BIGINT AS i, NULL::BIGINT AS source, NULL::BIGINT AS target, NULL::VARCHAR AS key, []::BIGINT[] AS taken
+        UNION ALL
+        SELECT s.i, s.source, c.target, c.key, CASE WHEN c.target IS NULL THEN g.taken ELSE list_append(g.taken, c.target) END FROM g JOIN s ON s.i = g.i + 1 LEFT JOIN LATERAL (
+          SELECT tk.target, tk.key FROM tk WHERE list_contains(s.keys, tk.key) AND NOT list_contains(g.taken, tk.target) ORDER BY list_position(s.keys, tk.key), tk.target LIMIT 1) c ON true)
+      SELECT target, source, key FROM g WHERE target IS NOT NULL""",
     "ranked_matches": RANKED_SQL,
     "vocabulary": f"WITH {VOCAB_CTE} SELECT token, cnt, round(idf, 6) AS idf, round(doc_ratio, 6) AS doc_ratio, is_common, is_protected, is_domain FROM vocab",
     "document_frequency": f"WITH {VOCAB_CTE} SELECT token, count(*) AS cnt FROM ctok GROUP BY token",

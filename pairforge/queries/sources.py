@@ -11,7 +11,7 @@ from pairforge.operators import ranking as R
 from pairforge.operators import scoring as O
 from pairforge.queries.base import PAIRS_SQL, SPACES, pairs, pick, pp, sql_pick, sql_text, t
 from pairforge.queries.texts import FOUNDING, PRICES, SUFFIXES
-from pairforge.sources import readers, stages, workbooks
+from pairforge.sources import folders, readers, stages, workbooks
 
 S = SparkSession
 #: Header spellings as they occur in workbooks: odd spaces, odd case.
@@ -123,11 +123,12 @@ def verdict_stream(s: S, d: str) -> DataFrame:
 
 
 def review_file(s: S, d: str) -> DataFrame:
-    """Reviews written as CSV and read back; a file that isn't there gives none."""
+    """Reviews written as CSV, with quotes and line ends in the names, and read back; a file that isn't there gives none."""
     path = stages.scratch(s, "reviews")
     c = t(s, d, "customer")
     k = F.col("c_custkey")
-    stages.write_csv(c.select(F.concat(F.lit("firm "), k.cast("string")).alias("company"), F.lit("deal, one").alias("opportunity"), pick(["agree", "Not a fit", "maybe", " TRUE "], k).alias("verdict")), path)
+    company = F.concat(F.when(k % 5 == 0, 'Say "Hi",\n').otherwise("firm "), k.cast("string"))
+    stages.write_csv(c.select(company.alias("company"), F.lit("deal, one").alias("opportunity"), pick(["agree", "Not a fit", "maybe", " TRUE "], k).alias("verdict")), path)
     return readers.read_reviews(s, path).unionByName(readers.read_reviews(s, path + "-none"))
 
 
@@ -163,23 +164,50 @@ def batched_files(s: S, d: str) -> DataFrame:
 
 
 def checkpoint_resume(s: S, d: str) -> DataFrame:
-    """A checkpoint is read again while it has the wanted columns, and made anew when it hasn't."""
+    """A checkpoint is read again while its inputs and parameters are the same, and made anew when rows of an input, a parameter or
+    the columns have changed."""
     path = stages.scratch(s, "resume")
     n = t(s, d, "nation")
-    first = stages.checkpoint(n.select("n_nationkey", F.lit(1).alias("made")), path)
-    kept = stages.stage(stages.checkpoint(n.select("n_nationkey", F.lit(2).alias("made")), path), "kept")
-    new = stages.checkpoint(n.select("n_nationkey", F.lit(3).alias("made"), "n_name"), path)
-    del first
-    return new.join(kept.withColumnRenamed("made", "kept"), "n_nationkey").select("n_nationkey", "n_name", "made", "kept")
+    taken: dict[str, DataFrame] = {}
+
+    def again(name: str, source: DataFrame, made: int, rubric: str) -> None:
+        df = source.select("n_nationkey", F.lit(made).alias("made"))
+        taken[name] = stages.stage(stages.checkpoint(df, path, [source], {"rubric": rubric}).withColumnRenamed("made", name), name)
+
+    some = n.filter("n_nationkey % 3 <> 0")
+    again("first", some, 1, "a")
+    again("kept", some, 2, "a")
+    again("fresh_rows", n, 3, "a")
+    again("fresh_rubric", n, 4, "b")
+    out = n.select("n_nationkey")
+    for df in taken.values():
+        out = out.join(df, "n_nationkey", "left")
+    return out
 
 
 def folder_scan(s: S, d: str) -> DataFrame:
-    """CSV files in nested folders with different columns, read as one table of texts."""
+    """CSV files in nested folders, each with a header of its own, read as one table of texts."""
     path = stages.scratch(s, "folder")
-    n, r = t(s, d, "nation"), t(s, d, "region")
-    n.select(F.col("n_name").alias("Name"), F.col("n_nationkey").alias("Key")).coalesce(1).write.option("header", True).csv(f"{path}/a/b")
-    r.select(F.col("r_name").alias("Name"), F.col("r_regionkey").alias("Key")).coalesce(1).write.option("header", True).csv(f"{path}/c")
-    return readers.read_folder(s, path).select("Name", "Key")
+    c, n, p = t(s, d, "clients"), t(s, d, "nation"), t(s, d, "vendors")
+    told = F.when(F.col("client_id") % 3 == 0, F.concat(F.lit('says "hi"\n'), "name")).otherwise(F.col("name"))
+    stages.write_csv(c.filter("client_id IS NOT NULL").select(F.col("client_id").alias("Key"), told.alias("Name"), F.col("email").alias("E-Mail")), f"{path}/a/b")
+    stages.write_csv(n.select(F.lit("nation").alias("Kind"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("Key")), f"{path}/a/n")
+    stages.write_csv(p.filter("vendor_id IS NOT NULL").select(F.col("name").alias("NAME"), F.col("vendor_id").alias("key"), F.lit("v").alias("Kind")), f"{path}/c")
+    rows, _ = folders.read_folder(s, path)
+    return rows.select("Name", "Key", "Kind", "E-Mail")
+
+
+def person_keys(s: S, d: str) -> DataFrame:
+    """Rows of files with an e-mail, and the keys of their persons from name columns and from first and last names."""
+    path = stages.scratch(s, "persons")
+    c, p = t(s, d, "clients").filter("client_id IS NOT NULL"), t(s, d, "vendors").filter("vendor_id IS NOT NULL")
+    k = F.col("client_id").cast("string")
+    stages.write_csv(c.select(F.col("name").alias("First Name"), F.concat(F.lit("No-"), k).alias("last"), F.concat(F.lit("c"), k, F.lit("@Example.org")).alias("Work Email"), k.alias("mark")), f"{path}/x")
+    v = F.col("vendor_id").cast("string")
+    note = F.when(F.col("vendor_id") % 2 == 0, F.concat(F.lit("write to v"), v, F.lit("@example.com")))
+    stages.write_csv(p.select(F.concat(F.lit("contact of "), v).alias("Contact"), F.concat(F.lit("Guest_"), v).alias("Guest"), note.alias("Remark"), F.lit("").alias("Email")), f"{path}/y")
+    rows, _ = folders.read_folder(s, path)
+    return folders.person_rows(rows).select("email", F.array_join("keys", "|").alias("keys"))
 
 
 def document_files(s: S, d: str) -> DataFrame:
@@ -260,7 +288,7 @@ def report_sheets(s: S, d: str) -> DataFrame:
 QUERIES = {
     "company_scan": company_scan, "merged_names": merged_names, "opportunity_scan": opportunity_scan, "sheet_union": sheet_union, "first_existing": first_existing, "header_names": header_names,
     "structured_lists": structured_lists, "id_discovery": id_discovery, "verdict_log": verdict_log, "verdict_stream": verdict_stream, "review_file": review_file, "view_rescan": view_rescan, "csv_export": csv_export,
-    "batched_files": batched_files, "checkpoint_resume": checkpoint_resume, "folder_scan": folder_scan, "document_files": document_files, "workbook_scan": workbook_scan, "literal_rows": literal_rows, "vector_cache": vector_cache,
+    "batched_files": batched_files, "checkpoint_resume": checkpoint_resume, "folder_scan": folder_scan, "person_keys": person_keys, "document_files": document_files, "workbook_scan": workbook_scan, "literal_rows": literal_rows, "vector_cache": vector_cache,
     "cache_merge": cache_merge, "markdown_summary": markdown_summary, "report_sheets": report_sheets,
 }
 
@@ -283,6 +311,7 @@ _FIRMS = f"""co AS (SELECT s_suppkey AS id, 'Firm ' || floor(s_suppkey * 3 / 5):
   {sql_pick(FOUNDING, 's_suppkey')} || ' ' || repeat('steel ', (s_suppkey % 7)::INT) AS profile, CASE WHEN s_suppkey % 6 <> 0 THEN 'Pumps & valves; no. ' || s_suppkey END AS products,
   {sql_pick(['Mining', 'MedTech', 'ICT Hardware'], 's_suppkey')} AS sector FROM supplier),
 ke AS (SELECT *, {_key} AS k FROM co), rn AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY length(profile) + length(coalesce(products, '')) DESC, id) AS r FROM ke)"""
+_nk = lambda x: f"trim(regexp_replace(regexp_replace(translate(lower(trim({x})), '-_', '  '), '[^a-z0-9\\s]', ' ', 'g'), '{SPACES}', ' ', 'g'))"
 _lit = "SELECT * FROM (VALUES " + ", ".join(f"({sql_text(r['title'])}, {sql_text(r['sector'])}, '', {sql_text(r['note'])})" for r in LITERAL) + ") v(title, sector, materials, note)"
 _vet = "decision IN ('Excellent Match', 'Strong Match', 'Good Match')"
 _MD = f"""pr AS (SELECT *, CASE WHEN oid % 3 = 0 THEN 'Anchor candidate' ELSE 'JV partner' END AS match_type FROM ({PAIRS_SQL}) WHERE oid < 8 AND cid < 20),
@@ -307,12 +336,16 @@ SQL = {
     "id_discovery": "SELECT n_name, CASE WHEN n_nationkey % 4 = 0 THEN 0 ELSE n_nationkey END::BIGINT AS found_id, row_number() OVER (ORDER BY n_name) AS position FROM nation",
     "verdict_log": f"""WITH e AS (SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, 'c' || user_id AS company, event_type AS opportunity, {sql_pick(['Direct', 'Partial', 'No'], 'event_id')} AS decision, event_id::INT AS votes FROM events)
       SELECT company, opportunity, ts, decision, votes FROM (SELECT *, row_number() OVER (PARTITION BY company, opportunity ORDER BY ts DESC, votes DESC) AS r FROM e) WHERE r = 1""",
-    "review_file": "SELECT 'firm ' || c_custkey AS company, 'deal, one' AS opportunity, CASE c_custkey % 4 WHEN 1 THEN 0 ELSE 1 END::INT AS label FROM customer WHERE c_custkey % 4 <> 2",
+    "review_file": "SELECT CASE WHEN c_custkey % 5 = 0 THEN 'Say \"Hi\",' || chr(10) ELSE 'firm ' END || c_custkey AS company, 'deal, one' AS opportunity, CASE c_custkey % 4 WHEN 1 THEN 0 ELSE 1 END::INT AS label FROM customer WHERE c_custkey % 4 <> 2",
     "view_rescan": f"SELECT 'All_Pairs' AS view, count(*) AS n FROM ({PAIRS_SQL}) UNION ALL SELECT 'Company_View', count(*) FROM ({PAIRS_SQL}) WHERE oid < 3 UNION ALL SELECT 'Abstentions', 1",
     "csv_export": "SELECT item_id, 'a \"quoted\", ' || substring(text, 1, 60) AS note FROM benchmark",
     "batched_files": f"SELECT cid // 10 AS batch, count(*) AS n, min(cid) AS lo, max(cid) AS hi FROM ({PAIRS_SQL}) GROUP BY 1",
-    "checkpoint_resume": "SELECT n_nationkey, n_name, 3 AS made, 1 AS kept FROM nation",
-    "folder_scan": "SELECT n_name AS \"Name\", n_nationkey::VARCHAR AS \"Key\" FROM nation UNION ALL SELECT r_name, r_regionkey::VARCHAR FROM region",
+    "checkpoint_resume": "SELECT n_nationkey, CASE WHEN n_nationkey % 3 <> 0 THEN 1 END AS first, CASE WHEN n_nationkey % 3 <> 0 THEN 1 END AS kept, 3 AS fresh_rows, 4 AS fresh_rubric FROM nation",
+    "folder_scan": """SELECT nullif(CASE WHEN client_id % 3 = 0 THEN 'says "hi"' || chr(10) || name ELSE name END, '') AS "Name", client_id::VARCHAR AS "Key", NULL::VARCHAR AS "Kind", nullif(email, '') AS "E-Mail" FROM clients WHERE client_id IS NOT NULL
+      UNION ALL SELECT n_name, n_nationkey::VARCHAR, 'nation', NULL FROM nation UNION ALL SELECT nullif(name, ''), vendor_id::VARCHAR, 'v', NULL FROM vendors WHERE vendor_id IS NOT NULL""",
+    "person_keys": f"""WITH c AS (SELECT 'c' || client_id || '@example.org' AS email, [{_nk("coalesce(name, '')")}, {_nk("coalesce(name, '') || ' No-' || client_id")}] AS k FROM clients WHERE client_id IS NOT NULL),
+      v AS (SELECT 'v' || vendor_id || '@example.com' AS email, [{_nk("'contact of ' || vendor_id")}, {_nk("'Guest_' || vendor_id")}] AS k FROM vendors WHERE vendor_id IS NOT NULL AND vendor_id % 2 = 0)
+      SELECT email, array_to_string(list_filter(k, lambda x: length(x) >= 4), '|') AS keys FROM (FROM c UNION ALL FROM v)""",
     "document_files": """SELECT CASE WHEN r_regionkey % 2 = 1 THEN r_name || '_' || r_regionkey ELSE 'plain' || r_regionkey END AS file, CASE WHEN r_regionkey % 2 = 1 THEN string_split(r_name, '_')[1] ELSE 'Telecom/ICT' END AS category,
       ((length('Région ' || r_name) + 13) * (r_regionkey + 1))::INT AS n_chars, (2 * (r_regionkey + 1))::INT AS n_lines FROM region""",
     "workbook_scan": """SELECT n_name AS "Name", n_nationkey::VARCHAR AS "Key", CASE WHEN n_nationkey % 2 = 0 THEN 'a <b> & "c"' || chr(10) || ' d' ELSE '' END AS "Note", CASE WHEN n_nationkey % 2 = 0 THEN 'High Fit' ELSE 'Low Fit' END AS ai_decision, 1 AS sheet FROM nation

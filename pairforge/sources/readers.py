@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pairforge import dims
 from pairforge.functions import text as X
 from pairforge.operators.similarity import position
+from pairforge.sources.stages import CSV
 
 # --- fixed values: header aliases, after normalisation ------------------------------------------
 COMPANY_HEADERS = {
@@ -132,9 +133,11 @@ def human_reviews(df: DataFrame, seq: str) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    empty = spark.createDataFrame([], "company string, opportunity string, verdict string")
-    df = spark.read.option("header", True).csv(path) if first_existing(spark, [path]) else empty
-    return human_reviews(df.withColumn("_seq", F.monotonically_increasing_id()), "_seq")
+    """The reviews of a CSV file, or of a folder of them in the order of the paths.  Values may hold quotes and line ends."""
+    if not first_existing(spark, [path]):
+        return human_reviews(spark.createDataFrame([], "company string, opportunity string, verdict string, seq int"), "seq")
+    rows = spark.read.options(**CSV, multiLine=True).csv(path)
+    return human_reviews(rows.withColumn("_seq", F.struct("_metadata.file_path", F.monotonically_increasing_id())), "_seq")
 
 
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
@@ -142,11 +145,6 @@ def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path) if first_existing(spark, [path]) else spark.createDataFrame([], schema)
 
 
-def read_folder(spark: SparkSession, path: str) -> DataFrame:
-    """Every CSV file of a tree, all columns strings, broken rows kept as far as they go."""
-    return spark.read.option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE").csv(path)
-
-
 def read_documents(spark: SparkSession, path: str, extract: Callable[[bytes], str] | None = None) -> DataFrame:
     """Files of a folder with their text: category by the file name's prefix, length, lines.  ``extract``
     turns a file's bytes into text (by default UTF-8 text)."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -65,18 +67,33 @@ def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def checkpoint(df: DataFrame, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Resume from ``path`` if it holds a table with the wanted columns; else write ``df`` there.  A
-    table of an older layout is made anew."""
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a table's columns and rows, in any order of the rows."""
+    plain = [F.to_json(F.struct(f"`{f.name}`")) if "map" in f.dataType.simpleString() or f.dataType.typeName() == "variant" else F.col(f"`{f.name}`") for f in df.schema.fields]
+    row = F.struct(F.xxhash64(F.lit(1), *plain).alias("a"), F.xxhash64(F.lit(2), *plain).alias("b"))
+    one = df.select(row.alias("r")).agg(F.count("*"), F.bit_xor("r.a"), F.sum(F.col("r.b").cast("decimal(20,0)"))).first()
+    return hashlib.sha256(repr((df.schema.simpleString(), *one)).encode()).hexdigest()
+
+
+def checkpoint(df: DataFrame, path: str, inputs: list[DataFrame] | None = None, parameters: dict | None = None) -> DataFrame:
+    """Resume from ``path`` if the table there was made from the same ``inputs`` with the same ``parameters`` and columns; else write ``df`` there.
+
+    A manifest beside the table (``path`` + ``.manifest``) holds the digests; it is written last, so a table whose writing was cut short is
+    made anew.  Inputs are read once to take their digest.  Without ``inputs`` the rows of ``df`` itself are taken, which is always
+    right but computes them: name the inputs where ``df`` is dear (model replies)."""
     spark = df.sparkSession
+    made_of = {"inputs": [fingerprint(x) for x in ([df] if inputs is None else inputs)], "parameters": parameters or {}, "columns": df.schema.simpleString()}
+    wanted = hashlib.sha256(json.dumps(made_of, sort_keys=True, default=str).encode()).hexdigest()
     try:
-        old = spark.read.parquet(path)
+        if spark.read.schema("digest string").json(f"{path}.manifest").first() == (wanted,):
+            return spark.read.schema(df.schema).parquet(path)
     except AnalysisException:
-        old = None
-    if old is not None and set(columns or df.columns) <= set(old.columns):
-        return old
+        pass  # there is no manifest
+    manifest = spark.createDataFrame([(wanted,)], "digest string").coalesce(1)
+    manifest.limit(0).write.mode("overwrite").json(f"{path}.manifest")  # none while the table is written
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    manifest.write.mode("overwrite").json(f"{path}.manifest")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
