@@ -10,27 +10,31 @@ all labelled texts of the language that are nearest to it.
 Defined cases: ``und`` and score 0 for a null text, a text without a letter, and any text if
 nothing was learned (no labelled row).  Rows with a null doc_id are never learned from.  Of centroids at
 the same distance the first counts, in the order of the language's name; repeated rows are predicted alike;
-a very long text is one vector, of all its letters.  Junk among the labels can't grow the model without
-bound: it holds the ``LANGUAGES`` most frequent values.
+a very long text is one vector, of all its letters; an empty table gives no row, and further columns are ignored.  Every value of ``lang`` is
+learned; centroids are kept sparse, and compared in blocks of ``BLOCK``, so that rare values cost little memory.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairforge.llm.common import broadcast_if_small, stage
+
 BUCKETS = 1 << 13
 CENTROIDS = 4
 #: Bound of the fitted sample: documents of all languages together.
 SAMPLE = 1600
-#: Bound of the learned languages: the values of ``lang`` with the most labelled texts.
-LANGUAGES = 400
+#: Texts of each language in the sample, however many languages there are (the bound is then this times their number).
+LEAST_TEXTS = 16
+#: Centroids that are compared at a time.
+BLOCK = 512
 #: A text is rejected below this share of the cosine that all but 1 % of a centroid's texts reach.
 REJECT = 0.5
 UNKNOWN = "und"
@@ -41,12 +45,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
+_table: list[np.ndarray] = []
+
+
 def _letters() -> np.ndarray:
-    """For each code point whether it is a letter; made once in a worker."""
-    held = sys.__dict__.setdefault("_worker_letters", [])
-    if not held:
-        held.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000))
-    return held[0]
+    """For each code point whether it is a letter; made once in a task."""
+    if not _table:
+        _table.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000))
+    return _table[0]
 
 
 def _groups(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -117,6 +123,46 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     return int(df[BUCKETS]), df[:BUCKETS]
 
 
+class Centroids:
+    """The centroids of a model in dense blocks; a single block, the usual case, is made once."""
+
+    def __init__(self, model: dict):
+        self.sparse = model["c"]
+        self.first = self._block(0)
+
+    def _block(self, lo: int) -> np.ndarray:
+        some = self.sparse[lo : lo + BLOCK]
+        out = np.zeros((len(some), BUCKETS), np.float32)
+        for row, (ids, values) in zip(out, some, strict=True):
+            row[ids] = values
+        return out
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        for lo in range(0, len(self.sparse), BLOCK):
+            yield lo, self._block(lo) if lo else self.first
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row the nearest centroid, the first of equal ones, and its cosine."""
+        best, cosine = np.zeros(len(x), np.int64), np.full(len(x), -np.inf, np.float32)
+        for lo, block in self.blocks():
+            cos = x @ block.T
+            at = np.argmax(cos, axis=1)
+            top = cos[np.arange(len(x)), at]
+            nearer = top > cosine
+            best[nearer], cosine[nearer] = at[nearer] + lo, top[nearer]
+        return best, cosine
+
+    def own(self, x: np.ndarray, of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, of the centroids ``of`` each row."""
+        best, cosine = np.zeros(len(x), np.int64), np.full(len(x), -np.inf, np.float32)
+        for i, mine in enumerate(of):
+            for k in mine.tolist():
+                ids, values = self.sparse[k]
+                if (c := np.float32(x[i, ids] @ values)) > cosine[i]:
+                    best[i], cosine[i] = k, c
+        return best, cosine
+
+
 def _least_cosines(rows: DataFrame, model: dict) -> dict[int, float]:
     """For each centroid the cosine that all but 1 % of the texts of ``rows`` reach whose language has
     it and to which no other one of the language is nearer."""
@@ -124,15 +170,18 @@ def _least_cosines(rows: DataFrame, model: dict) -> dict[int, float]:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        own = {k: np.flatnonzero(m["of"] == j) for j, k in enumerate(m["langs"])}
-        none = np.zeros(0, np.int64)
+        centroids = Centroids(m)
+        own: dict[str, list[int]] = {}
+        for k, j in enumerate(m["of"].tolist()):
+            own.setdefault(m["langs"][j], []).append(k)
+        own = {k: np.array(v) for k, v in own.items()}
         for batch in batches:
             langs = batch.column(1).to_pylist()
             for lo, counts, n_letters in _groups(batch.column(0).to_pylist()):
-                cos = _unit(_weights(counts) * m["idf"]) @ m["c"].T
-                at = [i for i in range(len(counts)) if n_letters[i] and len(own.get(langs[lo + i], none))]
-                best = [own[langs[lo + i]][np.argmax(cos[i, own[langs[lo + i]]])] for i in at]
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(best, np.int32)), pa.array(cos[at, best].astype(float) if at else np.zeros(0))], names=["centroid", "cos"])
+                at = [i for i in range(len(counts)) if n_letters[i] and langs[lo + i] in own]
+                x = _unit(_weights(counts[at]) * m["idf"]) if at else np.zeros((0, BUCKETS), np.float32)
+                best, cos = centroids.own(x, [own[langs[lo + i]] for i in at])
+                yield pa.RecordBatch.from_arrays([pa.array(best.astype(np.int32)), pa.array(cos.astype(float))], names=["centroid", "cos"])
 
     near = rows.select("text", "lang").mapInArrow(scan, "centroid int, cos double")
     return {r["centroid"]: r["least"] for r in near.groupBy("centroid").agg(F.percentile_approx("cos", 0.01, 10000).alias("least")).collect()}
@@ -142,14 +191,16 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
     """Learn from ``labelled`` (doc_id, text, lang).  The sample is bounded by ``sample`` rows in
     all, dealt evenly over the languages by the order of a hash of doc_id; it only gives the centroids."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    empty = {"langs": [], "of": np.zeros(0, np.int64), "c": np.zeros((0, BUCKETS), np.float32), "idf": np.ones(BUCKETS, np.float32), "least": np.zeros(0)}
-    if not sizes:
+    sizes = stage(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    n_langs = sizes.count()
+    empty = {"langs": [], "of": np.zeros(0, np.int64), "c": [], "idf": np.ones(BUCKETS, np.float32), "least": np.zeros(0)}
+    if not n_langs:
         return empty
-    each = max(1, sample // len(sizes))
-    share = F.create_map(*[v for k, n in sizes.items() for v in (F.lit(k), F.lit(min(1.0, 1.3 * each / n + 20 / n)))])
+    each = max(sample // n_langs, LEAST_TEXTS)
+    # thinned by a hash first, so that the texts of a language that are put in order are few
+    thin = sizes.select("lang", F.least(F.lit(1.0), 1.3 * each / F.col("n") + 20 / F.col("n")).alias("share"))
     order = F.xxhash64(F.lit("sample"), F.col("doc_id"))
-    picked = rows.withColumn("o", order).filter((F.col("o") / F.lit(2.0**64) + 0.5) < share[F.col("lang")]).select("o", "lang", "text")
+    picked = rows.withColumn("o", order).join(broadcast_if_small(thin, 100_000), "lang").filter((F.col("o") / F.lit(2.0**64) + 0.5) < F.col("share")).select("o", "lang", "text")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,30 +212,24 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
                 )
 
     lang_type = rows.schema["lang"].dataType.simpleString()
-    got = picked.mapInArrow(featurise, f"o long, lang {lang_type}, ids binary, counts binary").orderBy("o").limit(2 * sample + 40 * len(sizes)).collect()
+    features = picked.mapInArrow(featurise, f"o long, lang {lang_type}, ids binary, counts binary").filter(F.length("ids") > 0)
+    chosen = features.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("o", F.xxhash64("ids", "counts")))).filter(F.col("k") <= each)
     by: dict[str, list] = {}
-    for r in got:
-        if len(r["ids"]) and len(by.setdefault(r["lang"], [])) < each:
-            by[r["lang"]].append(r)
-    used = [r for k in sorted(by) for r in by[k]]
-    if not used:
+    for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["k"])):
+        by.setdefault(r["lang"], []).append(r)
+    if not by:
         return empty
-    counts = np.zeros((len(used), BUCKETS), dtype=np.int32)
-    for i, r in enumerate(used):
-        counts[i, np.frombuffer(r["ids"], np.int32)] = np.frombuffer(r["counts"], np.int32)
     n_texts, df = document_frequencies(rows)
     idf = (np.log((1 + n_texts) / (1 + df)) + 1).astype(np.float32)
-    x = _unit(_weights(counts) * idf)
-    langs, of, c, at = sorted(by), [], [], 0
+    langs, of, c = sorted(by), [], []
     for j, k in enumerate(langs):
-        own = x[at : at + len(by[k])]
-        at += len(own)
-        if not len(own):
-            continue
-        found, _ = _cluster(own, centroids)
+        counts = np.zeros((len(by[k]), BUCKETS), dtype=np.int32)
+        for row, r in zip(counts, by[k], strict=True):
+            row[np.frombuffer(r["ids"], np.int32)] = np.frombuffer(r["counts"], np.int32)
+        found, _ = _cluster(_unit(_weights(counts) * idf), centroids)
         of += [j] * len(found)
-        c += list(found)
-    model = {"langs": langs, "of": np.array(of), "c": np.stack(c).astype(np.float32), "idf": idf, "least": np.zeros(len(c))}
+        c += [((ids := np.flatnonzero(f)).astype(np.int32), f[ids].astype(np.float32)) for f in found]
+    model = {"langs": langs, "of": np.array(of), "c": c, "idf": idf, "least": np.zeros(len(c))}
     for m, least in _least_cosines(rows, model).items():
         model["least"][m] = REJECT * least
     return model
@@ -197,13 +242,13 @@ def predict(documents: DataFrame, model: dict) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
+        centroids = Centroids(m)
         for batch in batches:
             for lo, counts, n_letters in _groups(batch.column(1).to_pylist()):
                 n = len(counts)
                 if len(m["c"]):
-                    cos = _unit(_weights(counts) * m["idf"]) @ m["c"].T
-                    best = np.argmax(cos, axis=1)
-                    score = np.clip(cos[np.arange(n), best].astype(float), 0, 1)
+                    best, cos = centroids.nearest(_unit(_weights(counts) * m["idf"]))
+                    score = np.clip(cos.astype(float), 0, 1)
                     known = n_letters > 0
                     lang = [m["langs"][m["of"][b]] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
                     score, far = np.where(known, score, 0.0), ~known | (score < m["least"][best])

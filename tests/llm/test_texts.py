@@ -25,10 +25,21 @@ def test_language_id_statistics_cover_all_rows(spark):
     counts = np.concatenate([c for _, c, _ in language_id._groups([t for i, t, _ in rows if i is not None and t not in (None, "12")])])
     assert np.allclose(few["idf"], np.log(801 / (1 + (counts > 0).sum(axis=0))) + 1)
     x = language_id._unit(language_id._weights(np.concatenate([c for _, c, _ in language_id._groups([t for _, t, k in rows if k == "en"])])) * few["idf"])
-    cos = np.sort(x @ few["c"][few["langs"].index("en")])
+    ids, values = few["c"][few["langs"].index("en")]
+    cos = np.sort(x[:, ids] @ values)
     assert abs(few["least"][few["langs"].index("en")] - language_id.REJECT * cos[3]) < 1e-4
 
 
+def test_language_id_learns_every_label(spark):
+    """More labels than any bound of the sample: a label with a script of its own is predicted for its texts."""
+    rows = [(i, " ".join(chr(0x4E00 + 3 * (i % 700) + j) * 3 for j in range(3)), f"lang{i % 700}") for i in range(2800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, sample=50)
+    assert len(model["langs"]) == 700 and len(model["c"]) > language_id.BLOCK
+    got = language_id.predict(df, model).join(df.select("doc_id", "lang"), "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert got > 0.95
+
+
 def test_language_id_odd_rows(odd, none, spark):
     model = language_id.fit(odd.select("doc_id", "text", "lang"))
     got = language_id.predict(odd, model).collect()
