@@ -249,3 +249,47 @@ def test_chat_collapse(spark):
     assert got[3] == (3, "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nyo<|im_end|>\n<|im_start|>user\nmore<|im_end|>\n")
     assert got[4][1].count("<|im_end|>") == 2 and got[6][0] == 1 and got[7][1].index("a") < got[7][1].index("\nb")
     assert chat_formatting.format_conversations(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<form id="aspnetForm"><div><article><p>whole page</p></article></div></form>', ["whole page"]),
+        ("<form id=f><h1>Title</h1><p>" + "main text " * 20 + "</p><button>Go</button></form><p>x</p>", ["Title", "main text " * 19 + "main text", "x"]),
+        ("<p>the text of the page</p><form><p>sign up</p></form>", ["the text of the page"]),
+        ('<div class="content-with-sidebar"><p>main text</p></div>', ["main text"]),
+        ('<div class="banner-image-article"><article><p>t</p></article></div>', ["t"]),
+        ("<button>Subscribe</button><label>Name</label>", []),
+        ('<p>Body <span class="ad">Buy now</span> end</p>', ["Body end"]),
+        ('<p class="x"">Hello</p>', ["Hello"]),
+        ("<p title=it's>one</p><p>two it's three</p><p>four</p>", ["one", "two it's three", "four"]),
+        ('<p title="open>one</p><p>two</p>', ["one", "two"]),
+        ("a < b <p>c</p> d <", ["a < b", "c", "d <"]),
+        ("x<a href=1", ["x"]),
+        ("<p>a<!-- b -->c</p><!-- never", ["ac"]),
+        ("<script>x</script ><p>k</p><script>rest", ["k"]),
+        ("<article><div id=comments><article class='comment'><p>no</p></article></div><p>yes</p></article>", ["yes"]),
+        ("<aside><article><p>no</p></article></aside><p>yes</p>", ["yes"]),
+    ],
+)
+def test_html_odd_markup(page, want):
+    blocks, _ = site_style_tree._Parser().parse(page)
+    assert [text for _, text, noise, _ in blocks if noise > site_style_tree.DECLARED] == want
+
+
+def test_html_takes_a_time_that_grows_with_the_page():
+    import time
+
+    parser = site_style_tree._Parser()
+    began = time.process_time()
+    for part in ("<a ", '<a title="', '<a b=">"', '<p title="x>', "</script ", "<!--", "<", "<!x", "<a b='", "</a "):
+        parser.parse(part * (300_000 // len(part)))
+        parser.parse("<script>" + part * (300_000 // len(part)) + ">")
+    assert time.process_time() - began < 20
+
+
+def test_html_the_tree_alone_removes_a_template(spark):
+    """Pages without a telling name: what repeats on a host goes, by the tree, from every page."""
+    rows = [(k, f"http://h{k % 2}.example/{k}", f"<body><div><p>menu of the host {k % 2}</p></div><section><p>text {k} of its own {k * k}</p></section></body>") for k in range(40)]
+    got = {r.page_id: r.text for r in site_style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"text {k} of its own {k * k}" for k in range(40)}
