@@ -56,7 +56,7 @@ def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     sectors = companies.select("sector").union(opportunities.select("sector"))
     domain = opportunities.select(F.explode(static_tokens(F.concat_ws(" ", "sector", "requirement"))).alias("token"))
     vocab = stage(V.vocabulary(corpus, V.protected_terms(sectors, "sector"), domain), "vocabulary")
-    proof = V.evidence(V.evidence_terms(ctok, otok, vocab))
+    proof = V.shared_evidence(stage(ctok, "tokens"), stage(otok, "tokens"), vocab)
     keys = companies.select("cid").crossJoin(opportunities.select("oid"))
     pairs = keys.join(_cosines(companies, opportunities), ["cid", "oid"], "left").join(proof, ["cid", "oid"], "left")
     pairs = pairs.na.fill(0.0, ["profile", "product", "evidence_score"]).na.fill(0, ["n_terms"])

@@ -12,7 +12,7 @@ from pairforge.operators import assignment as G
 from pairforge.operators import matching_text as M
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
-from pairforge.plans.ranked_matches import ranked_matches, shared_terms
+from pairforge.plans.ranked_matches import evidence_of_pairs, ranked_matches, shared_terms
 from pairforge.queries.base import COMPANIES_SQL, LANGS, OPPORTUNITIES_SQL, VOCAB_CTE, companies, opportunities, pick, pp, sql_list, sql_map, sql_pick, sql_text, t
 
 S = SparkSession
@@ -45,7 +45,7 @@ def evidence_terms(s: S, d: str) -> DataFrame:
 
 
 def evidence_score(s: S, d: str) -> DataFrame:
-    return V.evidence(_terms(s, d)).select("cid", "oid", "n_terms", F.round("evidence_score", 6).alias("evidence_score"), F.array_join("terms", " ").alias("terms"))
+    return evidence_of_pairs(companies(s, d), opportunities(s, d)).select("cid", "oid", "n_terms", F.round("evidence_score", 6).alias("evidence_score"), F.array_join("terms", " ").alias("terms"))
 
 
 def g1_terms(s: S, d: str) -> DataFrame:
