@@ -47,11 +47,11 @@ def unanimous_share(df: DataFrame, votes: str) -> DataFrame:
 
 def exemplars(log: DataFrame, targets: DataFrame, keys: list[str], order: str, text: Column, most: int = 8) -> DataFrame:
     """(keys, exemplars): for each pair of ``targets`` the last ``most`` precedent lines of other pairs,
-    oldest first.  A pair's last line counts; its own is left out, so that it is judged on its own.
+    oldest first; of the same age in the order of their keys.  A pair's last line counts; its own is left out, so that it is judged on its own.
 
     Whatever the pair, its lines are among the last ``most`` + 1 of all: these few rows are broadcast."""
-    lines = latest(log, keys, order).select(F.struct(*keys).alias("_p"), F.struct(F.col(order).alias("o"), text.alias("t")).alias("_l"))
-    last = lines.orderBy(F.col("_l.o").desc()).limit(most + 1).agg(F.sort_array(F.collect_list(F.struct("_l", "_p"))).alias("_all"))
+    lines = latest(log, keys, order).select(F.struct(*keys).alias("_p"), F.struct(F.col(order).alias("o"), *keys, text.alias("t")).alias("_l"))
+    last = lines.orderBy(F.col("_l").desc()).limit(most + 1).agg(F.sort_array(F.collect_list(F.struct("_l", "_p"))).alias("_all"))
     out = targets.select(*keys).join(F.broadcast(last))  # one row
     others = F.filter("_all", lambda x: ~x["_p"].eqNullSafe(F.struct(*keys)))
     kept = F.slice(others, F.greatest(F.size(others) - most + 1, F.lit(1)), F.lit(most))
@@ -102,8 +102,8 @@ def abstentions(pairs: DataFrame, key: str, company: str, gate_ran: bool = True)
 # --- calibration ---------------------------------------------------------------------------------
 
 
-def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str, rubric: Column, current: DataFrame | None = None) -> DataFrame:
-    """(keys, final_score, y, weight): the last logged verdict of each pair, overridden by reviews.
+def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str, rubric: Column, current: DataFrame) -> DataFrame:
+    """(keys, final_score, y, weight): the last logged verdict of each pair, overridden by reviews.  ``current``: the scores of the pairs there are.
 
     A review of a pair that was never logged counts with its score in ``current`` (keys, final_score); a
     pair that is in neither no longer exists and is left out."""
@@ -112,8 +112,7 @@ def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str,
     pool = last.select(*keys, F.col("final_score").alias("s"), y.alias("y"), F.when(F.coalesce("rubric", F.lit("")) == rubric, 1.0).otherwise(dims.OLD_RUBRIC_WEIGHT).alias("w"))
     h = reviews.select(*keys, F.col("label").alias("h"))
     both = pool.join(h, keys, "full")
-    if current is not None:
-        both = both.join(current.select(*keys, F.col("final_score").alias("c")), keys, "left").withColumn("s", F.coalesce("s", "c"))
+    both = both.join(current.select(*keys, F.col("final_score").alias("c")), keys, "left").withColumn("s", F.coalesce("s", "c"))
     known = both.filter(F.col("s").isNotNull() | F.col("y").isNotNull())
     return known.select(*keys, F.col("s").alias("final_score"), F.coalesce("h", "y").alias("y"), F.when(F.col("h").isNotNull(), dims.HUMAN_LABEL_WEIGHT).otherwise(F.col("w")).alias("weight"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pairforge import dims
 from pairforge.functions.arrays import exactly_three, strip_fence, to_list
 from pairforge.functions.text import first_email, labelled, normalize_localization, normalize_terminology, parse_fit, safe_str, sector_label
+from pairforge.sources.stages import broadcast_if_small
 
 _TEXTS = "array<string>"
 
@@ -197,10 +198,16 @@ def export_fit(reply: Column) -> Column:
     return F.when(F.lower(v).startswith("error"), v).when(F.lower(v).isin("direct", "partial"), F.initcap(v)).otherwise("None")
 
 
-def closed_pick(reply: Column, allowed: DataFrame | list[str]) -> Column:
+def closed_pick(reply: Column, allowed: list[str]) -> Column:
     """A sector of the closed vocabulary, else UNKNOWN."""
-    labels = [r[0] for r in allowed.distinct().collect()] if isinstance(allowed, DataFrame) else allowed
-    return F.when(safe_str(reply).isin(labels), safe_str(reply)).otherwise("UNKNOWN")
+    return F.when(safe_str(reply).isin(allowed), safe_str(reply)).otherwise("UNKNOWN")
+
+
+def closed_picks(df: DataFrame, reply: str, allowed: DataFrame, name: str) -> DataFrame:
+    """``df`` with :func:`closed_pick` as ``name`` against a table of labels (label) of any size."""
+    labels = broadcast_if_small(allowed.select(F.col("label").alias("_label")).distinct())
+    out = df.withColumn("_reply", safe_str(F.col(reply))).join(labels, F.col("_reply") == F.col("_label"), "left")
+    return out.withColumn(name, F.coalesce("_label", F.lit("UNKNOWN"))).drop("_label", "_reply")
 
 
 def sector_inference(companies: DataFrame, cache: DataFrame, allowed: list[str]) -> DataFrame:

@@ -95,7 +95,7 @@ def calibration(s: S, d: str) -> DataFrame:
     log = _log(s, d).drop("o").withColumn("o", F.struct("ts", "event_id"))
     keys = ["user_id", "event_type"]
     reviews = log.filter("event_id % 50 = 0").groupBy(*keys).agg(F.max((F.col("decision") == "Direct").cast("int")).alias("label"))
-    pool = B.label_pool(log, reviews, keys, "o", F.lit("r1"))
+    pool = B.label_pool(log, reviews, keys, "o", F.lit("r1"), log.groupBy(*keys).agg(F.max("final_score").alias("final_score")))
     return B.calibrate(pool, R.latest(log, keys, "o").select(*keys, "final_score"))
 
 

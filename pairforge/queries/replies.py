@@ -174,7 +174,8 @@ def export_fit(s: S, d: str) -> DataFrame:
 
 
 def closed_pick(s: S, d: str) -> DataFrame:
-    return _cust(s, d).select("c_custkey", P.closed_pick(pick(SECTOR_REPLIES, F.col("k")), ["Mining", "MedTech"]).alias("sector"))
+    labels = s.createDataFrame([("Mining",), ("MedTech",)], "label string")
+    return P.closed_picks(_cust(s, d).select("c_custkey", pick(SECTOR_REPLIES, F.col("k")).alias("reply")), "reply", labels, "sector").select("c_custkey", "sector")
 
 
 def sector_inference(s: S, d: str) -> DataFrame:
