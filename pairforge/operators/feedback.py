@@ -117,20 +117,33 @@ def label_pool(log: DataFrame, reviews: DataFrame, keys: list[str], order: str,
     return known.select(*keys, F.col("s").alias("final_score"), F.coalesce("h", "y").alias("y"), F.when(F.col("h").isNotNull(), dims.HUMAN_LABEL_WEIGHT).otherwise(F.col("w")).alias("weight"))
 
 
-def calibrate(pool: DataFrame, scored: DataFrame, score: str = "final_score") -> DataFrame:
-    """``scored`` with match_probability from a regularised logistic fit; null if the pool is too small
-    (30 pairs, 8 of each class)."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    n, pos, total = pool.agg(F.count("*"), F.sum("y"), F.sum("weight")).first()
+#: Newton steps of the fit, and how far one step may move a number.
+NEWTON_STEPS, LONGEST_STEP = 15, 4.0
+
+
+def newton_step(points: DataFrame, a: float, b: float) -> tuple[float, float]:
+    """One Newton step from intercept ``a`` and slope ``b`` of the weighted logistic loss with half the squared slope as penalty: gradient and
+    Hessian are five sums over ``points`` (x, y, w)."""
+    p = 1 / (1 + F.exp(-(a + b * F.col("x"))))
+    d, h, x = F.col("w") * (p - F.col("y")), F.col("w") * p * (1 - p), F.col("x")
+    g0, g1, h0, h1, h2 = points.agg(F.sum(d), F.sum(d * x), F.sum(h), F.sum(h * x), F.sum(h * x * x)).first()
+    g1, h2 = g1 + b, h2 + 1
+    det = max(h0 * h2 - h1 * h1, 1e-12)
+    step = ((h2 * g0 - h1 * g1) / det, (h0 * g1 - h1 * g0) / det)
+    return tuple(v - min(max(s, -LONGEST_STEP), LONGEST_STEP) for v, s in zip((a, b), step, strict=True))
+
+
+def calibrate(pool: DataFrame, scored: DataFrame, score: str = "final_score", steps: int = NEWTON_STEPS) -> DataFrame:
+    """``scored`` with match_probability from a regularised logistic fit by Newton steps; null if the pool is too small
+    (30 pairs, 8 of each class).  Each step is one aggregation; equal scores of a class are added up before."""
+    n, pos = pool.agg(F.count("*"), F.sum("y")).first()
     if n < 30 or pos < 8 or n - pos < 8:
         return scored.withColumn("match_probability", F.lit(None).cast("double"))
-    features = VectorAssembler(inputCols=[score], outputCol="_x")
-    fit = LogisticRegression(featuresCol="_x", labelCol="y", weightCol="weight", regParam=1.0 / total, standardization=False, maxIter=200, tol=1e-10, probabilityCol="_p", predictionCol="_y", rawPredictionCol="_r")
-    model = fit.fit(features.transform(pool.withColumnRenamed("final_score", score)))
-    return model.transform(features.transform(scored)).withColumn("match_probability", F.round(vector_to_array("_p")[1], 3)).drop("_x", "_p", "_y", "_r")
+    points = stage(pool.filter(F.col("final_score").isNotNull() & F.col("y").isNotNull()).groupBy(F.col("final_score").alias("x"), "y").agg(F.sum("weight").alias("w")), "points")
+    a = b = 0.0
+    for _ in range(steps):
+        a, b = newton_step(points, a, b)
+    return scored.withColumn("match_probability", F.round(1 / (1 + F.exp(-(a + b * F.col(score)))), 3))
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:

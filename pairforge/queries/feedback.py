@@ -252,6 +252,18 @@ SQL = {
       SELECT oid, CASE WHEN NOT q THEN 'No qualified candidate' ELSE 'No validated fit (no Direct or Partial)' END AS status, CASE WHEN NOT q THEN ab ELSE gb END AS best_candidate FROM g WHERE NOT q OR (g AND NOT v)""",
     "auc": """WITH s AS (SELECT (n_chars % 997) / 997.0::DOUBLE AS x, quality AS y FROM documents JOIN labels USING (doc_id))
       SELECT round(sum(CASE WHEN a.x > b.x THEN 1.0 WHEN a.x = b.x THEN 0.5 ELSE 0.0 END)::DOUBLE / count(*), 6) AS auc FROM s a JOIN s b ON a.y = 1 AND b.y = 0""",
+    "calibration": f"""WITH RECURSIVE {_LOG}, la AS (SELECT * FROM (SELECT *, {_last} AS r FROM lg) WHERE r = 1), rv AS (SELECT user_id, event_type, max((decision = 'Direct')::INT) AS h FROM lg WHERE event_id % 50 = 0 GROUP BY ALL),
+      pool AS (SELECT la.final_score AS x, coalesce(h, (decision IN ('Direct', 'Partial', 'Yes'))::INT) AS y, (CASE WHEN h IS NOT NULL THEN 3.0 WHEN rubric = 'r1' THEN 1.0 ELSE 0.6 END)::DOUBLE AS w FROM la LEFT JOIN rv USING (user_id, event_type)),
+      points AS (SELECT x, y, sum(w) AS w FROM pool GROUP BY x, y),
+      steps AS (
+        SELECT 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b
+        UNION ALL
+        SELECT k + 1, a - least(greatest((h2 * g0 - h1 * g1) / det, -{B.LONGEST_STEP}), {B.LONGEST_STEP}), b - least(greatest((h0 * g1 - h1 * g0) / det, -{B.LONGEST_STEP}), {B.LONGEST_STEP})
+        FROM (SELECT *, greatest(h0 * h2 - h1 * h1, 1e-12) AS det FROM (
+          SELECT k, a, b, sum(d) AS g0, sum(d * x) + b AS g1, sum(h) AS h0, sum(h * x) AS h1, sum(h * x * x) + 1 AS h2
+          FROM (SELECT k, a, b, x, w * (p - y) AS d, w * p * (1 - p) AS h FROM (SELECT *, 1 / (1 + exp(-(a + b * x))) AS p FROM steps, points WHERE k < {B.NEWTON_STEPS})) GROUP BY k, a, b)))
+      SELECT user_id, event_type, final_score, CASE WHEN (SELECT count(*) >= 30 AND sum(y) >= 8 AND count(*) - sum(y) >= 8 FROM pool) THEN round(1 / (1 + exp(-(a + b * final_score))), 3) END AS match_probability
+      FROM la, steps WHERE k = {B.NEWTON_STEPS}""",
     "label_pool": f"""WITH {_POOL}, bo AS (SELECT *, coalesce(final_score, c) AS s FROM (SELECT * FROM la FULL JOIN rv USING (user_id, event_type)) LEFT JOIN cu USING (user_id, event_type))
       SELECT user_id, event_type, s AS final_score, coalesce(h, (decision IN ('Direct', 'Partial', 'Yes'))::INT) AS y, (CASE WHEN h IS NOT NULL THEN 3.0 WHEN rubric = 'r1' THEN 1.0 ELSE 0.6 END)::DOUBLE AS weight FROM bo WHERE s IS NOT NULL""",
     "diagnostics": f"""WITH p AS (SELECT *, {_rq} AS ro, verdict IN ('Direct', 'Yes') AS direct FROM ({PAIRS_SQL})), c AS (SELECT cid, count(*) AS n FROM p WHERE ro <= 3 GROUP BY cid)
