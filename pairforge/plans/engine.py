@@ -6,7 +6,7 @@ the operators.  The scored pair table is staged once and serves all views.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,11 +44,26 @@ def _semantic(pairs: DataFrame, names: list[str]) -> DataFrame:
     return p.withColumns(blend).drop(*[f"_{k}_{n}" for k in "mxpq" for n in names])
 
 
-def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
+def embedded_cosines(companies: DataFrame, opportunities: DataFrame, share: float = dims.EMBED_FOCUS_BLEND) -> DataFrame:
+    """(cid, oid, profile, product) of every pair, from vectors in which the full text and the focused one are mixed.
+
+    ``companies``: (cid, profile, profile_focused, product, product_focused); ``opportunities``: (oid, requirement,
+    requirement_focused), arrays of doubles.  Both cosines come from one product of blocks; no vector counts as 0."""
+    def mixed(full: str) -> Column:
+        return Z.blended(F.col(full), F.col(f"{full}_focused"), share)
+
+    a = companies.select("cid", mixed("profile").alias("a"), mixed("product").alias("p"))
+    b = opportunities.select("oid", mixed("requirement").alias("b"))
+    found = Z.dense_cosines(a, b, {"profile": "a", "product": "p"})
+    return found.withColumns({n: Z.clipped_cosine(F.col(n)) for n in ("profile", "product")})
+
+
+def score_pairs(companies: DataFrame, opportunities: DataFrame, vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Every pair with cosines, percentiles, sector score, evidence, qualification, final score and label.
 
     ``companies``: (cid, name, sector, combined, products); ``opportunities``: (oid, title, sector, requirement).
-    All pairs are the result (each gets a percentile); texts are read before pairs are formed.
+    ``vectors``: the two tables of :func:`embedded_cosines`, a row for each company and opportunity; without them cosines are those of TF-IDF
+    vectors.  All pairs are the result (each gets a percentile); texts are read before pairs are formed.
     """
     corpus = _keyed("c", companies, "cid", "combined").union(_keyed("p", companies, "cid", "products")).union(_keyed("o", opportunities, "oid", "requirement"))
     ctok = companies.select("cid", F.explode(static_tokens(F.concat_ws(" ", "combined", "products"))).alias("token"))
@@ -57,8 +72,12 @@ def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     domain = opportunities.select(F.explode(static_tokens(F.concat_ws(" ", "sector", "requirement"))).alias("token"))
     vocab = stage(V.vocabulary(corpus, V.protected_terms(sectors, "sector"), domain), "vocabulary")
     proof = V.shared_evidence(stage(ctok, "tokens"), stage(otok, "tokens"), vocab)
-    keys = companies.select("cid").crossJoin(opportunities.select("oid"))
-    pairs = keys.join(_cosines(companies, opportunities), ["cid", "oid"], "left").join(proof, ["cid", "oid"], "left")
+    if vectors is None:
+        keys = companies.select("cid").crossJoin(opportunities.select("oid"))
+        pairs = keys.join(_cosines(companies, opportunities), ["cid", "oid"], "left")
+    else:
+        pairs = embedded_cosines(*vectors)  # every pair
+    pairs = pairs.join(proof, ["cid", "oid"], "left")
     pairs = pairs.na.fill(0.0, ["profile", "product", "evidence_score"]).na.fill(0, ["n_terms"])
     pairs = _semantic(stage(pairs, "pairs"), ["profile", "product"])
     # a sector score depends on the two labels and the company's capability words
@@ -79,10 +98,15 @@ def score_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     return stage(p, "scored")
 
 
-def run_calibrated(companies: DataFrame, opportunities: DataFrame, votes: DataFrame | None = None, reviews: DataFrame | None = None, top: int = 3) -> dict[str, DataFrame]:
+def run_calibrated(
+    companies: DataFrame, opportunities: DataFrame, votes: DataFrame | None = None, reviews: DataFrame | None = None, top: int = 3,
+    log: DataFrame | None = None, rubric: str = "", order: str = "ts", needs: DataFrame | None = None, cover: DataFrame | None = None, vectors: tuple[DataFrame, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
     """The views of the calibrated engine.  ``votes``: (cid, oid, round, fit, confidence, explanation);
-    ``reviews``: (cid, oid, label)."""
-    p = score_pairs(companies, opportunities)
+    ``reviews``: (cid, oid, label); ``log``: earlier verdicts (cid, oid, ``order``, decision, rubric, final_score), from which, and from the
+    reviews, match probabilities are calibrated; ``needs`` and ``cover``: the tables of a consortium (by oid); ``vectors``: see :func:`score_pairs`."""
+    spark = companies.sparkSession
+    p = score_pairs(companies, opportunities, vectors)
     if votes is not None:
         sent = p.filter(F.col("qualified") & (F.col("rank_for_opportunity") <= top)).select("cid", "oid", F.struct("cid", "oid").alias("pair"))
         v = B.majority(B.counted_votes(sent.join(votes, ["cid", "oid"]), "pair"), "pair").select("pair.*", F.col("fit").alias("verdict"), "confidence", "agreement", "explanation")
@@ -93,13 +117,25 @@ def run_calibrated(companies: DataFrame, opportunities: DataFrame, votes: DataFr
     capped = F.when(F.lit(votes is not None) & F.col("qualified") & F.col("verdict").isNull() & F.col("label").isin("Good Fit", "High Fit"), "Review Needed").otherwise(F.col("label"))
     p = p.withColumn("label", label).withColumn("ai_decision", capped).drop("label")
     p = p.withColumn("validated_fit", F.coalesce(F.col("verdict").isin("Direct", "Partial", "Yes"), F.lit(False)))
-    human = reviews.select("cid", "oid", F.col("label").alias("human")) if reviews is not None else companies.sparkSession.createDataFrame([], "cid long, oid long, human int")
-    p = stage(B.human_overrides(p.join(human, ["cid", "oid"], "left")), "decided")
+    keys = ["cid", "oid"]
+    if reviews is None:
+        reviews = spark.createDataFrame([], "cid long, oid long, label int")
+    p = stage(B.human_overrides(p.join(reviews.select(*keys, F.col("label").alias("human")), keys, "left")), "decided")
+    if log is None:
+        log = spark.createDataFrame([], f"cid long, oid long, {order} string, decision string, rubric string, final_score double")
+    p = stage(B.calibrate(B.label_pool(log, reviews, keys, order, F.lit(rubric), p.select(*keys, "final_score")), p), "calibrated")
+    away = B.abstentions(p, "oid", "cid", votes is not None)
+    ready = B.consortium(needs, cover, "oid") if needs is not None and cover is not None else spark.createDataFrame([], "oid long, status string, need string, source_quote string, covered_by string, why string, gap string")
+    flips = B.verdict_flips(p, log, keys, order, F.lit(rubric))
+    known = {"analyst_labels": F.lit(reviews.count()), "verdict_flips": F.lit(flips.count()), "calibrated": F.lit(p.filter("match_probability IS NOT NULL").limit(1).count() > 0)}
     return {
         "All_Pairs": p,
         "Opportunity_View": p.filter(F.col("qualified") & (F.col("rank_for_opportunity") <= max(top, 5))),
         "Company_View": p.filter(F.col("qualified") & (F.col("rank_for_company") <= 3)),
-        "Abstentions": B.abstentions(p, "oid", "cid", votes is not None),
+        "Abstentions": away,
+        "Consortium_View": ready,
+        "Verdict_Changes": flips,
+        "Diagnostics": B.diagnostics(p.withColumnRenamed("profile", "raw_profile_cosine"), companies.count(), away, ready, "oid", known),
     }
 
 

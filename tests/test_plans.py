@@ -36,6 +36,28 @@ def test_calibrated_engine(spark, sides):
     assert plain["Abstentions"].filter("status LIKE 'No validated%'").count() == 0
 
 
+def test_calibrated_engine_with_vectors_log_and_consortium(spark, sides):
+    c, o = sides
+    firm = lambda k: [float(k == j) + 0.1 for j in range(3)]
+    a = spark.createDataFrame([(k, firm(k % 3), firm(k % 3), firm(k % 3), None if k == 3 else firm(0)) for k in range(1, 5)], "cid long, profile array<double>, profile_focused array<double>, product array<double>, product_focused array<double>")
+    b = spark.createDataFrame([(10, firm(2), firm(2)), (11, firm(1), firm(0))], "oid long, requirement array<double>, requirement_focused array<double>")
+    votes = spark.createDataFrame([(2, 10, r, "Direct", 0.9, "fits") for r in range(3)], "cid long, oid long, round int, fit string, confidence double, explanation string")
+    log = spark.createDataFrame([(2, 10, "t1", "No", "r0", 0.5)] + [(100 + k, 10, "t0", "Direct" if k > 20 or k % 5 == 0 else "No", "r1", k / 40) for k in range(40)], "cid long, oid long, ts string, decision string, rubric string, final_score double")
+    needs = spark.createDataFrame([(10, k, f"need {k}", "q") for k in range(3)], "oid long, seq int, capability string, quote string")
+    cover = spark.createDataFrame([(10, 0, "need 1 and more", [("Beta", "near")])], "oid long, pos int, need string, companies array<struct<name:string,why:string>>")
+    views = engine.run_calibrated(c, o, votes, None, 3, log, "r1", "ts", needs, cover, (a, b))
+    rows = {(r.cid, r.oid): r for r in views["All_Pairs"].collect()}
+    assert len(rows) == 8 and rows[2, 10].profile == pytest.approx(1) and rows[3, 10].product == 0
+    share = rows[1, 11].profile  # firm 1 against a mix of 1 and 0
+    assert 0.5 < share < 1 and share > rows[2, 11].profile
+    assert all(0 < r.match_probability < 1 for r in rows.values())
+    flips = [(r.cid, r.oid, r.previous_verdict, r.rubric_changed, r.new_verdict) for r in views["Verdict_Changes"].collect()]
+    assert flips == ([(2, 10, "No", "yes", "Direct")] if rows[2, 10].verdict == "Direct" else [])
+    assert sorted((r.need, r.gap) for r in views["Consortium_View"].collect()) == [("need 0", "GAP"), ("need 1", ""), ("need 2", "GAP")]
+    d = views["Diagnostics"].first()
+    assert (d.pairs_total, d.companies_total, d.consortium_ready_opportunities, d.verdict_flips, d.calibrated) == (8, 4, 1, len(flips), True)
+
+
 def test_taxonomy_engine(spark, sides):
     c, o = sides
     pairs = c.select("cid").crossJoin(o.select("oid")).withColumns({"sem_profile": F.lit(0.9), "sem_product": F.lit(0.9)})
