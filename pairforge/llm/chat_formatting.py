@@ -9,7 +9,7 @@ Defined cases: turns are ordered by ``turn`` (nulls first), then role and text;
 once; a null role or text is empty; rows with a null conv_id belong to no conversation and
 are left out; template marks inside a text are taken apart by a zero-width space, so that a text
 cannot open or close a turn.  Texts of any length are hashed whole; a conversation of very many turns is
-one row of the result, and its hashes are rows of their own.
+one row of the result, and its hashes are rows of their own; an empty table gives no row; further columns are ignored.
 """
 
 from __future__ import annotations

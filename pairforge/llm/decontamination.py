@@ -14,7 +14,7 @@ Defined cases: items with a null id or without words never occur; a row's postin
 hash of its id and text, so rows that share a doc_id, or whose doc_id is null, are judged each by its own
 text, and repeated rows alike; items that repeat one text all count; where several places of a window
 lie within the slop, all are reported.  A very long text is one row whose words are one array; its postings
-are rows.  Columns of the documents pass through, except for those named like a result of :func:`match`.
+are rows; an empty table of documents gives no row, one of items no hit.  Columns of the documents pass through, except for those named like a result of :func:`match`.
 
 The index is a stage table.  Test terms and windows are broadcast only below a counted number of
 rows; beyond it both sides are shuffled.

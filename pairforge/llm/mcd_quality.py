@@ -23,7 +23,7 @@ Rates are smoothed so that a short text's noise is not taken for an outlier: its
 
 Defined cases: null texts have no words and fail; null languages and sources are groups of their
 own; repeated rows count as often as they are there, and ties of the distance all stay; a very long text
-is one row of statistics; sources with fewer than ``LEAST_GROUP`` usable texts in a language are estimated together, and
+is one row of statistics; an empty table gives no row; sources with fewer than ``LEAST_GROUP`` usable texts in a language are estimated together, and
 where even that is too few, nothing is rejected.  In most groups three quarters of the texts have no
 symbol, repeated line or passage at all, and the covariance is singular; ``FLOOR`` is added to each
 axis.  For counts it is such that one symbol or repeated line alone never rejects a text of usual word

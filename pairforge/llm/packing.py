@@ -12,7 +12,8 @@ ids of each different word are kept: a word is tokenized once in a while, not ea
 see differently are tokenized whole.
 
 Defined cases: null text is empty and gives the end id alone; repeated rows and rows that share a
-doc_id are packed each for itself; an empty table gives no piece.
+doc_id are packed each for itself; an empty table gives no piece; a very long text is tokenized whole; columns other than ``doc_id`` and ``text`` are
+not carried, so none can clash.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ ratios that do not depend on the language.
 
 Defined cases: null and empty texts have all statistics zero and get a score like any other;
 rows with a null doc_id or label are not learned from; if the labelled sample is empty or holds
-one class only, the score is the share of label 1 (0.5 if there is none).  Columns of the input
+one class only, the score is the share of label 1 (0.5 if there is none); repeated rows get one score; a very long
+text is one row of statistics; an empty table gives no row.  Columns of the input
 pass through; those named like a statistic or ``score`` are replaced.
 """
 

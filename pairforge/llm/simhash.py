@@ -248,6 +248,7 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, most: int = MOST
     Defined cases: a null text is empty and has fingerprint zero, as do all texts without words.
     Rows with a null doc_id take part in no group: their component_id is the least doc_id with
     the same fingerprint's component, or null.  Repeated rows come out as often as they went in.
+    A very long text is hashed as a whole; an empty table gives no row; columns other than ``doc_id`` and ``text`` are not carried.
     """
     from pairforge.llm.components import components
 

@@ -1,17 +1,17 @@
-"""Substring dedup by De Bruijn compaction over word windows.
+"""Substring dedup over word windows, compacted like the paths of a De Bruijn graph.
 
-Edges of the graph are the k-word windows (k = 50) of all documents, its nodes their shared
-(k-1)-word overlaps.  Edges that follow each other and own one minimiser are compacted into a path
-at once (:mod:`pairforge.llm.spans`); a path through an unbranched minimiser is kept whole.  Joins
-on (minimiser, path) find for each path its least document; where different paths meet at one
-minimiser, they are taken apart into single edges and the edges compared.  The source coordinates
-(doc_id, first window, number of windows) then give the long repeated spans of each document.
+The windows of k words (k = 50) of all documents would be the edges of a De Bruijn graph.  No table of edges with node degrees is made, since it
+would have a row for each window; what stands for the graph's nonbranching paths is cut inside each document (:mod:`pairforge.llm.spans`):
+windows that follow each other and own one minimiser are a run, and runs are cut into chains by content.  Joins on (minimiser, content hash) find
+the least document of each chain, then of the runs of chains that don't repeat whole; where different runs meet at one minimiser they are taken
+apart into single windows.  Equal content means two equal 64-bit hashes; the text at the source is not compared again.  README.md says why.
 
 A word goes if a window that covers it also starts in a document with a smaller doc_id.
 
 Defined cases: null text has no words; documents of fewer words than a window lose none; a null
 doc_id is neither smaller nor larger than another, so its rows lose nothing and take nothing; rows
-with one doc_id take nothing from each other; repeated rows come out as often as they went in.
+with one doc_id take nothing from each other; repeated rows come out as often as they went in;
+a very long text is searched in overlapping parts, with the result of the whole; an empty table gives no row.
 Columns of the input other than ``doc_id`` and ``text`` pass through unchanged, except for those
 named like a result column, which the result replaces.
 """

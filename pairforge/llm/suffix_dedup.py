@@ -16,7 +16,7 @@ hash instead, which Spark can split over tasks.
 
 Defined cases: null text is empty; a null doc_id is a document like any other; a row that occurs
 twice repeats all of its strings of 400 bytes; a very long text is searched in overlapping parts, with
-the result of the whole.  Columns other than ``doc_id`` and ``text`` pass through, except for those named
+the result of the whole; an empty table gives no row.  Columns other than ``doc_id`` and ``text`` pass through, except for those named
 like a result column.
 """
 
