@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next stage's ``docs``.  All but the last return the columns of ``documents``.
+
+Defined cases are those of the operators: null and empty texts are scored, linked and packed like any other; rows that share a
+doc_id are one document and stay or go together; very long texts are taken whole by each stage; an empty table gives no row; columns named like an operator's
+results are set aside while it works.
 """
 
 from __future__ import annotations
