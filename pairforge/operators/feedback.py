@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.text import preprocess, quote_in_text, report_clean, safe_str
+from pairforge.operators.containment import either_way
 from pairforge.operators.ranking import latest, order_first_with_matches
 from pairforge.operators.ranks import quantiles as exact_quantiles
 from pairforge.operators.scoring import report_confidence, report_role
@@ -180,8 +181,12 @@ def consortium(needs: DataFrame, cover: DataFrame, key: str, least: int = 3) ->
     ready = needs.join(sizes.filter(F.col("n") >= least), key).withColumn("_nc", preprocess(F.col("capability")))
     c = cover.select(F.col(key).alias("_k"), "pos", preprocess(F.col("need")).alias("_c"), "companies").filter("_c <> ''")
     c = c.groupBy("_k", "_c").agg(F.min("pos").alias("pos"), F.max_by("companies", "pos").alias("companies"))
-    met = (F.col(key) == F.col("_k")) & (F.contains(F.col("_c"), F.col("_nc")) | F.contains(F.col("_nc"), F.col("_c")))
-    first = ready.join(c, met, "left").groupBy(key, "seq", "capability", "quote").agg(F.min_by("companies", "pos").alias("companies"))
+    # each different wording of a need is looked up once; one without a word is in every entry
+    words = ready.select(F.col(key).alias("_k"), "_nc").distinct()
+    met = either_way(words, "_nc", c, "_c", ["_k"]).join(c, ["_k", "_c"])
+    met = met.select("_k", "_nc", "pos", "companies").union(words.filter("_nc = ''").join(c, "_k").select("_k", "_nc", "pos", "companies"))
+    entry = met.groupBy(F.col("_k").alias(key), "_nc").agg(F.min_by("companies", "pos").alias("companies"))
+    first = ready.join(entry, [key, "_nc"], "left")
     names = F.array_join(F.transform("companies", lambda x: x["name"]), ", ")
     whys = F.array_join(F.transform("companies", lambda x: F.concat(x["name"], F.lit(": "), F.coalesce(x["why"], F.lit("")))), " | ")
     gap = F.when(F.coalesce(F.size("companies"), F.lit(0)) < 1, "GAP").otherwise("")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.text import canonical_sector, first_email, normalize_key
-from pairforge.sources.stages import broadcast_if_small
+from pairforge.operators import containment as C
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the stemmer runs on workers without this package
 
@@ -120,19 +120,19 @@ def keyword_hits(pairs: DataFrame, phrases: str, corpus: str, name: str = "hits"
 
 def adjacent_label(raw: DataFrame, allowed: DataFrame) -> DataFrame:
     """(id, raw, resolved): a phrase as a label of the closed vocabulary ``allowed`` (label): equal, equal
-    but for case if unique, by alias, or a unique substring either way from six characters on."""
+    but for case if unique, by alias, or a unique substring either way from six characters on.  Each different phrase is resolved once."""
     aliases = F.create_map(*[F.lit(x) for kv in dims.ADJACENT_ALIASES.items() for x in kv])
-    r = raw.withColumns({"s": F.trim(F.coalesce("raw", F.lit("")))}).withColumn("low", F.lower("s")).withColumn("alias", F.try_element_at(aliases, F.col("low")))
-    low = F.lower("label")
-    close = (F.length("low") >= 6) & (F.contains(low, F.col("low")) | F.contains(F.col("low"), low))
-    met = r.join(broadcast_if_small(allowed), (F.col("s") != "") & ((F.col("s") == F.col("label")) | (F.col("low") == low) | (F.col("alias") == F.col("label")) | close), "left")
-    g = met.groupBy("id", "raw").agg(
-        F.max(F.when(F.col("s") == F.col("label"), F.col("label"))).alias("e"),
-        F.count_if(F.col("low") == low).alias("nc"), F.max(F.when(F.col("low") == low, F.col("label"))).alias("c"),
-        F.max(F.when(F.col("alias") == F.col("label"), F.col("label"))).alias("a"),
-        F.count_if(close).alias("ns"), F.max(F.when(close, F.col("label"))).alias("u"),
-    )
-    return g.select("id", "raw", F.coalesce("e", F.when(F.col("nc") == 1, F.col("c")), "a", F.when(F.col("ns") == 1, F.col("u"))).alias("resolved"))
+    asked = raw.select("id", "raw").distinct()
+    r = asked.select("raw", F.trim("raw").alias("s")).filter("s <> ''").distinct().withColumn("low", F.lower("s")).withColumn("alias", F.try_element_at(aliases, F.col("low")))
+    labels = allowed.select("label").distinct()
+    # labels that differ in case only are one text with several labels
+    texts = allowed.filter("label <> ''").groupBy(F.lower("label").alias("text")).agg(F.count("*").alias("n"), F.max("label").alias("top"))
+    close = C.either_way(r.filter(F.length("low") >= 6), "low", texts, "text").join(texts, "text")
+    close = close.groupBy("low").agg(F.sum("n").alias("_ns"), F.max("top").alias("_u"))
+    found = r.join(labels.withColumn("_e", F.col("label")).withColumnRenamed("label", "s"), "s", "left").join(texts.withColumnRenamed("text", "low"), "low", "left")
+    found = found.join(labels.withColumn("_a", F.col("label")).withColumnRenamed("label", "alias"), "alias", "left").join(close, "low", "left")
+    named = found.select("raw", F.coalesce("_e", F.when(F.col("n") == 1, F.col("top")), "_a", F.when(F.col("_ns") == 1, F.col("_u"))).alias("resolved"))
+    return asked.join(named, "raw", "left").select("id", "raw", "resolved")
 
 
 def ontology_bag(sector: Column, entry: Column) -> Column:

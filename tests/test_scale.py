@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pairforge.operators import containment, feedback, matching_text
 from pairforge.operators import vocabulary as V
 from pairforge.operators.assignment import assigned, emails_from_persons
 from pairforge.operators.blocked import grid, products
@@ -152,3 +153,33 @@ def test_checkpoints_follow_their_inputs(spark, tmp_path):
     assert made(other, [three], {"model": "x"}) != first
     assert len(made(nine.withColumn("b", F.rand(3)), [nine], {"model": "x"})) == 9
     assert made(three.withColumn("c", F.lit(1)), [three]) == [(k, 1) for k in range(3)]
+
+
+def test_containment_equals_brute_force(spark):
+    rng = random.Random(5)
+    text = lambda most: "".join(rng.choice("abé𝒳 ") for _ in range(rng.randint(0, most)))
+    longs = [(rng.randint(0, 2), text(9)) for _ in range(150)] + [(0, None), (1, "a" * 5000 + "b")] * 2
+    shorts = [(rng.randint(0, 2), text(4)) for _ in range(120)] + [(1, "aab"), (1, "a" * 4000), (2, None)]
+    a, b = spark.createDataFrame(longs, "k int, x string"), spark.createDataFrame(shorts, "k int, y string")
+    got = sorted((r.k, r.x, r.y) for r in containment.contained(a, "x", b, "y", ["k"]).collect())
+    assert got == sorted({(k, x, y) for k, x in longs for j, y in shorts if k == j and x and y and y in x}) and len(got) > 300
+    both = sorted((r.x, r.y) for r in containment.either_way(a, "x", b, "y").collect())
+    assert both == sorted({(x, y) for _, x in longs for _, y in shorts if x and y and (y in x or x in y)})
+    none = containment.contained(a.limit(0), "x", b, "y")
+    assert none.columns == ["x", "y"] and none.count() == 0
+
+
+def test_labels_and_needs_without_a_nested_loop(spark):
+    labels = [(f"Sector number {k} of many",) for k in range(3000)] + [("Plain",), ("plain",), ("Twin label",), ("twin label",)]
+    raw = [(1, "sector NUMBER 17 of many"), (2, "number 2999"), (3, "number 299"), (4, "PLAIN"), (5, "plain"), (6, "a plain thing"), (7, None), (8, ""), (9, "about sector number 5 of many more"), (10, " sector number 8 of many "), (10, " sector number 8 of many ")]
+    out = matching_text.adjacent_label(spark.createDataFrame(raw, "id long, raw string"), spark.createDataFrame(labels, "label string"))
+    assert {r.id: r.resolved for r in out.collect()} == {1: labels[17][0], 2: labels[2999][0], 3: None, 4: None, 5: "plain", 6: None, 7: None, 8: None, 9: labels[5][0], 10: labels[8][0]}
+    assert out.count() == 10
+    needs = [(1, k, t, None) for k, t in enumerate(["Steel casting", "casting", "!", "glass", "Casting"])] + [(2, 0, "casting", "q")]
+    cover = [(1, 1, "casting", [("A", "x")]), (1, 0, "steel casting line", [("B", "y")]), (1, 2, "", [("C", "z")])]
+    view = feedback.consortium(spark.createDataFrame(needs, "oid int, seq int, capability string, quote string"), spark.createDataFrame(cover, "oid int, pos int, need string, companies array<struct<name:string,why:string>>"), "oid")
+    rows = sorted((r.oid, r.status[:5], r.need, r.covered_by, r.gap) for r in view.collect())
+    assert rows == [(1, "Ready", "!", "B", ""), (1, "Ready", "Casting", "B", ""), (1, "Ready", "Steel casting", "B", ""), (1, "Ready", "casting", "B", ""), (1, "Ready", "glass", "", "GAP"), (2, "Thin ", "", "", "")]
+    for plan in (out, view):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in text and "Cartesian" not in text
