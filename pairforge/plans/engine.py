@@ -38,7 +38,8 @@ def _cosines(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
 def _semantic(pairs: DataFrame, names: list[str]) -> DataFrame:
     """``sem_`` each of ``names``: the global percentile of a cosine blended with that of its excess over the company's mean."""
     mean = pairs.groupBy("cid").agg(*[F.avg(n).alias(f"_m_{n}") for n in names])
-    p = pairs.join(mean, "cid").withColumns({f"_x_{n}": F.col(n) - F.col(f"_m_{n}") for n in names})
+    # rounded, so that equal values tie in whatever order their sums were made
+    p = pairs.join(mean, "cid").withColumns({f"_x_{n}": F.round(F.col(n) - F.col(f"_m_{n}"), 8) for n in names})
     p = Z.percentile_ranks(p, {n: f"_p_{n}" for n in names} | {f"_x_{n}": f"_q_{n}" for n in names}, ["cid", "oid"])
     blend = {f"sem_{n}": (1 - dims.SPECIFICITY_BLEND) * F.col(f"_p_{n}") + dims.SPECIFICITY_BLEND * F.col(f"_q_{n}") for n in names}
     return p.withColumns(blend).drop(*[f"_{k}_{n}" for k in "mxpq" for n in names])
@@ -79,6 +80,7 @@ def score_pairs(companies: DataFrame, opportunities: DataFrame, vectors: tuple[D
         pairs = embedded_cosines(*vectors)  # every pair
     pairs = pairs.join(proof, ["cid", "oid"], "left")
     pairs = pairs.na.fill(0.0, ["profile", "product", "evidence_score"]).na.fill(0, ["n_terms"])
+    pairs = pairs.withColumns({n: F.round(n, 9) for n in ("profile", "product")})
     pairs = _semantic(stage(pairs, "pairs"), ["profile", "product"])
     # a sector score depends on the two labels and the company's capability words
     c = companies.select("cid", F.col("sector").alias("cs"), static_tokens(F.concat_ws(" ", "combined", "products")).alias("cap"))
