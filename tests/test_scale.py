@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairforge.operators import containment, feedback, matching_text
+from pairforge.operators import blocked, containment, feedback, matching_text
+from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
 from pairforge.operators.assignment import assigned, emails_from_persons
 from pairforge.operators.blocked import grid, products
@@ -41,6 +42,25 @@ def test_products_equal_single_cosines(spark):
     assert products(a.limit(0), b, "cid", "oid", {"x": "f"}, "b").count() == 0
 
 
+def test_ranks_and_largest_values_need_no_pairs(spark):
+    rng = np.random.default_rng(4)
+    vector = lambda: [float(x) for x in rng.integers(-1, 2, size=4)]  # few values: many ties, and vectors of zeros
+    left = [(k, vector(), vector()) for k in range(70)] + [(1000, None, vector()), (1001, [1.0, 2.0], vector()), (1002, [0.0] * 4, vector())]
+    a = spark.createDataFrame(left, "cid long, a array<double>, f array<double>").repartition(5)
+    b = spark.createDataFrame([(k, vector()) for k in range(40)] + [(100, None), (101, [3.0, 4.0])], "oid long, b array<double>").repartition(3)
+    pairs = Z.dense_cosines(a, b, {"x": "a", "y": "f"}).withColumns({c: F.round(c, 9) for c in "xy"}).cache()
+    rows = lambda df: {r[0]: None if r[1] is None else round(r[1], 9) for r in df.collect()}
+    varied = {r[0] for r in pairs.groupBy("cid").agg(F.count_distinct(F.coalesce("x", F.lit(-9.0))).alias("n"), F.count_distinct(F.coalesce("y", F.lit(-9.0))).alias("m")).filter("n > 1 AND m > 1").collect()}
+    want = rows(Z.spearman(pairs.filter(F.col("cid").isin(list(varied))), "cid", "x", "y")) | {k: None for k, _, _ in left if k not in varied}
+    assert rows(Z.spearman_of_vectors(a, b, ("a", "f"))) == want and 1000 not in varied
+    assert rows(Z.separation_of_vectors(a, b)) == rows(Z.separation(pairs, "cid", "x", "oid"))
+    assert blocked.rank_correlations(a, b, "cid", "oid", ("a", "f"), "b", 9, block_bytes=300).count() == len(left)
+    assert rows(blocked.rank_correlations(a, b, "cid", "oid", ("a", "f"), "b", 9, block_bytes=300)) == want
+    few = blocked.largest(a, b, "cid", "oid", "a", "b", 3, 9, block_bytes=300)
+    assert {r.cid: (r.n, [round(x, 9) for x in r.top]) for r in few.collect()} == {r.cid: (r.n, r.top) for r in pairs.groupBy("cid").agg(F.count("x").alias("n"), F.slice(F.sort_array(F.collect_list("x"), asc=False), 1, 3).alias("top")).collect()}
+    pairs.unpersist()
+
+
 def test_grid_sends_the_smaller_side_more_often():
     assert grid(1000, 1, 32) == (32, 1) and grid(1, 1000, 32) == (1, 32) and grid(0, 0, 32) == (1, 1)
     rows, columns = grid(400, 100, 64)
