@@ -40,6 +40,7 @@ def test_products_equal_single_cosines(spark):
             for want, x in zip((cosine(f, v), cosine(g, v)), got[c, o]):
                 assert (want is None) == (x is None) and (want is None or abs(want - x) < 1e-12)
     assert products(a.limit(0), b, "cid", "oid", {"x": "f"}, "b").count() == 0
+    assert "BroadcastHashJoin" not in plan  # a broadcast would hold the copies for all cells
 
 
 def test_ranks_and_largest_values_need_no_pairs(spark):
