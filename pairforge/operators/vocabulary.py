@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from pairforge import dims
 from pairforge.functions.text import static_tokens
-from pairforge.sources.stages import stage
+from pairforge.operators import postings
+from pairforge.operators.similarity import position
+from pairforge.sources.stages import broadcast_if_small, stage
 
 
 def token_rows(df: DataFrame, key: str, text: str, generic: list[str] | None = None) -> DataFrame:
@@ -136,6 +138,18 @@ def shared_evidence(left: DataFrame, right: DataFrame, vocab: DataFrame, heavy_s
     return _evidence(g, F.col("n"), scored, shown)
 
 
+def evidence_by_blocks(left: DataFrame, right: DataFrame, vocab: DataFrame, scored: int = 10, shown: int = 8) -> DataFrame:
+    """(cid, oid, n_terms, evidence_score, terms) as :func:`evidence` of :func:`evidence_terms`: each text is one row with the ranks of its usable terms, and
+    blocks of texts meet (:mod:`pairforge.operators.postings`), so no row for each term of each pair is shuffled."""
+    terms = stage(usable_terms(vocab).join(right.select("token").distinct(), "token").select("token", "idf", "strict", (-F.col("idf")).alias("_w")), "usable")
+    ranks = stage(position(terms, ["_w", "token"], "rank"), "term-ranks")
+    near = broadcast_if_small(ranks)
+    c = left.join(near.select("token", "rank"), "token").groupBy("cid").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+    entry = F.sort_array(F.collect_list(F.struct("rank", "idf", "strict", "token")))
+    o = right.join(near, "token").groupBy("oid").agg(entry.alias("x")).select("oid", F.col("x.rank").alias("ranks"), "x.idf", "x.strict", "x.token")
+    return postings.evidence(c, o, scored, shown)
+
+
 def _evidence(g: DataFrame, n: Column, scored: int, shown: int) -> DataFrame:
     """The score and the shown terms of pairs with ``l``, their terms in order: lenient terms count, strict ones score and are
     shown (all are shown if none is strict)."""

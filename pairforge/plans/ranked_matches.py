@@ -9,7 +9,7 @@ from pairforge import dims
 from pairforge.functions.arrays import half_up
 from pairforge.operators.ranking import ranked
 from pairforge.operators.similarity import percentile_rank
-from pairforge.operators.vocabulary import evidence_terms, protected_terms, shared_evidence, token_rows, vocabulary_of_tokens
+from pairforge.operators.vocabulary import evidence_by_blocks, evidence_terms, protected_terms, token_rows, vocabulary_of_tokens
 from pairforge.sources.stages import stage
 
 
@@ -27,7 +27,7 @@ def shared_terms(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
 
 def evidence_of_pairs(companies: DataFrame, opportunities: DataFrame) -> DataFrame:
     """(cid, oid, n_terms, evidence_score, terms): a row for each pair with a shared term."""
-    return shared_evidence(*_sides(companies, opportunities))
+    return evidence_by_blocks(*_sides(companies, opportunities))
 
 
 def ranked_matches(companies: DataFrame, opportunities: DataFrame, top: int = 3) -> DataFrame:

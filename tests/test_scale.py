@@ -118,6 +118,10 @@ def test_heavy_terms_count_as_in_the_join(spark):
     want = rows(V.evidence(V.evidence_terms(c, o, vocab)))
     for texts in (0, 20, 10**9):
         assert rows(V.shared_evidence(c, o, vocab, heavy_share=0.0, heavy_texts=texts, salted=7)) == want
+    blocks = V.evidence_by_blocks(c, o, vocab)
+    assert rows(blocks) == want
+    text = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in text and "Generate" in text  # blocks meet; pairs aren't grouped
 
 
 @pytest.mark.parametrize("n_keys", [3, 40])
