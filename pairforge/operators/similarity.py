@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairforge.functions.arrays import literal, unit
 from pairforge.functions.text import preprocess
-from pairforge.operators import blocked
+from pairforge.operators import blocked, postings
 from pairforge.operators.blocked import products
 from pairforge.operators.ranks import with_positions
-from pairforge.sources.stages import stage
+from pairforge.sources.stages import BROADCAST_ROWS, stage
 
 
 def word_grams(df: DataFrame, key: str, text: str, least_length: int = 2) -> DataFrame:
@@ -60,6 +62,38 @@ def sparse_cosine(left: DataFrame, right: DataFrame, normalise: bool = False) ->
     return out.join(a, "cid").join(b, "oid").select("cid", "oid", (F.col("cosine") / (F.col("na") * F.col("nb"))).alias("cosine"))
 
 
+#: Word and character blocks of a hybrid vector.
+HYBRID = (postings.Part(), postings.Part(chars=True, min_df=2, weight=0.5))
+
+
+def tfidf_cosines(texts: DataFrame, right: str, parts: tuple[postings.Part, ...], normalise: bool = False, frequent: int = BROADCAST_ROWS) -> DataFrame:
+    """(side, cid, oid, cosine) of the texts (side, id, text) of other sides with those of the side ``right`` with which they share a gram, in TF-IDF vectors of
+    ``parts``, fitted on all texts.  With ``normalise`` vectors of several parts get the length 1.
+
+    Where the right side has over ``frequent`` different grams, vectors are made as long tables and meet by a join on the gram."""
+    made = [postings.tfidf_lists(texts, right, p, frequent) for p in parts]
+    if any(m is None for m in made):
+        keyed = texts.select(F.struct("side", "id").alias("key"), "text")
+        n = texts.agg(F.count("*").alias("n"))
+        rows = [tfidf((char_grams if p.chars else word_grams)(keyed, "key", "text"), "key", n, p.sublinear, p.min_df, p.max_df, p.weight).withColumn("gram", F.concat(F.lit(f"{k}:"), "gram")) for k, p in enumerate(parts)]
+        w = stage(reduce(DataFrame.union, rows), "grams")
+        out = sparse_cosine(w.filter(F.col("key.side") != right).withColumnRenamed("key", "cid"), w.filter(F.col("key.side") == right).withColumnRenamed("key", "oid"), normalise)
+        return out.select("cid.side", F.col("cid.id").alias("cid"), F.col("oid.id").alias("oid"), "cosine")
+    def of_part(k: int) -> Column:
+        return F.transform("terms", lambda x: F.shiftleft(x, 1).bitwiseOR(F.lit(k).cast("long"))).alias("terms")
+
+    own = [m.select("side", "id", of_part(k), "w", F.when(F.col("size") > 0, p.weight**2).otherwise(0.0).alias("part")) for k, (m, p) in enumerate(zip(made, parts, strict=True))]
+    rows = own[0]
+    if len(parts) > 1:
+        rows = reduce(DataFrame.union, own).groupBy("side", "id").agg(F.flatten(F.collect_list("terms")).alias("terms"), F.flatten(F.collect_list("w")).alias("w"), F.sum("part").alias("part"))
+    rows = rows.filter(F.size("terms") > 0)
+    if normalise:
+        rows = rows.withColumn("w", F.transform("w", lambda x: x / F.sqrt("part")))
+    rows = stage(rows, "vectors")
+    found = postings.products(rows.filter(F.col("side") != right).select(F.struct("side", "id").alias("cid"), "terms", "w"), rows.filter(F.col("side") == right).select(F.col("id").alias("oid"), "terms", "w"))
+    return found.select("cid.side", F.col("cid.id").alias("cid"), "oid", "cosine")
+
+
 def dense_cosines(left: DataFrame, right: DataFrame, vectors: dict[str, str], vector: str = "b") -> DataFrame:
     """(cid, oid, and a cosine for each of ``vectors``: name -> column of ``left``) with ``vector`` of
     ``right``, doubles.  All pairs are the result; they are made block by block (:mod:`pairforge.operators.blocked`)."""

@@ -12,6 +12,7 @@ from pairforge.operators import assignment as G
 from pairforge.operators import matching_text as M
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
+from pairforge.operators.postings import Part
 from pairforge.plans.ranked_matches import evidence_of_pairs, ranked_matches, shared_terms
 from pairforge.queries.base import COMPANIES_SQL, LANGS, OPPORTUNITIES_SQL, VOCAB_CTE, companies, opportunities, pick, pp, sql_list, sql_map, sql_pick, sql_text, t
 
@@ -56,30 +57,21 @@ def ranked(s: S, d: str) -> DataFrame:
     return ranked_matches(companies(s, d), opportunities(s, d))
 
 
-def _tfidf_pairs(s: S, d: str, sublinear: bool, max_df: float) -> DataFrame:
-    docs = companies(s, d).select(F.concat(F.lit("c"), F.col("cid").cast("string")).alias("key"), "text")
-    docs = docs.union(opportunities(s, d).select(F.concat(F.lit("o"), F.col("oid").cast("string")), "text"))
-    w = Z.tfidf(Z.word_grams(docs, "key", "text"), "key", docs.agg(F.count("*").alias("n")), sublinear, 1, max_df)
-    return _sparse(w)
-
-
-def _sparse(w: DataFrame) -> DataFrame:
-    left = w.filter(F.col("key").startswith("c")).select(F.substring("key", 2, 20).cast("long").alias("cid"), "gram", "w")
-    right = w.filter(F.col("key").startswith("o")).select(F.substring("key", 2, 20).cast("long").alias("oid"), "gram", "w")
-    return Z.sparse_cosine(left, right).select("cid", "oid", F.round("cosine", 6).alias("cosine"))
+def _tfidf(s: S, d: str, *parts: Part) -> DataFrame:
+    docs = companies(s, d).select(F.lit("c").alias("side"), F.col("cid").alias("id"), "text").union(opportunities(s, d).select(F.lit("o"), "oid", "text"))
+    return Z.tfidf_cosines(docs, "o", parts).select("cid", "oid", F.round("cosine", 6).alias("cosine"))
 
 
 def tfidf_word(s: S, d: str) -> DataFrame:
-    return _tfidf_pairs(s, d, False, 1.0)
+    return _tfidf(s, d, Part(sublinear=False))
 
 
 def sparse_score(s: S, d: str) -> DataFrame:
-    return _tfidf_pairs(s, d, True, 0.95)
+    return _tfidf(s, d, Part(max_df=0.95))
 
 
 def tfidf_hybrid(s: S, d: str) -> DataFrame:
-    docs = companies(s, d).select(F.concat(F.lit("c"), F.col("cid").cast("string")).alias("key"), "text")
-    return _sparse(Z.hybrid(docs.union(opportunities(s, d).select(F.concat(F.lit("o"), F.col("oid").cast("string")), "text")), "key", "text"))
+    return _tfidf(s, d, *Z.HYBRID)
 
 
 def _vectors(s: S, d: str) -> tuple[DataFrame, DataFrame]:

@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairforge.operators import blocked, containment, feedback, matching_text
+from pairforge.operators import blocked, containment, feedback, matching_text, postings
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
 from pairforge.operators.assignment import assigned, emails_from_persons
 from pairforge.operators.blocked import grid, products
+from pairforge.operators.postings import Part
 from pairforge.operators.ranks import Intervals, quantiles, with_positions
 from pairforge.sources import folders, readers, stages
 
@@ -208,3 +209,17 @@ def test_labels_and_needs_without_a_nested_loop(spark):
     for plan in (out, view):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_tfidf_by_postings_equals_long_tables(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abé𝒳z") for _ in range(min(rng.randint(1, 7), rng.randint(1, 7))))
+    texts = [(rng.choice("cp"), k, " ".join(word() for _ in range(rng.randint(0, 30)))) for k in range(80)] + [("o", k, " ".join(word() for _ in range(rng.randint(0, 12)))) for k in range(25)] + [("c", 500, None), ("o", 501, ""), ("c", 502, "x" * 3000)]
+    df = spark.createDataFrame(texts, "side string, id long, text string").repartition(3)
+    rows = lambda x: {(r.side, r.cid, r.oid): round(r.cosine, 9) for r in x.collect()}
+    for parts in ((Part(sublinear=False),), (Part(max_df=0.2),), Z.HYBRID):
+        want = rows(Z.tfidf_cosines(df, "o", parts, True, frequent=1))  # the right side has more grams: long tables
+        got = rows(Z.tfidf_cosines(df, "o", parts, True))
+        assert len(want) > 300 and {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+    made = lambda frequent: {(r.side, r.id): (sorted(zip(r.terms, [round(x, 9) for x in r.w]))) for r in postings.tfidf_lists(df.filter("side <> 'o' OR id < 3"), "o", Part(), frequent).collect()}
+    assert made(60) == made(10**6)  # with few grams known, the others are joined
