@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairforge.operators import blocked, containment, feedback, matching_text, postings
+from pairforge.operators import assignment, blocked, containment, feedback, matching_text, postings
 from pairforge.operators import similarity as Z
 from pairforge.operators import vocabulary as V
 from pairforge.operators.assignment import assigned, emails_from_persons
@@ -142,6 +142,23 @@ def test_assignment_equals_the_sequence(spark, n_keys):
     assert {(r.target, r.source, r.key) for r in got.collect()} == want
 
 
+def test_assignment_rounds_do_not_grow_with_the_sources(spark, monkeypatch):
+    sources = [(k, [f"name {k % 5 + 38}", f"slug {k * 7 % 70}", f"name {k % 3}"]) for k in range(1, 601)]
+    targets = [(k, [f"name {k % 40}", f"slug {k % 60}"]) for k in range(1, 9001)]
+    made = Counter()
+    monkeypatch.setattr(assignment, "stage", lambda df, name: (made.update([name]), stages.stage(df, name))[1])
+    monkeypatch.setattr(assignment, "BUCKETS", 7, raising=False)  # keys span buckets of both sides
+    got = assigned(spark.createDataFrame(sources, "source long, keys array<string>"), spark.createDataFrame(targets, "target long, keys array<string>"))
+    taken, want = set(), set()
+    for s, keys in sources:
+        free = next(((t, key) for key in keys for t, own in targets if key in own and t not in taken), None)
+        if free:
+            taken.add(free[0])
+            want.add((free[0], s, free[1]))
+    assert {(r.target, r.source, r.key) for r in got.collect()} == want
+    assert made["met"] <= 5  # rounds
+
+
 def test_files_keep_their_own_headers(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "one.csv").write_text("Name,Email\nann,a@x.org\n")
