@@ -15,6 +15,7 @@ from pairforge.operators.assignment import assigned, emails_from_persons
 from pairforge.operators.blocked import grid, products
 from pairforge.operators.postings import Part
 from pairforge.operators.ranks import Intervals, quantiles, with_positions
+from pairforge.queries import texts as text_queries
 from pairforge.sources import folders, readers, stages
 
 
@@ -240,3 +241,15 @@ def test_tfidf_by_postings_equals_long_tables(spark):
         assert len(want) > 300 and {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
     made = lambda frequent: {(r.side, r.id): (sorted(zip(r.terms, [round(x, 9) for x in r.w]))) for r in postings.tfidf_lists(df.filter("side <> 'o' OR id < 3"), "o", Part(), frequent).collect()}
     assert made(60) == made(10**6)  # with few grams known, the others are joined
+
+
+def test_quotes_meet_texts_without_a_row_for_each_gram(spark, tmp_path, monkeypatch):
+    quotes = [(1, "One two, three four five"), (2, "two three four five"), (3, "five six seven"), (4, "four five four five four"), (5, None)]
+    texts = [(1, "zero one two three four five six"), (2, "one two three four"), (3, "x four five four five four five four five"), (4, None), (5, "One  TWO three four five"), (6, "")]
+    spark.createDataFrame(quotes, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    few = text_queries.quote_in_text(spark, str(tmp_path))
+    assert {tuple(r) for r in few.collect()} == {(1, 1), (1, 2), (3, 4), (5, 1), (5, 2)}
+    assert "Aggregate" not in few._jdf.queryExecution().optimizedPlan().toString()  # starts are sought in the row, and no row for each gram is shuffled
+    monkeypatch.setattr(text_queries, "MOST_STARTS", 1)
+    assert sorted(text_queries.quote_in_text(spark, str(tmp_path)).collect()) == sorted(few.collect())
