@@ -15,6 +15,7 @@ from pairforge.operators.assignment import assigned, emails_from_persons
 from pairforge.operators.blocked import grid, products
 from pairforge.operators.postings import Part
 from pairforge.operators.ranks import Intervals, quantiles, with_positions
+from pairforge.queries import matching
 from pairforge.queries import texts as text_queries
 from pairforge.sources import folders, readers, stages
 
@@ -64,6 +65,30 @@ def test_ranks_and_largest_values_need_no_pairs(spark):
     pairs.unpersist()
 
 
+def test_percentiles_of_vectors_make_no_row_for_a_pair_before_the_last(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    vectors = lambda keys: [(int(k), [float(x) for x in rng.integers(-1, 2, size=4)]) for k in keys]  # many ties, and vectors of zeros
+    left, right = vectors(rng.permutation(90) - 30), vectors(rng.permutation(37))
+    a, b = spark.createDataFrame(left, "cid long, a array<double>").repartition(5), spark.createDataFrame(right, "oid long, b array<double>").repartition(3)
+    rows = lambda df: {(r.cid, r.oid): tuple(r)[2:] for r in df.collect()}
+    unit = lambda v: np.array(v) / max(np.linalg.norm(v), 1e-12)
+    value = {(c, o): np.floor(abs(x := float(unit(u) @ unit(v))) * 1e9 + 0.5) * np.sign(x) for c, u in left for o, v in right}
+    mean = {c: sum(value[c, o] for o, _ in right) / (1e9 * len(right)) for c, _ in left}
+    excess = {k: np.floor(abs(x := v / 1e9 - mean[k[0]]) * 1e8 + 0.5) * np.sign(x) for k, v in value.items()}
+    place = lambda d: {k: i / (len(d) - 1) for i, k in enumerate(sorted(d, key=lambda k: (d[k], k)))}
+    p, q = place(value), place(excess)
+    want = {k: (p[k], q[k]) for k in p}
+    assert rows(Z.percentiles_of_vectors(a, b, ["p", "q"])) == want
+    assert rows(blocked.percentiles(a, b, "cid", "oid", "a", "b", ["p", "q"], 9, 8, run_values=200, merged_values=50)) == want
+    one = rows(Z.percentiles_of_vectors(a, b, ["p"]))
+    assert one == {k: v[:1] for k, v in want.items()} == rows(Z.percentiles_of_vectors(a, b, ["p"], held_bytes=0))
+    assert Z.percentiles_of_vectors(a.union(spark.createDataFrame([(500, None), (0, [1.0] * 4)], a.schema)), b, ["p", "q"]).count() == 92 * 37  # a null and a key twice: as rows
+    assert Z.percentiles_of_vectors(a, b.limit(0), ["p"]).count() == 0
+    made = []
+    monkeypatch.setattr(Z, "stage", lambda df, name="stage": made.append(name) or stages.stage(df, name))
+    assert matching.percentile_rank(spark, "/root/testdata/sf0.001").count() == 22500 and not made  # "ranked" with all pairs before
+
+
 def test_grid_sends_the_smaller_side_more_often():
     assert grid(1000, 1, 32) == (32, 1) and grid(1, 1000, 32) == (1, 32) and grid(0, 0, 32) == (1, 1)
     rows, columns = grid(400, 100, 64)
