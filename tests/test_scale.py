@@ -87,6 +87,7 @@ def test_percentiles_of_vectors_make_no_row_for_a_pair_before_the_last(spark, mo
     made = []
     monkeypatch.setattr(Z, "stage", lambda df, name="stage": made.append(name) or stages.stage(df, name))
     assert matching.percentile_rank(spark, "/root/testdata/sf0.001").count() == 22500 and not made  # "ranked" with all pairs before
+    assert matching.specificity(spark, "/root/testdata/sf0.001").count() == 22500 and not made
 
 
 def test_grid_sends_the_smaller_side_more_often():
