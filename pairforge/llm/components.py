@@ -1,7 +1,8 @@
 """Connected components of links between integer ids, by alternating large-star and small-star
 rounds (Kiveris et al., 2014).  Each round is an aggregation for the least neighbour and a join of
 the links with it: a node with very many links is one row on the aggregated side, and its links can
-be split over tasks.  Rounds are cut by stage tables; only a checksum reaches the driver."""
+be split over tasks.  Stage tables compress to a fraction of their rows, so joins are never left to be a broadcast.  Rounds
+are cut by stage tables; only a checksum reaches the driver."""
 
 from __future__ import annotations
 
@@ -18,13 +19,13 @@ def _checksum(links: DataFrame) -> tuple:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.filter("v > u").hint("merge").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(least, "u")
+    joined = down.hint("merge").join(least, "u")
     return joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
 
 

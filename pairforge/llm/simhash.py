@@ -227,17 +227,18 @@ def links(prints: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS, most: i
     keys = F.array(*[F.struct(F.lit(c).alias("combo"), F.xxhash64(F.lit(c), F.col("fp").bitwiseAND(F.lit(_signed(m)))).alias("key")) for c, m in enumerate(_MASKS)])
     keyed = prints.select("fp", F.inline(keys))
     shared = keyed.groupBy("key").agg(F.count("*").alias("under")).filter("under > 1")
-    rows = stage(distance_table(keyed.join(shared, "key"), pivots), "keys")
+    # a row for each key of a fingerprint is sized as one for each fingerprint: no join here is left to be a broadcast
+    rows = stage(distance_table(keyed.hint("merge").join(shared, "key"), pivots), "keys")
     cold = rows.filter(F.col("under") <= most).select("key", "fp", *words)
     l, r = cold.alias("l"), cold.alias("r")
     close = F.bit_count(F.col("l.fp").bitwiseXOR(F.col("r.fp"))) <= radius
-    pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.fp") < F.col("r.fp")) & _within_pivots("l", "r", radius, pivots)).filter(close).select(F.col("l.fp").alias("x"), F.col("r.fp").alias("y"))
+    pairs = l.hint("merge").join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.fp") < F.col("r.fp")) & _within_pivots("l", "r", radius, pivots)).filter(close).select(F.col("l.fp").alias("x"), F.col("r.fp").alias("y"))
     hot = rows.filter(F.col("under") > most)
     if hot.isEmpty():
         return pairs.distinct()
     around = stage(_around(hot), "around")
     hub = around.groupBy("key", "v").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("hub"), F.count("*").alias("n")).filter("hub IS NOT NULL AND n > 1")
-    spokes = around.join(hub, ["key", "v"]).filter(F.col("fp") != F.col("hub")).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= radius)
+    spokes = around.hint("merge").join(hub, ["key", "v"]).filter(F.col("fp") != F.col("hub")).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= radius)
     return pairs.union(spokes.select(F.least("fp", "hub").alias("x"), F.greatest("fp", "hub").alias("y"))).distinct()
 
 
@@ -256,9 +257,9 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS, most: int = MOST
     prints = stage(docs.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "prints")
     near = links(prints, radius, most=most)
     x, y = prints.select(F.col("fp").alias("x"), F.col("id").alias("u")), prints.select(F.col("fp").alias("y"), F.col("id").alias("v"))
-    found = components(near.join(x, "x").join(y, "y").select("u", "v"))
-    named = prints.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return docs.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    found = components(near.hint("merge").join(x, "x").hint("merge").join(y, "y").select("u", "v"))
+    named = prints.hint("merge").join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    return docs.hint("merge").join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(documents: DataFrame, radius: int = RADIUS) -> DataFrame:

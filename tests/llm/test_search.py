@@ -321,3 +321,23 @@ def test_chat_of_very_many_turns(spark):
     df = spark.range(30_000).selectExpr("1L AS conv_id", "id AS turn", "'user' AS role", "concat('t', id) AS text")
     got = chat_formatting.format_conversations(df.union(df.filter("turn < 20000").selectExpr("2L", "turn", "role", "text"))).collect()
     assert [(r.conv_id, r.n_turns) for r in got] == [(1, 30_000)]
+
+
+def test_joins_of_near_duplicates_are_never_left_to_be_a_broadcast(spark, monkeypatch):
+    """A row for each key of a fingerprint is sized by Spark as one for each fingerprint."""
+    from pairforge.llm import common
+
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.stage(df, name)
+
+    monkeypatch.setattr(simhash, "stage", kept)
+    monkeypatch.setattr(components, "stage", kept)
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i % 20) * 100 + k}" for k in range(40)) + (" end" if i % 3 else "")) for i in range(60)], "doc_id long, text string")
+    for most in (64, 1):
+        out = simhash.near_duplicates(docs, most=most)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert {r.doc_id: r.component_id for r in out.collect()}[20] == 0  # its copy
+    assert sum("SortMergeJoin" in p for p in plans) > 6 and not [p for p in plans if "BroadcastHashJoin" in p]
