@@ -66,19 +66,25 @@ def sparse_cosine(left: DataFrame, right: DataFrame, normalise: bool = False) ->
 HYBRID = (postings.Part(), postings.Part(chars=True, min_df=2, weight=0.5))
 
 
-def tfidf_cosines(texts: DataFrame, right: str, parts: tuple[postings.Part, ...], normalise: bool = False, frequent: int = BROADCAST_ROWS) -> DataFrame:
+def tfidf_cosines(texts: DataFrame, right: str, parts: tuple[postings.Part, ...], normalise: bool = False, frequent: int = BROADCAST_ROWS, held_terms: int = postings.HELD_TERMS) -> DataFrame:
     """(side, cid, oid, cosine) of the texts (side, id, text) of other sides with those of the side ``right`` with which they share a gram, in TF-IDF vectors of
     ``parts``, fitted on all texts.  With ``normalise`` vectors of several parts get the length 1.
 
-    Where the right side has over ``frequent`` different grams, vectors are made as long tables and meet by a join on the gram."""
-    made = [postings.tfidf_lists(texts, right, p, frequent) for p in parts]
-    if any(m is None for m in made):
+    Tasks hold the right vectors; where these have over ``held_terms`` terms, vectors meet as blocks.  Where the right side has over ``frequent`` different
+    grams, vectors are made as long tables and meet by a join on the gram."""
+    counts = [postings.gram_counts(texts, right, p, frequent) for p in parts]
+    if any(c is None for c in counts):
         keyed = texts.select(F.struct("side", "id").alias("key"), "text")
         n = texts.agg(F.count("*").alias("n"))
         rows = [tfidf((char_grams if p.chars else word_grams)(keyed, "key", "text"), "key", n, p.sublinear, p.min_df, p.max_df, p.weight).withColumn("gram", F.concat(F.lit(f"{k}:"), "gram")) for k, p in enumerate(parts)]
         w = stage(reduce(DataFrame.union, rows), "grams")
         out = sparse_cosine(w.filter(F.col("key.side") != right).withColumnRenamed("key", "cid"), w.filter(F.col("key.side") == right).withColumnRenamed("key", "oid"), normalise)
         return out.select("cid.side", F.col("cid.id").alias("cid"), F.col("oid.id").alias("oid"), "cosine")
+    held = postings.held_products(texts, right, parts, counts, normalise, held_terms)
+    if held is not None:
+        return held
+    made = [postings.tfidf_lists(texts, right, p, counts=c) for p, c in zip(parts, counts, strict=True)]
+
     def of_part(k: int) -> Column:
         return F.transform("terms", lambda x: F.shiftleft(x, 1).bitwiseOR(F.lit(k).cast("long"))).alias("terms")
 

@@ -279,6 +279,27 @@ def test_tfidf_by_postings_equals_long_tables(spark):
     assert made(60) == made(10**6)  # with few grams known, the others are joined
 
 
+def test_tfidf_writes_neither_left_vectors_nor_rows_for_rare_grams(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(rng.randint(2, 5)))
+    texts = [("c", k, " ".join(word() for _ in range(40))) for k in range(60)] + [("o", k, " ".join(word() for _ in range(8))) for k in range(20)]
+    df = spark.createDataFrame([*texts, ("c", None, "abc def"), ("c", 60, None)], "side string, id long, text string").repartition(3)
+    rows = lambda x: {(r.side, r.cid, r.oid): round(r.cosine, 9) for r in x.collect()}
+    made = []
+    for module in (postings, Z):
+        monkeypatch.setattr(module, "stage", lambda d, name="stage": made.append(name) or stages.stage(d, name))
+    for normalise in (False, True):
+        made.clear()
+        held = Z.tfidf_cosines(df, "o", Z.HYBRID, normalise)
+        assert not {"vectors", "left-terms", "frequencies"} & set(made)  # all of these before
+        assert "Generate" not in held._jdf.queryExecution().optimizedPlan().toString()
+        assert len(rows(held)) > 900 and rows(held) == rows(Z.tfidf_cosines(df, "o", Z.HYBRID, normalise, held_terms=0))
+    few = postings.gram_counts(df, "o", Part(), block_grams=50, range_chars=100)
+    many = postings.gram_counts(df, "o", Part())
+    squares = lambda x: {(r.side, r.id): round(r.square, 9) for r in x.squares.collect()}
+    assert squares(few) == squares(many) and (few.df == many.df).all() and len(squares(many)) == 82
+
+
 def test_quotes_meet_texts_without_a_row_for_each_gram(spark, tmp_path, monkeypatch):
     quotes = [(1, "One two, three four five"), (2, "two three four five"), (3, "five six seven"), (4, "four five four five four"), (5, None)]
     texts = [(1, "zero one two three four five six"), (2, "one two three four"), (3, "x four five four five four five four five"), (4, None), (5, "One  TWO three four five"), (6, "")]
